@@ -110,7 +110,7 @@ SELECT l_orderkey AS "SK_ID_BUREAU", l_quantity AS qty, l_returnflag AS status F
 SQL_TABLES["instalments"] = """
 SELECT o_custkey AS "SK_ID_CURR", o_orderkey AS "SK_ID_PREV",
        CASE WHEN l_linenumber = 7 THEN 0e0 ELSE l_extendedprice END AS "AMT_INSTALMENT",
-       CASE WHEN l_orderkey % 19 = 3 THEN NULL ELSE round(l_extendedprice * (1 - l_discount), 2) END AS "AMT_PAYMENT",
+       CASE WHEN l_orderkey % 19 = 3 THEN NULL ELSE l_extendedprice * (1 - l_discount) END AS "AMT_PAYMENT",
        CASE WHEN l_partkey % 13 = 5 THEN NULL
             ELSE date_diff('day', TIMESTAMP '2001-08-01', o_orderdate) + l_partkey % 61 - 30 END AS "DAYS_ENTRY_PAYMENT",
        date_diff('day', TIMESTAMP '2001-08-01', o_orderdate) AS "DAYS_INSTALMENT"
@@ -262,7 +262,7 @@ def instalments(t) -> DataFrame:
         F.when(F.col("l_linenumber") == 7, 0.0).otherwise(F.col("l_extendedprice")).alias("AMT_INSTALMENT"),
         F.when(
             F.col("l_orderkey") % 19 != 3,
-            F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2),
+            F.col("l_extendedprice") * (1 - F.col("l_discount")),
         ).alias("AMT_PAYMENT"),
         F.when(F.col("l_partkey") % 13 != 5, due + F.col("l_partkey") % 61 - 30).alias("DAYS_ENTRY_PAYMENT"),
         due.alias("DAYS_INSTALMENT"),
