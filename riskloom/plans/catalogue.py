@@ -1,4 +1,4 @@
 """All registered queries, gathered from the query modules."""
 
-from riskloom.plans import queries_cleaning  # noqa: F401
+from riskloom.plans import queries_cleaning, queries_portfolio  # noqa: F401
 from riskloom.plans.registry import ORACLES, QUERIES, callables  # noqa: F401

@@ -22,11 +22,6 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
-# Monetary sums: fewer digits, still far below one cent of the totals.
-def money(df: DataFrame) -> DataFrame:
-    return rounded(df, 2)
-
-
 AGE_CASE = """CASE WHEN "AGE_YEARS" IS NULL THEN 'desconhecido' WHEN "AGE_YEARS" < 25 THEN '<25'
  WHEN "AGE_YEARS" < 35 THEN '25-35' WHEN "AGE_YEARS" < 45 THEN '35-45' WHEN "AGE_YEARS" < 55 THEN '45-55'
  WHEN "AGE_YEARS" < 65 THEN '55-65' ELSE '65+' END"""
@@ -38,10 +33,10 @@ def rate_sql(expr: str, where: str = "TRUE", min_count: int = 30, order: str = "
     WITH f AS (SELECT * FROM clients WHERE {where}),
     g AS (SELECT CAST({expr} AS VARCHAR) AS value, count(*) AS n,
                  count(CASE WHEN "TARGET" = 1 THEN 1 END) AS defaults,
-                 round(avg("TARGET"), 6) AS default_rate, round(avg(proba_champion), 6) AS avg_score,
-                 round(avg(CASE WHEN proba_champion < 0.09e0 THEN 1e0 WHEN proba_champion IS NULL THEN NULL ELSE 0e0 END), 6) AS approval_rate,
-                 round((SELECT avg("TARGET") FROM f), 6) AS overall_default_rate,
-                 round(avg("TARGET") / nullif((SELECT avg("TARGET") FROM f), 0), 6) AS lift
+                 round(avg("TARGET"), 9) AS default_rate, round(avg(proba_champion), 9) AS avg_score,
+                 round(avg(CASE WHEN proba_champion < 0.09e0 THEN 1e0 WHEN proba_champion IS NULL THEN NULL ELSE 0e0 END), 9) AS approval_rate,
+                 round((SELECT avg("TARGET") FROM f), 9) AS overall_default_rate,
+                 round(avg("TARGET") / nullif((SELECT avg("TARGET") FROM f), 0), 9) AS lift
           FROM f GROUP BY 1 HAVING count(*) >= {min_count})
     SELECT * FROM g ORDER BY {order}, value ASC NULLS LAST LIMIT {limit}
     """
@@ -49,7 +44,7 @@ def rate_sql(expr: str, where: str = "TRUE", min_count: int = 30, order: str = "
 
 @query("default_rate_by_age_band", rate_sql(AGE_CASE))
 def _(t: Tables) -> DataFrame:
-    return rounded(portfolio.default_rate(t.clients, "age_band", THRESHOLD))
+    return rounded(portfolio.default_rate(t.clients, "age_band", THRESHOLD), 9)
 
 
 @query("default_rate_by_education_filtered", rate_sql(
@@ -57,13 +52,13 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     spec = filters.ClientFilters(thin_file=True, age_max=50)
     return rounded(portfolio.default_rate(
-        spec.apply(t.clients, THRESHOLD), "education", THRESHOLD, 20, "n"))
+        spec.apply(t.clients, THRESHOLD), "education", THRESHOLD, 20, "n"), 9)
 
 
 @query("default_rate_sorted_by_value", rate_sql(
     'CAST(least("CNT_CHILDREN", 5) AS INTEGER)', "TRUE", 1, "value ASC", 3))
 def _(t: Tables) -> DataFrame:
-    return rounded(portfolio.default_rate(t.clients, "children", THRESHOLD, 1, "value", 3))
+    return rounded(portfolio.default_rate(t.clients, "children", THRESHOLD, 1, "value", 3), 9)
 
 
 # ---------------------------------------------------------------- cleaning
@@ -273,14 +268,14 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("limit_utilisation", """
-SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice / nullif(lim, 0), 9) AS used, round(l_extendedprice * l_discount / nullif(lim, 0), 9) AS drawn
+SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice / nullif(lim, 0) AS used, l_extendedprice * l_discount / nullif(lim, 0) AS drawn
 FROM (SELECT *, CASE WHEN l_quantity < 5 THEN 0 ELSE l_quantity * 3000 END AS lim FROM lineitem)
 """)
 def _(t: Tables) -> DataFrame:
     limit = F.when(F.col("l_quantity") < 5, 0.0).otherwise(F.col("l_quantity") * 3000)
     df = t.lineitem.withColumns({"lim": limit, "drawings": F.col("l_extendedprice") * F.col("l_discount")})
     out = features.add_limit_use(df, "l_extendedprice", "drawings", "lim")
-    return rounded(out.select("l_orderkey", "l_linenumber", "l_partkey", F.col("UTILIZATION").alias("used"), F.col("DRAWING_RATIO").alias("drawn")), 9)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", F.col("UTILIZATION").alias("used"), F.col("DRAWING_RATIO").alias("drawn"))
 
 
 @query("recompute_derived", """
