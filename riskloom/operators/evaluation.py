@@ -501,11 +501,10 @@ def segment_points(
 ) -> DataFrame:
     long = unpivot_dimensions(df, axes or segment_axes(), [label, score])
     points = group_quality(long, label, score, ["dimension", "group"], threshold, min_count)
-    scored = F.sum("n").over(Window.partitionBy("dimension"))
     total = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).agg(F.count(F.lit(1)))
     return points.withColumn("_all", total.scalar()).withColumn(
         "share_of_base", F.col("n") / F.col("_all")
-    ).drop("_all").withColumn("share_of_dimension", F.col("n") / scored)
+    ).drop("_all")
 
 
 def tie_cost(

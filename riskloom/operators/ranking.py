@@ -17,17 +17,27 @@ from pyspark.sql import functions as F
 from riskloom.session import parallelism
 
 RANGE = "_range"
+CELLS_PER_RANGE = 50_000
+MAX_RANGES = 20_000
 
 
-def range_edges(df: DataFrame, value: str, ranges: int) -> list[float]:
-    """Ascending inner edges that split the values of ``df`` into about equal ranges."""
-    if ranges < 2:
+def range_edges(df: DataFrame, value: str, ranges: int | None = None) -> list[float]:
+    """Ascending inner edges that split the values of ``df`` into about equal ranges.
+
+    One pass counts the cells and sketches their quantiles; the number of ranges grows with the
+    cells, so a range stays near ``CELLS_PER_RANGE`` cells. Only the edges reach the driver.
+    """
+    most = ranges or min(4 * parallelism(df.sparkSession), MAX_RANGES)
+    if most < 2:
+        return []
+    probs = [i / most for i in range(1, most)]
+    x = F.col(value).cast("double")
+    n, found = df.agg(F.count(x), F.percentile_approx(x, probs, max(1000, 20 * most))).first()
+    wanted = ranges or min(most, -(-n // CELLS_PER_RANGE))
+    if not found or wanted < 2:
         return []
-    probs = [i / ranges for i in range(1, ranges)]
-    found = df.select(
-        F.percentile_approx(F.col(value).cast("double"), probs, max(1000, 20 * ranges))
-    ).first()[0]
-    return sorted(set(found or []))
+    step = most / wanted
+    return sorted({found[min(len(found), round(i * step)) - 1] for i in range(1, wanted)})
 
 
 def with_bins(df: DataFrame, value: str, edges: Sequence[float], out: str) -> DataFrame:
@@ -61,7 +71,16 @@ def running_sums(
 ) -> DataFrame:
     """Add ``below_<m>`` (sum over smaller values of the group) and ``total_<m>`` to each cell."""
     by = list(by)
-    edges = range_edges(cells, value, ranges or parallelism(cells.sparkSession))
+    edges = range_edges(cells, value, ranges)
+    if not edges:
+        # few cells: each group is one range, and its running sums are the answer
+        group = Window.partitionBy(*by)
+        lower = group.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        return cells.select(
+            "*",
+            *[F.coalesce(F.sum(m).over(lower), F.lit(0)).alias(f"below_{m}") for m in measures],
+            *[F.sum(m).over(group).alias(f"total_{m}") for m in measures],
+        )
     ranged = with_bins(cells, value, edges, RANGE)
     totals = ranged.groupBy(*by, RANGE).agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
     before = Window.partitionBy(*by).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)

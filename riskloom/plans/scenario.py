@@ -118,6 +118,17 @@ FROM lineitem JOIN orders ON o_orderkey = l_orderkey
 """
 
 
+SQL_TABLES["loans"] = """
+SELECT o_orderkey AS id, CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS INTEGER) AS y, o_orderpriority AS grp,
+       CAST(year(o_orderdate) AS INTEGER) AS yr,
+       round(((o_orderkey * 7919 + 13) % 99991) / 99991e0 * 0.6e0
+             + CASE WHEN o_orderstatus = 'F' THEN ((o_orderkey * 31) % 11) / 40e0 ELSE 0e0 END, 6) AS raw,
+       round(((o_orderkey * 7919 + 13) % 99991) / 99991e0 * 0.6e0
+             + CASE WHEN o_orderstatus = 'F' THEN ((o_orderkey * 31) % 11) / 40e0 ELSE 0e0 END, 2) AS score
+FROM orders
+"""
+
+
 def with_tables(sql: str) -> str:
     """Prefix the CTEs a check refers to (directly or through another scenario table)."""
     needed: list[str] = []
@@ -269,7 +280,22 @@ def instalments(t) -> DataFrame:
     )
 
 
+def loans(t) -> DataFrame:
+    """Orders as scored loans: a label, a near-continuous score and its rounded, tied twin."""
+    k, event = F.col("o_orderkey"), F.col("o_orderstatus") == "F"
+    mix = ((k * 7919 + 13) % 99991) / 99991.0 * 0.6 + F.when(event, ((k * 31) % 11) / 40.0).otherwise(0.0)
+    return t.orders.select(
+        k.alias("id"),
+        event.cast("int").alias("y"),
+        F.col("o_orderpriority").alias("grp"),
+        F.year("o_orderdate").alias("yr"),
+        F.round(mix, 6).alias("raw"),
+        F.round(mix, 2).alias("score"),
+    )
+
+
 TABLES = {
+    "loans": loans,
     "base_clients": base_clients,
     "scores": scores,
     "clients": clients,
