@@ -1,4 +1,9 @@
 """All registered queries, gathered from the query modules."""
 
-from riskloom.plans import queries_cleaning, queries_evaluation, queries_portfolio  # noqa: F401
+from riskloom.plans import (  # noqa: F401
+    queries_cleaning,
+    queries_evaluation,
+    queries_gates,
+    queries_portfolio,
+)
 from riskloom.plans.registry import ORACLES, QUERIES, callables  # noqa: F401

@@ -85,8 +85,7 @@ def _(t: Tables) -> DataFrame:
 WITH {grid_cte()} SELECT threshold, n, tn, fp, fn, tp, {RATES}, round(fn + 0.1e0 * fp, 6) AS cost FROM cm
 """)
 def _(t: Tables) -> DataFrame:
-    return rounded(E.threshold_sweep(t.loans, "y", "score").withColumnRenamed("threshold", "t"), 9).withColumn(
-        "cost", F.round("cost", 6)).withColumnRenamed("t", "threshold").withColumn("threshold", F.col("threshold"))
+    return rounded(E.threshold_sweep(t.loans, "y", "score"), 9)
 
 
 @query("business_threshold", f"""

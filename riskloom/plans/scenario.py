@@ -129,6 +129,22 @@ FROM orders
 """
 
 
+# one training run per loan year: the newest runs are partly samples or rejected
+SQL_TABLES["runs"] = """
+SELECT CAST(yr AS VARCHAR) AS run_id, 'v' || CAST(yr % 5 AS VARCHAR) AS tag, CAST(yr AS INTEGER) AS trained_at,
+       CASE WHEN yr = 1996 THEN 1000 END AS sample, CASE WHEN yr = 1999 THEN 'rejeitada' WHEN yr % 2 = 0 THEN 'aceita' END AS status,
+       round(avg(score), 9) AS auc, round(avg(raw * raw), 9) AS ks, round(avg(pow(score - y, 2)), 9) AS brier,
+       round(avg(CASE WHEN score < 0.35e0 THEN 1e0 ELSE 0e0 END), 9) AS approval_rate, count(*) AS n
+FROM loans GROUP BY yr
+"""
+
+SQL_TABLES["run_segments"] = """
+SELECT CAST(yr AS INTEGER) AS trained_at, CASE WHEN yr = 1996 THEN 1000 END AS sample, CASE WHEN yr = 1999 THEN 'rejeitada' WHEN yr % 2 = 0 THEN 'aceita' END AS status,
+       'priority' AS dimension, grp AS "group", round(avg(score), 9) AS auc, count(*) AS n
+FROM loans GROUP BY yr, grp
+"""
+
+
 def with_tables(sql: str) -> str:
     """Prefix the CTEs a check refers to (directly or through another scenario table)."""
     needed: list[str] = []
@@ -294,7 +310,48 @@ def loans(t) -> DataFrame:
     )
 
 
+def run_flags() -> list:
+    yr = F.col("yr")
+    return [
+        F.when(yr == 1996, 1000).alias("sample"),
+        F.when(yr == 1999, "rejeitada").when(yr % 2 == 0, "aceita").alias("status"),
+    ]
+
+
+def runs(t) -> DataFrame:
+    yr = F.col("yr")
+    per = t.loans.groupBy("yr").agg(
+        F.round(F.avg("score"), 9).alias("auc"),
+        F.round(F.avg(F.col("raw") * F.col("raw")), 9).alias("ks"),
+        F.round(F.avg(F.pow(F.col("score") - F.col("y"), 2)), 9).alias("brier"),
+        F.round(C.share(F.col("score") < 0.35), 9).alias("approval_rate"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    return per.select(
+        yr.cast("string").alias("run_id"),
+        F.concat(F.lit("v"), (yr % 5).cast("string")).alias("tag"),
+        yr.cast("int").alias("trained_at"),
+        *run_flags(),
+        "auc", "ks", "brier", "approval_rate", "n",
+    )
+
+
+def run_segments(t) -> DataFrame:
+    per = t.loans.groupBy("yr", "grp").agg(
+        F.round(F.avg("score"), 9).alias("auc"), F.count(F.lit(1)).alias("n")
+    )
+    return per.select(
+        F.col("yr").cast("int").alias("trained_at"),
+        *run_flags(),
+        F.lit("priority").alias("dimension"),
+        F.col("grp").alias("group"),
+        "auc", "n",
+    )
+
+
 TABLES = {
+    "runs": runs,
+    "run_segments": run_segments,
     "loans": loans,
     "base_clients": base_clients,
     "scores": scores,
