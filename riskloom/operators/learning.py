@@ -205,7 +205,7 @@ def fit_champion(
             labelCol=spec.label, weightCol="_w", validationIndicatorCol="_valid", maxIter=spec.trees,
             maxDepth=spec.depth, stepSize=spec.step, minInstancesPerNode=spec.min_rows,
             subsamplingRate=spec.row_share, featureSubsetStrategy=spec.feature_share,
-            maxBins=max(64, spec.max_categories + 4), seed=spec.seed,
+            maxBins=max(64, spec.max_categories + 4), validationTol=1e-4, seed=spec.seed,
         )
     )
     return Pipeline(stages=stages).fit(shaped)

@@ -4,6 +4,7 @@ from riskloom.plans import (  # noqa: F401
     queries_cleaning,
     queries_evaluation,
     queries_gates,
+    queries_learning,
     queries_portfolio,
 )
 from riskloom.plans.registry import ORACLES, QUERIES, callables  # noqa: F401
