@@ -6,5 +6,6 @@ from riskloom.plans import (  # noqa: F401
     queries_gates,
     queries_learning,
     queries_portfolio,
+    queries_sources,
 )
 from riskloom.plans.registry import ORACLES, QUERIES, callables  # noqa: F401
