@@ -7,5 +7,6 @@ from riskloom.plans import (  # noqa: F401
     queries_learning,
     queries_portfolio,
     queries_sources,
+    queries_streaming,
 )
 from riskloom.plans.registry import ORACLES, QUERIES, callables  # noqa: F401
