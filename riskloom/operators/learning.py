@@ -17,6 +17,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.pipeline import Pipeline
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -247,8 +248,23 @@ def train(
     df: DataFrame, spec: ModelSpec, split: str = K.SPLIT, cost_fn: float = K.COST_FN, cost_fp: float = K.COST_FP,
     row_weight: Column | None = None, with_baseline: bool = True,
 ) -> Bundle:
-    """Fit champion, calibration and baseline on their slices and freeze the cost threshold."""
+    """Fit champion, calibration and baseline on their slices and freeze the cost threshold.
 
+    The fits pass over their rows many times, so the model columns are kept (memory, then disk)
+    while training and released afterwards; a lost block is rebuilt from its lineage.
+    """
+    needed = dict.fromkeys([split, spec.key, spec.label, *spec.numeric, *spec.categorical])
+    slim = df.select(*[c for c in needed if c in df.columns]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return fit_all(slim, spec, split, cost_fn, cost_fp, row_weight, with_baseline)
+    finally:
+        slim.unpersist()
+
+
+def fit_all(
+    df: DataFrame, spec: ModelSpec, split: str, cost_fn: float, cost_fp: float, row_weight: Column | None,
+    with_baseline: bool,
+) -> Bundle:
     def rows(name: str) -> DataFrame:
         return df.filter(F.col(split) == name)
 

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import constants as K
-from riskloom.operators import aggregation, filters, portfolio, ranking
+from riskloom.operators import aggregation, features, filters, portfolio, ranking
+from riskloom.plans import feature_table
 from riskloom.plans.queries_cleaning import AGE_CASE, DIMENSION_SQL, THRESHOLD, rounded
 from riskloom.plans.registry import Tables, query
+from riskloom.session import scratch_path
+from riskloom.sources import readers, writers
 
 APPROVED = "avg(CASE WHEN proba_champion < 0.09e0 THEN 1e0 WHEN proba_champion IS NULL THEN NULL ELSE 0e0 END)"
 
@@ -401,3 +404,55 @@ def _(t: Tables) -> DataFrame:
     ranked = ranking.running_sums(cells, "l_extendedprice", ["one"])
     kept = ranked.filter(ranking.evenly_spaced(F.col("below_one"), F.col("total_one"), 300))
     return kept.select(F.col("l_extendedprice").alias("price"), F.col("below_one").alias("position"))
+
+
+# ---------------------------------------------------------------- the whole feature table
+
+
+def application_base(t: Tables) -> DataFrame:
+    """Application columns alone: the history counts come from the build itself."""
+    return t.base_clients.drop("BUREAU_COUNT", "PREV_COUNT", "INST_COUNT", "POS_COUNT", "CC_COUNT")
+
+
+def whole_feature_table(t: Tables) -> DataFrame:
+    previous = t.bureau.withColumnRenamed("SK_ID_BUREAU", "SK_ID_PREV").select(
+        "SK_ID_CURR", "SK_ID_PREV", "amt", "active", "kind", "DAYS_DECISION")
+    histories = [
+        feature_table.History(previous, "PREV", ("active", "kind"), ("DAYS_DECISION", 24)),
+        feature_table.History(
+            t.instalments, "INST", (), ("DAYS_INSTALMENT", 12), prepare=features.add_payment_behaviour),
+    ]
+    return feature_table.build(
+        application_base(t), histories, (t.bureau.drop("DAYS_DECISION"), t.bureau_balance),
+        bureau_categories=("active",), balance_categories=("status",))
+
+
+@query("feature_table", """
+WITH cap AS (SELECT quantile_cont("AMT_INCOME_TOTAL", 0.999) AS c FROM base_clients),
+ p AS (SELECT "SK_ID_CURR", count(*) AS n, avg(amt) AS mean_amt, avg(CASE WHEN active = 'F' THEN 1e0 ELSE 0e0 END) AS f FROM bureau GROUP BY 1),
+ pr AS (SELECT "SK_ID_CURR", count(*) AS n, max(amt) AS max_amt FROM bureau WHERE "DAYS_DECISION" >= -720 GROUP BY 1),
+ i AS (SELECT "SK_ID_CURR", count(*) AS n, sum(CASE WHEN "DAYS_ENTRY_PAYMENT" > "DAYS_INSTALMENT" THEN 1 ELSE 0 END) AS late, max(greatest("DAYS_ENTRY_PAYMENT" - "DAYS_INSTALMENT", CASE WHEN "DAYS_ENTRY_PAYMENT" IS NOT NULL THEN 0 END)) AS dpd FROM instalments GROUP BY 1),
+ g AS (SELECT "SK_ID_BUREAU", count(*) AS n, sum(qty) AS q FROM bureau_balance GROUP BY 1),
+ b AS (SELECT "SK_ID_CURR", count(*) AS n, CAST(coalesce(sum(g.n), 0) AS BIGINT) AS n_bal, max(g.q) AS max_q FROM bureau LEFT JOIN g USING ("SK_ID_BUREAU") GROUP BY 1)
+SELECT c."SK_ID_CURR" AS id, p.n AS prev_count, round(p.mean_amt, 6) AS prev_mean, round(p.f, 9) AS prev_f_share, pr.n AS prev_recent, round(pr.max_amt, 6) AS prev_recent_max,
+ i.n AS inst_count, CAST(i.late AS BIGINT) AS n_late, CAST(i.dpd AS BIGINT) AS max_dpd, b.n AS bureau_count, b.n_bal AS n_balances, b.max_q AS max_balance_qty,
+ round(c."AMT_CREDIT" / nullif(least(c."AMT_INCOME_TOTAL", CASE WHEN c."AMT_INCOME_TOTAL" IS NOT NULL THEN cap.c END), 0), 9) AS cir,
+ CAST(b.n IS NOT NULL AS INTEGER) + CAST(p.n IS NOT NULL AS INTEGER) + CAST(i.n IS NOT NULL AS INTEGER) AS n_sources
+FROM cap, base_clients c LEFT JOIN p USING ("SK_ID_CURR") LEFT JOIN pr USING ("SK_ID_CURR") LEFT JOIN i USING ("SK_ID_CURR") LEFT JOIN b USING ("SK_ID_CURR")
+""")
+def _(t: Tables) -> DataFrame:
+    wide = whole_feature_table(t)
+    return wide.select(
+        F.col("SK_ID_CURR").alias("id"), F.col("PREV_COUNT").alias("prev_count"), F.round("PREV_AMT_MEAN", 6).alias("prev_mean"),
+        F.round("PREV_ACTIVE_F_MEAN", 9).alias("prev_f_share"), F.col("PREV_R24_COUNT").alias("prev_recent"),
+        F.round("PREV_R24_AMT_MAX", 6).alias("prev_recent_max"), F.col("INST_COUNT").alias("inst_count"),
+        F.col("INST_LATE_FLAG_SUM").cast("long").alias("n_late"), F.col("INST_DPD_MAX").cast("long").alias("max_dpd"),
+        F.col("BUREAU_COUNT").alias("bureau_count"), F.col("BUREAU_BB_COUNT_SUM").alias("n_balances"),
+        F.col("BUREAU_BB_QTY_SUM_MAX").alias("max_balance_qty"), F.round("CREDIT_INCOME_RATIO", 9).alias("cir"),
+        F.col("N_SOURCES").cast("int").alias("n_sources"))
+
+
+@query("feature_table_written", "SELECT count(*) AS n_rows, count(*) AS n_keys, true AS one_row_per_key FROM customer")
+def _(t: Tables) -> DataFrame:
+    path = writers.write_parquet(whole_feature_table(t), scratch_path(t.spark, "features"))
+    return portfolio.granularity(readers.read_parquet(t.spark, path))
