@@ -95,24 +95,28 @@ def five_year_window(c: Name) -> Column:
     return F.when(low.isNotNull(), F.concat(low.cast("string"), F.lit("-"), (low + 5).cast("string")))
 
 
-def dimensions() -> dict[str, Column]:
-    """The named grouping dimensions of the client table."""
-    out = {key: F.col(name) for key, name in K.PLAIN_DIMENSIONS.items()}
-    out["target"] = F.col(K.TARGET).cast("string")
-    out["children"] = upper_cap("CNT_CHILDREN", K.MAX_CHILDREN).cast("int").cast("string")
-    out["age_band"] = age_band()
-    out["income_band"] = band("AMT_INCOME_TOTAL", K.INCOME_BANDS)
-    out["credit_band"] = band("AMT_CREDIT", K.CREDIT_BANDS)
-    out["score_band"] = score_band()
-    out["thin_file"] = thin_file()
-    return out
+DERIVED_DIMENSIONS = {
+    "target": lambda: F.col(K.TARGET).cast("string"),
+    "children": lambda: upper_cap("CNT_CHILDREN", K.MAX_CHILDREN).cast("int").cast("string"),
+    "age_band": lambda: age_band(),
+    "income_band": lambda: band("AMT_INCOME_TOTAL", K.INCOME_BANDS),
+    "credit_band": lambda: band("AMT_CREDIT", K.CREDIT_BANDS),
+    "score_band": lambda: score_band(),
+    "thin_file": lambda: thin_file(),
+}
 
 
 def dimension(by: str) -> Column:
-    known = dimensions()
-    if by not in known:
-        raise ValueError(f"unknown dimension {by!r}; known: {', '.join(sorted(known))}")
-    return known[by]
+    """One of the named grouping dimensions of the client table."""
+    if by in K.PLAIN_DIMENSIONS:
+        return F.col(K.PLAIN_DIMENSIONS[by])
+    if by in DERIVED_DIMENSIONS:
+        return DERIVED_DIMENSIONS[by]()
+    raise ValueError(f"unknown dimension {by!r}; known: {', '.join(sorted(K.DIMENSION_LABELS))}")
+
+
+def dimensions() -> dict[str, Column]:
+    return {by: dimension(by) for by in K.DIMENSION_LABELS}
 
 
 def origin_table(c: Name) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import constants as K
 from riskloom.functions.columns import clean_name
-from riskloom.operators.cleaning import numeric_columns, string_columns
+from riskloom.operators.cleaning import numeric_columns
 
 AGGREGATES = {
     "mean": lambda x: F.avg(x),
@@ -52,10 +52,14 @@ def aggregate_numeric(
     parents: DataFrame | None = None,
     skip: Sequence[str] = K.KEY_COLUMNS,
 ) -> DataFrame:
-    """Every numeric non-key column under every function, plus the row count, per key."""
-    source = df if parents is None else restrict_to(df, parents, key)
-    names = numeric_columns(source, skip=(key, *skip))
-    return group_wide(source, key, numeric_expressions(names, prefix, funcs))
+    """Every numeric non-key column under every function, plus the row count, per key.
+
+    With ``parents`` the filter runs on the one-row-per-key result: it keeps the same keys as
+    filtering first, and no raw row is shuffled for it.
+    """
+    names = numeric_columns(df, skip=(key, *skip))
+    wide = group_wide(df, key, numeric_expressions(names, prefix, funcs))
+    return wide if parents is None else restrict_to(wide, parents, key)
 
 
 def aggregate_recent(
@@ -77,20 +81,31 @@ def recent_cut(window_column: str, months: int) -> int:
     return -abs(months) * (K.DAYS_PER_MONTH if window_column.startswith("DAYS_") else 1)
 
 
-def top_values(df: DataFrame, columns: Sequence[str], k: int = K.MAX_CATEGORIES) -> dict[str, list[str]]:
+def top_values(
+    df: DataFrame, columns: Sequence[str], k: int = K.MAX_CATEGORIES,
+    key: str | None = None, parents: DataFrame | None = None,
+) -> dict[str, list[str]]:
     """The k most frequent non-null values per column (count descending, then value).
 
     One job for all columns; the ranked filter is cut to k rows per column inside every
     task before the rows meet, so a column with many values never gathers in one place.
+    With ``parents`` only rows of known keys count: rows are reduced to (key, value) counts
+    before that join.
     """
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column_name", "value"
-    )
-    counts = long.filter(F.col("value").isNotNull()).groupBy("column_name", "value").count()
+    keys = [] if parents is None else [key]
+    long = df.select(*keys, *[F.col(c).cast("string").alias(f"_c_{c}") for c in columns]).unpivot(
+        keys, [f"_c_{c}" for c in columns], "column_name", "value"
+    ).withColumn("column_name", F.substring("column_name", 4, 1000)).filter(F.col("value").isNotNull())
+    if parents is None:
+        counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+    else:
+        per_key = long.groupBy(key, "column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
+        known = restrict_to(per_key, parents, key)
+        counts = known.groupBy("column_name", "value").agg(F.sum("_n").alias("count"))
     order = Window.partitionBy("column_name").orderBy(F.desc("count"), F.asc("value"))
     best = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     out: dict[str, list[str]] = {c: [] for c in columns}
-    for row in best.orderBy("column_name", "rank").collect():
+    for row in sorted(best.collect(), key=lambda r: (r["column_name"], r["rank"])):
         out[row["column_name"]].append(row["value"])
     return out
 
@@ -126,9 +141,9 @@ def aggregate_categorical(
 ) -> DataFrame:
     """Count and share of each frequent value (tail and nulls lumped) per key."""
     have = [c for c in columns if c in df.columns]
-    source = df if parents is None else restrict_to(df, parents, key)
-    kept = top_values(source, have, max_categories)
-    return group_wide(source, key, categorical_expressions(kept, prefix))
+    kept = top_values(df, have, max_categories, key, parents)
+    wide = group_wide(df, key, categorical_expressions(kept, prefix))
+    return wide if parents is None else restrict_to(wide, parents, key)
 
 
 def aggregate_history(
@@ -140,13 +155,18 @@ def aggregate_history(
     funcs: Sequence[str] = K.NUMERIC_AGGREGATES,
     max_categories: int = K.MAX_CATEGORIES,
     skip: Sequence[str] = K.KEY_COLUMNS,
+    parents: DataFrame | None = None,
 ) -> DataFrame:
-    """Lifetime, categorical and recent-window aggregates of one table in a single grouped pass."""
+    """Lifetime, categorical and recent-window aggregates of one table in a single grouped pass.
+
+    ``parents`` decides which rows count for the frequent values; keys outside it stay in the
+    result, to be dropped by the left join that attaches it.
+    """
     names = numeric_columns(df, skip=(key, *skip))
     exprs = numeric_expressions(names, prefix, funcs)
     have = [c for c in categories if c in df.columns]
     if have:
-        exprs += categorical_expressions(top_values(df, have, max_categories), prefix)
+        exprs += categorical_expressions(top_values(df, have, max_categories, key, parents), prefix)
     if recent:
         column, months = recent
         inside = F.coalesce(F.col(column) >= recent_cut(column, months), F.lit(False))
@@ -174,18 +194,21 @@ def roll_up(
     grandchild_categories: Sequence[str] = (),
     funcs: Sequence[str] = K.NUMERIC_AGGREGATES,
 ) -> DataFrame:
-    """Grandchild -> child -> parent: the large table is reduced before either join."""
+    """Grandchild -> child -> parent: each level is reduced before its join.
+
+    Unknown keys fall away at the joins, so no raw grandchild row is shuffled to be filtered.
+    """
     skip = (parent_key, child_key, *K.KEY_COLUMNS)
-    kept = restrict_to(child, parents, parent_key)
-    inner = restrict_to(grandchild, kept, child_key)
+    known_children = restrict_to(child, parents, parent_key).select(child_key)
     inner_wide = aggregate_history(
-        inner, child_key, grandchild_prefix, grandchild_categories, funcs=funcs, skip=skip
+        grandchild, child_key, grandchild_prefix, grandchild_categories, funcs=funcs, skip=skip,
+        parents=known_children,
     )
-    joined = kept.join(inner_wide, child_key, "left")
+    joined = child.join(inner_wide, child_key, "left")
     outer = aggregate_history(
-        joined, parent_key, child_prefix, child_categories, funcs=funcs, skip=skip
+        joined, parent_key, child_prefix, child_categories, funcs=funcs, skip=skip, parents=parents
     )
-    return outer
+    return restrict_to(outer, parents, parent_key)
 
 
 def attach(base: DataFrame, parts: Sequence[DataFrame], key: str) -> DataFrame:
@@ -201,7 +224,3 @@ def join_report(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
         F.count("_hit").alias("n_matched"),
         F.count_if(F.col("_hit").isNull()).alias("n_lost"),
     )
-
-
-def strings_of(df: DataFrame) -> list[str]:
-    return string_columns(df)

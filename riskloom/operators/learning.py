@@ -38,20 +38,19 @@ def class_counts(df: DataFrame, label: str) -> dict[int, int]:
 
 
 def positions_label(
-    df: DataFrame, key: str, label: str, cuts: Mapping[int, Sequence[int]], names: Sequence[str], seed: int
+    df: DataFrame, key: str, label: str, cuts: Mapping[int, Sequence[int]], names: Sequence[str]
 ) -> Column:
     """Name by position inside the class, in the order of a keyed hash."""
+    wanted = {v: [p for p in positions if p > 0] for v, positions in cuts.items()}
+    found = ranking.cut_keys_by(df.select(label, "_u", key), "_u", key, label, wanted)
     out = None
     for value, positions in cuts.items():
-        one = df.filter(F.col(label) == value).select("_u", key)
-        live = [p for p in positions if p > 0]
-        keys = dict(zip(sorted(set(live)), ranking.cut_keys(one, "_u", key, live)))
         name = F.lit(names[0])
         for p, following in zip(positions, names[1:]):
             if p == 0:
                 name = F.lit(following)
-            elif p in keys:
-                name = F.when(ranking.at_or_after_key("_u", key, keys[p]), F.lit(following)).otherwise(name)
+            elif p in found[value]:
+                name = F.when(ranking.at_or_after_key("_u", key, found[value][p]), F.lit(following)).otherwise(name)
         hit = F.col(label) == value
         out = F.when(hit, name) if out is None else out.when(hit, name)
     return out
@@ -72,7 +71,7 @@ def stratified_split(
         upto += share
         bounds.append(upto)
     cuts = {v: [int(n * b) for b in bounds] for v, n in class_counts(df, label).items()}
-    slice_name = positions_label(hashed, key, label, cuts, [n for n, _ in shares], seed)
+    slice_name = positions_label(hashed, key, label, cuts, [n for n, _ in shares])
     return hashed.withColumn(out, slice_name).drop("_u")
 
 
@@ -84,7 +83,7 @@ def stratified_sample(df: DataFrame, n: int, key: str = K.ID, label: str = K.TAR
         return df
     hashed = df.withColumn("_u", C.hash_unit(key, seed=seed))
     cuts = {v: [int(n * c / total + 0.5)] for v, c in counts.items()}
-    kept = positions_label(hashed, key, label, cuts, ["in", "out"], seed)
+    kept = positions_label(hashed, key, label, cuts, ["in", "out"])
     return hashed.filter(kept == "in").drop("_u")
 
 

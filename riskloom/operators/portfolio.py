@@ -369,5 +369,5 @@ def client_sheet(df: DataFrame, threshold: float, width: Column | float = 0.0, e
 
 
 def dimension_catalogue(spark) -> DataFrame:
-    rows = [(k, K.DIMENSION_LABELS[k]) for k in C.dimensions()]
+    rows = list(K.DIMENSION_LABELS.items())
     return spark.createDataFrame(rows, "dimension string, label string")

@@ -137,52 +137,58 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float]) -> list[float]:
     return [] if row is None else list(row["q"])
 
 
-def cut_keys(
-    df: DataFrame, value: str, tie: str, positions: Sequence[int]
-) -> list[tuple[float, int]]:
-    """The (value, tie) keys found at the given 0-based positions of the ascending order.
+Key = tuple[float, int]
+
+
+def cut_keys(df: DataFrame, value: str, tie: str, positions: Sequence[int]) -> list[Key]:
+    """The (value, tie) keys found at the given 0-based positions of the ascending order."""
+    one = df.withColumn("_one", F.lit(1))
+    found = cut_keys_by(one, value, tie, "_one", {1: positions})[1]
+    return [found[p] for p in sorted(found)]
+
+
+def cut_keys_by(
+    df: DataFrame, value: str, tie: str, by: str, positions: Mapping[object, Sequence[int]]
+) -> dict[object, dict[int, Key]]:
+    """The keys at the given positions of every group, all groups in the same passes.
 
     The value at each position comes from the distinct-value counts; the tie column is then
-    ordered only inside those few values, again range by range.
+    looked at only inside those few values: directly while they hold few rows, otherwise
+    again range by range.
     """
-    wanted = sorted(set(int(p) for p in positions))
+    wanted = [(i, g, int(p)) for i, (g, p) in enumerate((g, p) for g, ps in positions.items() for p in sorted(set(ps)))]
+    out: dict[object, dict[int, Key]] = {g: {} for g in positions}
     if not wanted:
-        return []
-    cells = value_cells(df.select(value), value)
-    ranked = running_sums(cells, value, ["n"])
-    near = [
+        return out
+    ranked = running_sums(value_cells(df.select(by, value), value, [by]), value, ["n"], [by])
+    upto = F.col("below_n") + F.col("n")
+    row = ranked.agg(*[
+        F.min(F.when((F.col(by) == F.lit(g)) & (upto > p), F.struct(F.col(value), F.col("below_n"), F.col("n")))).alias(f"p{i}")
+        for i, g, p in wanted
+    ]).first()
+    hits = [(i, g, p, *row[f"p{i}"]) for i, g, p in wanted if row[f"p{i}"] is not None]
+    if not hits:
+        return out
+    tied = df.filter(F.col(value).isin(sorted({h[3] for h in hits}))).select(by, value, tie)
+    if sum(h[5] for h in hits) <= CELLS_PER_RANGE:
+        same = {(r[by], r[value]): r["_t"] for r in tied.groupBy(by, value).agg(F.sort_array(F.collect_list(tie)).alias("_t")).collect()}
+        for _i, g, p, v, below, _n in hits:
+            out[g][p] = (v, same[(g, v)][p - below])
+        return out
+    ties = running_sums(value_cells(tied, tie, [by, value]), tie, ["n"], [by, value])
+    found = ties.agg(*[
         F.min(
-            F.when(F.col("below_n") + F.col("n") > p, F.struct(F.col(value), F.col("below_n")))
-        ).alias(f"p{p}")
-        for p in wanted
-    ]
-    row = ranked.agg(*near).first()
-    by_value: dict[float, list[tuple[int, int]]] = {}
-    for p in wanted:
-        if row[f"p{p}"] is not None:
-            v, below = row[f"p{p}"]
-            by_value.setdefault(v, []).append((p, p - below))
-    tied = df.filter(F.col(value).isin(list(by_value))).select(value, tie)
-    ties = running_sums(value_cells(tied, tie, [value]), tie, ["n"], [value])
-    picks = [
-        F.min(
-            F.when((F.col(value) == F.lit(v)) & (F.col("below_n") + F.col("n") > k), F.col(tie))
-        ).alias(f"p{p}")
-        for v, pairs in by_value.items()
-        for p, k in pairs
-    ]
-    found = ties.agg(*picks).first()
-    keys = {p: (v, found[f"p{p}"]) for v, pairs in by_value.items() for p, _ in pairs}
-    return [keys[p] for p in wanted if p in keys]
-
-
-def after_key(value: str, tie: str, key: tuple[float, int]):
-    """True where (value, tie) sorts after the key."""
-    v, t = key
-    return (F.col(value) > F.lit(v)) | ((F.col(value) == F.lit(v)) & (F.col(tie) > F.lit(t)))
+            F.when((F.col(by) == F.lit(g)) & (F.col(value) == F.lit(v)) & (F.col("below_n") + F.col("n") > p - below), F.col(tie))
+        ).alias(f"p{i}")
+        for i, g, p, v, below, _n in hits
+    ]).first()
+    for i, g, p, v, _below, _n in hits:
+        out[g][p] = (v, found[f"p{i}"])
+    return out
 
 
-def at_or_after_key(value: str, tie: str, key: tuple[float, int]):
+def at_or_after_key(value: str, tie: str, key: Key):
+    """True where (value, tie) sorts at or after the key."""
     v, t = key
     return (F.col(value) > F.lit(v)) | ((F.col(value) == F.lit(v)) & (F.col(tie) >= F.lit(t)))
 
@@ -233,8 +239,3 @@ def share_at_or_below(df: DataFrame, value: str, out: str = "percentile") -> Dat
     """For each distinct value, the share of non-null rows at or below it."""
     ranked = running_sums(value_cells(df.select(value), value), value, ["n"])
     return ranked.select(value, ((F.col("below_n") + F.col("n")) / F.col("total_n")).alias(out))
-
-
-def with_counts(df: DataFrame, **conditions: Mapping) -> DataFrame:
-    """One row counting the rows where each condition holds."""
-    return df.agg(*[F.count_if(c).alias(k) for k, c in conditions.items()])

@@ -26,12 +26,11 @@ def history_features(
     base: DataFrame, history: History, key: str = K.ID, funcs: Sequence[str] = K.NUMERIC_AGGREGATES,
     max_categories: int = K.MAX_CATEGORIES, skip: Sequence[str] = K.KEY_COLUMNS,
 ) -> DataFrame:
-    """Lifetime, categorical and recent aggregates of one child table, known clients only."""
-    rows = aggregation.restrict_to(history.table, base, key)
-    rows = history.prepare(rows) if history.prepare else rows
+    """Lifetime, categorical and recent aggregates of one child table."""
+    rows = history.prepare(history.table) if history.prepare else history.table
     recent = history.recent if history.recent and history.recent[0] in rows.columns else None
     return aggregation.aggregate_history(
-        rows, key, history.prefix, history.categories, recent, funcs, max_categories, skip
+        rows, key, history.prefix, history.categories, recent, funcs, max_categories, skip, parents=base
     )
 
 
@@ -44,22 +43,25 @@ def build(
     balance_categories: Sequence[str] = (),
     key: str = K.ID,
     clean: bool = True,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """Cleaned base, all histories attached on one partitioning of the key, then derived columns.
 
     Every history is reduced to one row per client before its join, and all parts are already
     partitioned by the key from their aggregation, so the joins add no shuffle of their own.
+    ``ids`` may name a cheaper source of the known keys than the base itself.
     """
     wide = cleaning.sanitize(base) if clean else base
+    known = (base if ids is None else ids).select(key)
     parts = []
     if bureau is not None:
         loans, balances = bureau
         parts.append(
             aggregation.roll_up(
-                wide, loans, balances, key, bureau_key, "BUREAU", "BB", bureau_categories, balance_categories
+                known, loans, balances, key, bureau_key, "BUREAU", "BB", bureau_categories, balance_categories
             )
         )
-    parts += [history_features(wide, h, key) for h in histories]
+    parts += [history_features(known, h, key) for h in histories]
     joined = aggregation.attach(wide, parts, key)
     derived = features.add_ratios(joined)
     derived = features.add_presence_flags(derived)

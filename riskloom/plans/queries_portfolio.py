@@ -424,7 +424,8 @@ def whole_feature_table(t: Tables) -> DataFrame:
     ]
     return feature_table.build(
         application_base(t), histories, (t.bureau.drop("DAYS_DECISION"), t.bureau_balance),
-        bureau_categories=("active",), balance_categories=("status",))
+        bureau_categories=("active",), balance_categories=("status",),
+        ids=t.customer.select(F.col("c_custkey").alias("SK_ID_CURR")))
 
 
 @query("feature_table", """

@@ -169,77 +169,67 @@ def with_tables(sql: str) -> str:
 # ---------------------------------------------------------------- DataFrame twins
 
 
-def case(*pairs, default=None):
-    out = None
-    for condition, value in pairs:
-        out = F.when(condition, F.lit(value)) if out is None else out.when(condition, F.lit(value))
-    return out if default is None else out.otherwise(F.lit(default))
-
-
 def base_clients(t) -> DataFrame:
     """Customers with their order history and event counts; the children are reduced before the joins."""
-    k, nation = F.col("c_custkey"), F.col("c_nationkey")
-    history = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+    history = t.orders.groupBy(F.col("o_custkey").alias("k")).agg(
         F.count(F.lit(1)).alias("h_n"),
         F.avg("o_totalprice").alias("h_avg"),
         F.max("o_totalprice").alias("h_max"),
         F.min("o_totalprice").alias("h_min"),
         F.count_if(F.col("o_orderstatus") == "F").alias("h_final"),
     )
-    visits = t.events.groupBy(F.col("user_id").alias("c_custkey")).agg(F.count(F.lit(1)).alias("v_n"))
-    joined = t.customer.join(history, "c_custkey", "left").join(visits, "c_custkey", "left")
-    return joined.select(
-        k.alias("SK_ID_CURR"),
-        (F.col("c_acctbal") < 0).cast("int").alias("TARGET"),
-        F.when(k % 97 != 5, F.when(k % 3 == 0, "M").otherwise("F")).alias("CODE_GENDER"),
-        F.when(k % 53 != 7, -(7300 + (k * 7919) % 18000)).alias("DAYS_BIRTH"),
-        F.when(k % 11 != 4, -((k * 104729) % 9000)).alias("DAYS_EMPLOYED"),
-        (-((k * 31) % 8000)).alias("DAYS_REGISTRATION"),
-        (-((k * 17) % 4000)).alias("DAYS_ID_PUBLISH"),
-        (-((k * 13) % 2000)).alias("DAYS_LAST_PHONE_CHANGE"),
-        (k % 8).cast("int").alias("CNT_CHILDREN"),
-        (k % 8 + k % 2).cast("int").alias("CNT_FAM_MEMBERS"),
-        F.col("h_avg").alias("AMT_INCOME_TOTAL"),
-        (F.col("h_max") * 2.0).alias("AMT_CREDIT"),
-        F.col("h_min").alias("AMT_ANNUITY"),
-        F.when(k % 29 == 3, 0.0).otherwise(F.col("h_max") * 1.8).alias("AMT_GOODS_PRICE"),
-        F.col("c_mktsegment").alias("NAME_EDUCATION_TYPE"),
-        case((nation % 2 == 0, "Cash loans"), default="Revolving loans").alias("NAME_CONTRACT_TYPE"),
-        case((nation % 5 == 0, "Pensioner"), (nation % 5 == 1, "Working"), default="Commercial associate").alias("NAME_INCOME_TYPE"),
-        case((nation % 3 == 0, "Married"), (nation % 3 == 1, "Single"), default="Widow").alias("NAME_FAMILY_STATUS"),
-        case((k % 4 == 0, "Rented apartment"), default="House / apartment").alias("NAME_HOUSING_TYPE"),
-        F.when(k % 7 != 0, F.when(k % 7 < 4, "Laborers").otherwise("Managers")).alias("OCCUPATION_TYPE"),
-        case((k % 6 < 2, "School"), (k % 6 < 4, "Trade"), default="Self-employed").alias("ORGANIZATION_TYPE"),
-        case((k % 2 == 0, "Y"), default="N").alias("FLAG_OWN_CAR"),
-        case((k % 5 < 3, "Y"), default="N").alias("FLAG_OWN_REALTY"),
-        F.when(k % 9 >= 5, ((k * 271) % 1000) / 1000.0).alias("EXT_SOURCE_1"),
-        (((k * 337) % 1009) / 1009.0).alias("EXT_SOURCE_2"),
-        F.when(k % 5 != 2, ((k * 419) % 997) / 997.0).alias("EXT_SOURCE_3"),
-        F.col("v_n").alias("BUREAU_COUNT"),
-        F.col("h_n").alias("PREV_COUNT"),
-        F.col("h_final").alias("INST_COUNT"),
-        F.when(k % 3 == 1, F.col("h_n")).alias("POS_COUNT"),
-        F.when(k % 4 == 1, F.col("h_n")).alias("CC_COUNT"),
+    visits = t.events.groupBy(F.col("user_id").alias("k")).agg(F.count(F.lit(1)).alias("v_n"))
+    joined = t.customer.withColumnRenamed("c_custkey", "k").join(history, "k", "left").join(visits, "k", "left")
+    return joined.selectExpr(
+        "k AS SK_ID_CURR",
+        "int(c_acctbal < 0) AS TARGET",
+        "if(k % 97 = 5, NULL, if(k % 3 = 0, 'M', 'F')) AS CODE_GENDER",
+        "if(k % 53 = 7, NULL, -(7300 + (k * 7919) % 18000)) AS DAYS_BIRTH",
+        "if(k % 11 = 4, NULL, -((k * 104729) % 9000)) AS DAYS_EMPLOYED",
+        "-((k * 31) % 8000) AS DAYS_REGISTRATION",
+        "-((k * 17) % 4000) AS DAYS_ID_PUBLISH",
+        "-((k * 13) % 2000) AS DAYS_LAST_PHONE_CHANGE",
+        "int(k % 8) AS CNT_CHILDREN",
+        "int(k % 8 + k % 2) AS CNT_FAM_MEMBERS",
+        "h_avg AS AMT_INCOME_TOTAL",
+        "h_max * 2D AS AMT_CREDIT",
+        "h_min AS AMT_ANNUITY",
+        "if(k % 29 = 3, 0D, h_max * 1.8D) AS AMT_GOODS_PRICE",
+        "c_mktsegment AS NAME_EDUCATION_TYPE",
+        "if(c_nationkey % 2 = 0, 'Cash loans', 'Revolving loans') AS NAME_CONTRACT_TYPE",
+        "CASE c_nationkey % 5 WHEN 0 THEN 'Pensioner' WHEN 1 THEN 'Working' ELSE 'Commercial associate' END AS NAME_INCOME_TYPE",
+        "CASE c_nationkey % 3 WHEN 0 THEN 'Married' WHEN 1 THEN 'Single' ELSE 'Widow' END AS NAME_FAMILY_STATUS",
+        "if(k % 4 = 0, 'Rented apartment', 'House / apartment') AS NAME_HOUSING_TYPE",
+        "if(k % 7 = 0, NULL, if(k % 7 < 4, 'Laborers', 'Managers')) AS OCCUPATION_TYPE",
+        "CASE WHEN k % 6 < 2 THEN 'School' WHEN k % 6 < 4 THEN 'Trade' ELSE 'Self-employed' END AS ORGANIZATION_TYPE",
+        "if(k % 2 = 0, 'Y', 'N') AS FLAG_OWN_CAR",
+        "if(k % 5 < 3, 'Y', 'N') AS FLAG_OWN_REALTY",
+        "if(k % 9 < 5, NULL, ((k * 271) % 1000) / 1000D) AS EXT_SOURCE_1",
+        "((k * 337) % 1009) / 1009D AS EXT_SOURCE_2",
+        "if(k % 5 = 2, NULL, ((k * 419) % 997) / 997D) AS EXT_SOURCE_3",
+        "v_n AS BUREAU_COUNT",
+        "h_n AS PREV_COUNT",
+        "h_final AS INST_COUNT",
+        "if(k % 3 = 1, h_n, NULL) AS POS_COUNT",
+        "if(k % 4 = 1, h_n, NULL) AS CC_COUNT",
     )
 
 
 def scores(t) -> DataFrame:
     """The score table: split, label and three scores; one tenth of the clients is left out."""
-    k = F.col("c_custkey")
-    event = F.col("c_acctbal") < 0
-    raw = F.round(
-        0.002 + F.pow(((k * 7919 + 13) % 10007) / 10007.0, 3) * 0.5
-        + F.when(event, ((k * 31) % 11) / 40.0).otherwise(0.0),
-        6,
+    raw = t.customer.filter("c_custkey % 10 <> 5").selectExpr(
+        "c_custkey AS k",
+        "c_acctbal < 0 AS event",
+        """round(0.002D + pow(((c_custkey * 7919 + 13) % 10007) / 10007D, 3) * 0.5D
+                 + if(c_acctbal < 0, ((c_custkey * 31) % 11) / 40D, 0D), 6) AS raw""",
     )
-    split = case(((k % 10).isin(1, 2), "test"), ((k % 10).isin(3, 4), "valid"), default="train")
-    return t.customer.filter(k % 10 != 5).select(
-        k.alias("SK_ID_CURR"),
-        split.alias("split"),
-        event.cast("int").alias("y_true"),
-        F.round(raw, 2).alias("proba_champion"),
-        raw.alias("proba_champion_raw"),
-        F.when(split != "train", raw * 0.7 + ((k * 53) % 101) / 500.0).alias("proba_baseline"),
+    return raw.selectExpr(
+        "k AS SK_ID_CURR",
+        "CASE WHEN k % 10 IN (1, 2) THEN 'test' WHEN k % 10 IN (3, 4) THEN 'valid' ELSE 'train' END AS split",
+        "int(event) AS y_true",
+        "round(raw, 2) AS proba_champion",
+        "raw AS proba_champion_raw",
+        "if(k % 10 IN (1, 2, 3, 4), raw * 0.7D + ((k * 53) % 101) / 500D, NULL) AS proba_baseline",
     )
 
 

@@ -20,6 +20,8 @@ def local_session(cores: int | str = "*", app_name: str = "riskloom", **conf: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # call-site capture costs several driver round trips per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
