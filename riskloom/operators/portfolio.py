@@ -257,12 +257,13 @@ def granularity(df: DataFrame, key: str = K.ID) -> DataFrame:
 
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
-    return (
+    """Count and share of every non-null value (any number of values)."""
+    counts = (
         df.filter(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("string").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("share", F.col("n") / F.sum("n").over(whole()))
     )
+    return counts.withColumn("share", F.col("n") / counts.agg(F.sum("n")).scalar())
 
 
 def group_means(df: DataFrame, by: str, value: str = K.TARGET) -> DataFrame:
@@ -315,15 +316,38 @@ def importance_by_source(ranking_table: DataFrame) -> DataFrame:
     )
 
 
+# rows a page may skip with a plain top-n; deeper pages are found by their cut keys
+SHALLOW = 10_000
+
+
 def page(
     df: DataFrame, number: int, size: int, sort: str, ascending: bool = True, key: str = K.ID
 ) -> DataFrame:
-    """One page of a sorted listing, nulls last, the key as tie-break (a bounded top-n)."""
+    """One page of a sorted listing, nulls last, the key as tie-break."""
     if sort not in df.columns:
         raise ValueError(f"unknown column {sort!r}")
     order = F.asc_nulls_last(sort) if ascending else F.desc_nulls_last(sort)
     keys = [order] if sort == key else [order, F.asc(key)]
-    return df.orderBy(*keys).offset((number - 1) * size).limit(size)
+    skipped = (number - 1) * size
+    if skipped <= SHALLOW or not is_numeric(df, sort):
+        return df.orderBy(*keys).offset(skipped).limit(size)
+    return deep_page(df, skipped, size, sort, ascending, key).orderBy(*keys).limit(size)
+
+
+def deep_page(df: DataFrame, skipped: int, size: int, sort: str, ascending: bool, key: str) -> DataFrame:
+    """Rows from position ``skipped`` on, located by order statistics instead of a long top-n."""
+    x = F.col(sort).cast("double")
+    keyed = df.withColumn("_s", x if ascending else -x)
+    present = keyed.filter(F.col("_s").isNotNull())
+    n = present.count()
+    if skipped >= n:
+        absent = keyed.filter(F.col("_s").isNull())
+        first = ranking.cut_keys(absent.withColumn("_s", F.lit(0.0)), "_s", key, [skipped - n])
+        return absent.filter(F.col(key) >= first[0][1] if first else F.lit(False)).drop("_s")
+    first = ranking.cut_keys(present, "_s", key, [skipped])[0]
+    kept = ranking.at_or_after_key("_s", key, first)
+    # the tail of the page may run into the rows without a value
+    return keyed.filter(kept | F.col("_s").isNull() if skipped + size > n else kept).drop("_s")
 
 
 def page_meta(df: DataFrame, number: int, size: int) -> DataFrame:

@@ -134,7 +134,7 @@ def quantiles_of_cells(
 def quantiles(df: DataFrame, value: str, probs: Sequence[float]) -> list[float]:
     """Exact quantiles of one column as numbers (at most ``len(probs)`` values reach the driver)."""
     row = quantile_table(df, value, probs).first()
-    return [] if row is None else list(row["q"])
+    return [] if row is None or row["n"] is None else list(row["q"])
 
 
 Key = tuple[float, int]

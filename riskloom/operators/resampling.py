@@ -26,6 +26,8 @@ from riskloom.functions import constants as K
 from riskloom.operators import evaluation, ranking
 
 REPLICA_BLOCK = 64
+# weights held at once by a task (cells x replicas)
+MAX_WEIGHTS = 8_000_000
 # units of a cell drawn one by one; larger cells draw their sum at once
 UNIT_DRAWS = 256
 
@@ -87,8 +89,9 @@ def range_partials(cells: pd.DataFrame, replicas: int, seed: int) -> Iterator[di
     first = np.flatnonzero(np.r_[True, score[1:] != score[:-1]])
     arrays = {c: cells[c].to_numpy("int64") for c in ("key_event", "key_nonevent", "events", "nonevents")}
     rate = cells["rate"].to_numpy("float64")
-    for start in range(0, replicas, REPLICA_BLOCK):
-        replica = np.arange(start, min(start + REPLICA_BLOCK, replicas), dtype="int64")
+    block = max(1, min(REPLICA_BLOCK, MAX_WEIGHTS // len(cells)))
+    for start in range(0, replicas, block):
+        replica = np.arange(start, min(start + block, replicas), dtype="int64")
         we = cell_weights(arrays["key_event"], arrays["events"], rate, replica, seed)
         wn = cell_weights(arrays["key_nonevent"], arrays["nonevents"], rate, replica, seed)
         mass = ((we + wn) * score[:, None]).sum(axis=0)
