@@ -186,9 +186,9 @@ def cost_sensitivity(
 # ---------------------------------------------------------------- ranking quality
 
 
-def auc_of_cells(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def auc_of_cells(cells: DataFrame, by: Sequence[str] = (), edges: Sequence[float] | None = None) -> DataFrame:
     """Exact AUC with half credit for ties, per group."""
-    ranked = ranking.running_sums(cells, "score", ["nonevents"], by)
+    ranked = ranking.running_sums(cells, "score", ["nonevents"], by, edges)
     won = F.col("events").cast("double") * (F.col("below_nonevents") + F.col("nonevents") / 2.0)
     return ranked.groupBy(*by).agg(
         F.sum("events").alias("n_events"),
@@ -457,8 +457,14 @@ def group_quality(
 
     Everything comes from the (group, score) cells, so the rows are shuffled once.
     """
-    cells = score_cells(df, label, score, by)
-    ranked = ranking.running_sums(cells, "score", ["nonevents"], by)
+    return quality_of_cells(score_cells(df, label, score, by), by, threshold, min_count)
+
+
+def quality_of_cells(
+    cells: DataFrame, by: Sequence[str], threshold: float, min_count: int = K.MIN_GROUP,
+    edges: Sequence[float] | None = None,
+) -> DataFrame:
+    ranked = ranking.running_sums(cells, "score", ["nonevents"], by, edges)
     e, ne, s = F.col("events"), F.col("nonevents"), F.col("score")
     agg = ranked.groupBy(*by).agg(
         F.sum(e + ne).alias("n"),

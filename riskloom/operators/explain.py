@@ -274,24 +274,20 @@ def simulate(
 ) -> DataFrame:
     """Score before and after the changes, difference and whether the decision moved.
 
-    Both versions of a client sit in one row stream (tagged copies), so the table is scored in
-    one pass and the pair meets again by its key.
+    Both scores are taken of the same row, one after the other, so nothing is shuffled or joined.
     """
-    before = df.withColumn("_run", F.lit("base"))
-    after = features_ops.apply_changes(df, changes).withColumn("_run", F.lit("changed"))
-    both = scorer(before.unionByName(after)).withColumn("_d", C.decide("probability_default", threshold, width))
-    paired = both.groupBy(key).agg(
-        *[
-            F.max(F.when(F.col("_run") == run, F.col(c))).alias(f"{run}_{name}")
-            for run in ("base", "changed")
-            for c, name in (("probability_default", "probability"), ("_d", "decision"))
-        ]
-    )
-    return paired.withColumns(
-        {
-            "delta_probability": F.col("changed_probability") - F.col("base_probability"),
-            "decision_changed": F.col("changed_decision") != F.col("base_decision"),
-        }
+    taken = "probability_default"
+    first = scorer(df).withColumnRenamed(taken, "base_probability")
+    second = scorer(features_ops.apply_changes(first, changes)).withColumnRenamed(taken, "changed_probability")
+    base, changed = F.col("base_probability"), F.col("changed_probability")
+    return second.select(
+        key,
+        "base_probability",
+        C.decide(base, threshold, width).alias("base_decision"),
+        "changed_probability",
+        C.decide(changed, threshold, width).alias("changed_decision"),
+        (changed - base).alias("delta_probability"),
+        (C.decide(changed, threshold, width) != C.decide(base, threshold, width)).alias("decision_changed"),
     )
 
 

@@ -223,7 +223,8 @@ def tree_input_owner(spec: ModelSpec) -> list[str]:
 def apply_model(df: DataFrame, model: PipelineModel, spec: ModelSpec, levels: Mapping, missing: str, out: str) -> DataFrame:
     """Event probability as a plain column; helper columns are dropped."""
     scored = model.transform(as_inputs(df, spec, levels, missing))
-    return scored.withColumn(out, vector_to_array("probability")[1]).select(*df.columns, out)
+    kept = [c for c in df.columns if c != out]
+    return scored.withColumn(out, vector_to_array("probability")[1]).select(*kept, out)
 
 
 def fit_calibration(df: DataFrame, label: str, score: str) -> IsotonicRegressionModel:

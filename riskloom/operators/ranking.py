@@ -21,19 +21,19 @@ CELLS_PER_RANGE = 50_000
 MAX_RANGES = 20_000
 
 
-def range_edges(df: DataFrame, value: str, ranges: int | None = None) -> list[float]:
+def range_edges(df: DataFrame, value: str) -> list[float]:
     """Ascending inner edges that split the values of ``df`` into about equal ranges.
 
     One pass counts the cells and sketches their quantiles; the number of ranges grows with the
     cells, so a range stays near ``CELLS_PER_RANGE`` cells. Only the edges reach the driver.
     """
-    most = ranges or min(4 * parallelism(df.sparkSession), MAX_RANGES)
+    most = min(4 * parallelism(df.sparkSession), MAX_RANGES)
     if most < 2:
         return []
     probs = [i / most for i in range(1, most)]
     x = F.col(value).cast("double")
     n, found = df.agg(F.count(x), F.percentile_approx(x, probs, max(1000, 20 * most))).first()
-    wanted = ranges or min(most, -(-n // CELLS_PER_RANGE))
+    wanted = min(most, -(-n // CELLS_PER_RANGE))
     if not found or wanted < 2:
         return []
     step = most / wanted
@@ -67,11 +67,14 @@ def running_sums(
     value: str,
     measures: Sequence[str],
     by: Sequence[str] = (),
-    ranges: int | None = None,
+    edges: Sequence[float] | None = None,
 ) -> DataFrame:
-    """Add ``below_<m>`` (sum over smaller values of the group) and ``total_<m>`` to each cell."""
+    """Add ``below_<m>`` (sum over smaller values of the group) and ``total_<m>`` to each cell.
+
+    ``edges`` of an earlier call over the same cells spare the pass that finds them.
+    """
     by = list(by)
-    edges = range_edges(cells, value, ranges)
+    edges = range_edges(cells, value) if edges is None else edges
     if not edges:
         # few cells: each group is one range, and its running sums are the answer
         group = Window.partitionBy(*by)
@@ -103,17 +106,17 @@ def running_sums(
 
 
 def quantile_table(
-    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), ranges: int | None = None
+    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Exact linear-interpolated quantiles: one row per group with ``n`` and array ``q``."""
     cells = value_cells(df.select(*by, value), value, by)
-    return quantiles_of_cells(cells, value, probs, by, ranges)
+    return quantiles_of_cells(cells, value, probs, by)
 
 
 def quantiles_of_cells(
-    cells: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), ranges: int | None = None
+    cells: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    ranked = running_sums(cells, value, ["n"], by, ranges)
+    ranked = running_sums(cells, value, ["n"], by)
     x = F.col(value).cast("double")
     picks = []
     for i, p in enumerate(probs):

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from riskloom.functions import columns as C
 from riskloom.functions import constants as K
 from riskloom.operators import evaluation, ranking
+from riskloom.session import staged
 
 REPLICA_BLOCK = 64
 # weights held at once by a task (cells x replicas)
@@ -120,10 +121,18 @@ def keyed_cells(df: DataFrame, label: str, score: str, by: Sequence[str], rate:
     )
 
 
-def replicate_cells(cells: DataFrame, by: Sequence[str], replicas: int, seed: int = 42) -> DataFrame:
+def shared_cells(df: DataFrame, label: str, score: str, by: Sequence[str]) -> tuple[DataFrame, list[float]]:
+    """Keyed cells and their range edges, made once for every figure that reads them."""
+    cells = staged(keyed_cells(df, label, score, by), "score-cells")
+    return cells, ranking.range_edges(cells, "score")
+
+
+def replicate_cells(
+    cells: DataFrame, by: Sequence[str], replicas: int, seed: int = 42, edges: Sequence[float] | None = None
+) -> DataFrame:
     """(group, replica) -> weighted events, non-events, AUC and calibration gap."""
     by = list(by)
-    edges = ranking.range_edges(cells, "score")
+    edges = ranking.range_edges(cells, "score") if edges is None else edges
     ranged = ranking.with_bins(cells, "score", edges, ranking.RANGE)
     keys = [*by, ranking.RANGE]
     schema = T.StructType(
@@ -162,12 +171,6 @@ def replicate_cells(cells: DataFrame, by: Sequence[str], replicas: int, seed: in
     )
 
 
-def replicate(
-    df: DataFrame, label: str, score: str, by: Sequence[str] = (), replicas: int = 500, seed: int = 42
-) -> DataFrame:
-    return replicate_cells(keyed_cells(df, label, score, by), by, replicas, seed)
-
-
 def interval(c: str, alpha: float) -> Column:
     """Aggregate: both ends of the percentile interval over the replicas (a bounded set)."""
     return F.percentile(c, F.array(F.lit(alpha / 2), F.lit(1 - alpha / 2)))
@@ -204,8 +207,9 @@ def auc_interval(
     alpha: float = 0.05, seed: int = 42,
 ) -> DataFrame:
     """AUC with a bootstrap interval per group; a one-class group has nulls and a note."""
-    points = evaluation.auc(df, label, score, by)
-    return auc_interval_of(replicate(df, label, score, by, replicas, seed), points, by, alpha)
+    cells, edges = shared_cells(df, label, score, by)
+    points = evaluation.auc_of_cells(cells, by, edges)
+    return auc_interval_of(replicate_cells(cells, by, replicas, seed, edges), points, by, alpha)
 
 
 def auc_differences_of(
@@ -262,8 +266,9 @@ def auc_differences_of(
 def auc_differences(
     df: DataFrame, label: str, score: str, group: str, replicas: int = 1000, alpha: float = 0.05, seed: int = 42
 ) -> DataFrame:
-    points = evaluation.auc(df, label, score, [group])
-    return auc_differences_of(replicate(df, label, score, [group], replicas, seed), points, group, (), alpha)
+    cells, edges = shared_cells(df, label, score, [group])
+    points = evaluation.auc_of_cells(cells, [group], edges)
+    return auc_differences_of(replicate_cells(cells, [group], replicas, seed, edges), points, group, (), alpha)
 
 
 def auc_difference_of_group(
@@ -279,8 +284,10 @@ def calibration_gaps(
     alpha: float = 0.05, seed: int = 42,
 ) -> DataFrame:
     """Predicted minus observed rate per group with its bootstrap interval and Brier score."""
-    points = evaluation.group_quality(df, label, score, [by], 1.0, min_count)
-    spread = replicate(df, label, score, [by], replicas, seed).groupBy(by).agg(interval("gap", alpha).alias("_ci"))
+    cells, edges = shared_cells(df, label, score, [by])
+    points = evaluation.quality_of_cells(cells, [by], 1.0, min_count, edges)
+    reps = replicate_cells(cells, [by], replicas, seed, edges)
+    spread = reps.groupBy(by).agg(interval("gap", alpha).alias("_ci"))
     return points.join(spread, by, "left").select(
         by,
         "n",
@@ -301,13 +308,14 @@ def segment_report(
     """Point figures, AUC interval and verdict against the rest of the axis, for every segment."""
     long = evaluation.unpivot_dimensions(df, axes or evaluation.segment_axes(), [label, score])
     by = ["dimension", "group"]
-    points = evaluation.auc(long, label, score, by)
-    reps = replicate(long, label, score, by, replicas, seed)
+    cells, edges = shared_cells(long, label, score, by)
+    points = evaluation.auc_of_cells(cells, by, edges)
+    reps = replicate_cells(cells, by, replicas, seed, edges)
     ci = auc_interval_of(reps, points, by, alpha).select(*by, "ci_low", "ci_high", "n_boot")
     diffs = auc_differences_of(reps, points, "group", ["dimension"], alpha).select(
         *by, "auc_reference", "diff", "diff_ci_low", "diff_ci_high", "p_value", "worse_than_reference"
     )
-    figures = evaluation.group_quality(long, label, score, by, threshold, min_count)
+    figures = evaluation.quality_of_cells(cells, by, threshold, min_count, edges)
     return (
         figures.join(ci, by, "left")
         .join(diffs, by, "left")
@@ -321,8 +329,10 @@ def overall_quality(
 ) -> DataFrame:
     """The same point figures and interval for the whole set (one row)."""
     whole = df.withColumn("_all", F.lit("all"))
-    points = evaluation.group_quality(whole, label, score, ["_all"], threshold, 1)
-    ci = auc_interval(whole, label, score, ["_all"], replicas, alpha, seed).select(
+    cells, edges = shared_cells(whole, label, score, ["_all"])
+    points = evaluation.quality_of_cells(cells, ["_all"], threshold, 1, edges)
+    reps = replicate_cells(cells, ["_all"], replicas, seed, edges)
+    ci = auc_interval_of(reps, evaluation.auc_of_cells(cells, ["_all"], edges), ["_all"], alpha).select(
         "_all", "ci_low", "ci_high", "ci_width", "n_boot")
     return points.join(ci, "_all", "left").drop("_all")
 
