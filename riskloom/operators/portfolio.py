@@ -204,7 +204,7 @@ def crosstab_labels(cells: DataFrame) -> DataFrame:
 
 
 def column_profile(df: DataFrame, chunk: int = 150) -> DataFrame:
-    """Type, extremes, approximate distinct count and null share of every column.
+    """Type, extremes, approximate distinct count, moments, approximate quartiles and null share per column.
 
     Columns go in chunks so the aggregate stays compilable; each pass reads only its columns.
     """
@@ -221,11 +221,20 @@ def column_profile(df: DataFrame, chunk: int = 150) -> DataFrame:
                 F.approx_count_distinct(c).alias(f"_u{i}"),
                 F.count_if(F.col(c).isNull()).alias(f"_m{i}"),
             ]
-            rows.append(f"'{c}', '{kinds[c]}', _lo{i}, _hi{i}, _u{i}, _m{i}, _n")
+            extra = ", ".join(["CAST(NULL AS DOUBLE)"] * 5)
+            if is_numeric(df, c):
+                x = F.col(c).cast("double")
+                aggs += [
+                    F.avg(x).alias(f"_a{i}"),
+                    F.stddev_samp(x).alias(f"_s{i}"),
+                    F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(f"_q{i}"),
+                ]
+                extra = f"_a{i}, _s{i}, get(_q{i}, 0), get(_q{i}, 1), get(_q{i}, 2)"
+            rows.append(f"'{c}', '{kinds[c]}', _lo{i}, _hi{i}, _u{i}, {extra}, _m{i}, _n")
         parts.append(
             df.select(*some).agg(*aggs).selectExpr(
                 f"stack({len(some)}, {', '.join(rows)}) AS "
-                "(column_name, column_type, min_value, max_value, approx_unique, n_null, n_rows)"
+                "(column_name, column_type, min_value, max_value, approx_unique, avg, std, q25, q50, q75, n_null, n_rows)"
             )
         )
     out = parts[0]

@@ -108,15 +108,21 @@ def range_partials(cells: pd.DataFrame, replicas: int, seed: int) -> Iterator[di
         }
 
 
-def keyed_cells(df: DataFrame, label: str, score: str, by: Sequence[str], rate: Column | None = None, extra: Sequence[str] = ()) -> DataFrame:
-    """Score cells with a draw key for their events and for their non-events."""
-    cells = evaluation.score_cells(df, label, score, [*by, *extra])
+def keyed_cells(
+    df: DataFrame, label: str, score: str, by: Sequence[str], stratum: str | None = None, rate: str | None = None
+) -> DataFrame:
+    """Score cells with a draw key for their events and for their non-events.
+
+    With a stratum column, cells are also split by it and draw at its rate.
+    """
+    extra = [] if stratum is None else [stratum]
+    cells = evaluation.score_cells(df, label, score, [*by, *extra, *([] if rate is None else [rate])])
     level = F.round(F.col("score") * 1e9).cast("long")
     return cells.withColumns(
         {
             "key_event": C.hash_key(*by, *extra, level, F.lit(1)),
             "key_nonevent": C.hash_key(*by, *extra, level, F.lit(0)),
-            "rate": F.lit(1.0) if rate is None else rate,
+            "rate": F.lit(1.0) if rate is None else F.col(rate),
         }
     )
 
@@ -356,8 +362,8 @@ def matched_cohort(
     pool = slim.filter(in_pool).join(
         mix.filter(F.col("n_pool") > 0).select("stratum", (F.col("n_target") / F.col("n_pool")).alias("_rate")), "stratum"
     )
-    cells = keyed_cells(pool, label, score, (), rate=F.col("_rate"), extra=("stratum", "_rate"))
-    reps = replicate_cells(cells.drop("_rate"), (), replicas, seed)
+    cells = staged(keyed_cells(pool, label, score, (), "stratum", "_rate"), "cohort-cells")
+    reps = replicate_cells(cells, (), replicas, seed)
     own = evaluation.auc(slim.filter(is_target), label, score).select("auc")
     cover = mix.agg(
         F.count(F.lit(1)).alias("n_strata"),

@@ -348,13 +348,13 @@ def uniform_sql(key: str, unit: str, replica: str, seed: int = 42) -> str:
     return f"((({c} * {c} + {a}) % {p}) / {p}e0)"
 
 
-def poisson_sql(u: str, rate: str = "1e0", most: int = 14) -> str:
+def poisson_sql(u: str, rate: str = "1e0", most: int = 20) -> str:
     parts, upto = [], ""
     for k in range(most):
         term = f"exp(-({rate})) * pow({rate}, {k}) / {math.factorial(k)}e0"
         upto = f"{upto} + {term}" if upto else term
-        parts.append(f"CAST(u >= {upto} AS INTEGER)")
-    return "(" + " + ".join(parts) + ")" if u == "u" else ""
+        parts.append(f"CAST({u} >= {upto} AS INTEGER)")
+    return "(" + " + ".join(parts) + ")"
 
 
 def replica_ctes(source: str, by: str, rate: str = "1e0", extra: str = "", replicas: int = REPLICAS) -> str:
@@ -473,10 +473,26 @@ STRATUM = """CAST(CAST("BUREAU_COUNT" IS NULL AS INTEGER) AS VARCHAR) || '|' ||
  CAST(CAST(coalesce("INST_COUNT", 0) > 5 AS INTEGER) + CAST(coalesce("INST_COUNT", 0) > 15 AS INTEGER) + CAST(coalesce("INST_COUNT", 0) > 30 AS INTEGER) + CAST(coalesce("INST_COUNT", 0) > 60 AS INTEGER) AS VARCHAR)"""
 
 
-@query("matched_cohort")
+COHORT_SOURCE = f"""SELECT {AGE_CASE} AS band, {STRATUM} AS stratum, "TARGET" AS y, proba_champion_raw AS s FROM clients WHERE {SCORED}"""
+
+
+def cohort_sql(target: str, reference: str) -> str:
+    pool = f"""SELECT y, s, stratum, rate FROM rows_ JOIN (SELECT stratum, count(CASE WHEN band = '{target}' THEN 1 END) / CAST(count(CASE WHEN band IN ({reference}) THEN 1 END) AS DOUBLE) AS rate
+      FROM rows_ GROUP BY 1 HAVING count(CASE WHEN band = '{target}' THEN 1 END) > 0 AND count(CASE WHEN band IN ({reference}) THEN 1 END) > 0) USING (stratum) WHERE band IN ({reference})"""
+    return f"""
+    WITH rows_ AS ({COHORT_SOURCE}), {replica_ctes(pool, '', 'rate', 'stratum')},
+     own AS ({auc_sql(f"SELECT y, s FROM rows_ WHERE band = '{target}'")}),
+     mix AS (SELECT stratum, count(CASE WHEN band = '{target}' THEN 1 END) AS nt, count(CASE WHEN band IN ({reference}) THEN 1 END) AS np FROM rows_ GROUP BY 1),
+     cov AS (SELECT count(*) AS n_strata, sum(CASE WHEN np > 0 THEN nt ELSE 0 END) / CAST(sum(nt) AS DOUBLE) AS coverage, CAST(sum(nt) AS BIGINT) AS n_target FROM mix WHERE nt > 0),
+     sp AS (SELECT avg(reps.auc) AS m, quantile_cont(reps.auc, [0.025, 0.975]) AS q, avg(CASE WHEN own.auc < reps.auc THEN 1e0 ELSE 0e0 END) AS p, count(reps.auc) AS nb FROM reps, own)
+    SELECT round(own.auc, 9) AS auc_target, round(m, 9) AS auc_cohort, round(q[1], 9) AS ci_low, round(q[2], 9) AS ci_high, round(own.auc - m, 9) AS diff, round(p, 9) AS p_target_worse, nb AS n_boot, n_strata, round(coverage, 9) AS coverage, n_target
+    FROM own, cov, sp"""
+
+
+@query("matched_cohort", cohort_sql("55-65", "'35-45', '45-55'"))
 def _(t: Tables) -> DataFrame:
     df, strata = R.profile_strata(t.clients.withColumn("band", C.age_band()))
-    return rounded(R.matched_cohort(df, K.TARGET, K.SCORE, "band", "55-65", ["35-45", "45-55"], strata, REPLICAS), 9)
+    return rounded(R.matched_cohort(df, K.TARGET, K.RAW_SCORE, "band", "55-65", ["35-45", "45-55"], strata, REPLICAS), 9)
 
 
 @query("matched_cohort_coverage", f"""

@@ -252,6 +252,14 @@ def _(t: Tables) -> DataFrame:
         "column_name", "column_type", "min_value", "max_value")
 
 
+@query("column_moments", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, round(avg({c}), 6) AS avg, round(stddev_samp({c}), 6) AS std FROM lineitem"
+    for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")))
+def _(t: Tables) -> DataFrame:
+    profile = portfolio.column_profile(t.lineitem.select("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+    return rounded(profile.select("column_name", "avg", "std"), 6)
+
+
 @query("missing_report", f"""
 WITH p AS ({profile_sql("base_clients", PROFILED)})
 SELECT column_name, null_rate, CAST(count(CASE WHEN null_rate > 0 THEN 1 END) OVER () AS BIGINT) AS columns_with_missing

@@ -9,6 +9,7 @@ from riskloom.functions import constants as K
 from riskloom.operators import drift, learning, portfolio
 from riskloom.plans import training
 from riskloom.plans.queries_cleaning import rounded
+from riskloom.plans.queries_gates import VERDICT, psi_ctes
 from riskloom.plans.queries_portfolio import PROFILED
 from riskloom.plans.registry import Tables, query
 from riskloom.session import scratch_path
@@ -152,11 +153,14 @@ def _(t: Tables) -> DataFrame:
     return before.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("proba_champion"), 9).alias("previous_mean"))
 
 
-@query("drift_against_snapshot")
+@query("drift_against_snapshot", f"""
+WITH {psi_ctes("SELECT 'proba_champion' AS feature, proba_champion * 0.8e0 AS x, 0 AS side FROM scores UNION ALL SELECT 'proba_champion', proba_champion, 1 FROM scores")}
+SELECT 'rodada anterior vs. atual' AS comparison, round(psi, 9) AS psi, {VERDICT} AS verdict, te AS n_expected, tt AS n_observed FROM s JOIN t USING (feature)
+""")
 def _(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "snapshots")
     writers.snapshot(t.scores.withColumn("proba_champion", F.col("proba_champion") * 0.8), path, "a")
-    return drift.score_drift_report(t.scores, writers.previous_snapshot(t.spark, path, "b"))
+    return rounded(drift.score_drift_report(t.scores, writers.previous_snapshot(t.spark, path, "b")), 9)
 
 
 @query("sample_run_kept_apart", "SELECT 'demo' AS branch, count(*) AS n FROM supplier UNION ALL SELECT 'official', count(*) FROM part")
