@@ -76,15 +76,21 @@ def metric_gate(
     runs: DataFrame, run_id: str, metric: str = "auc", tolerance: float = K.MAX_AUC_DROP
 ) -> DataFrame:
     """Current run against the newest other accepted run: baseline, better, tolerated or regression."""
-    current = runs.filter(F.col("run_id") == run_id).select(
-        F.lit(1).alias("_j"), "run_id", F.col(metric).alias("current")
-    )
-    before = (
-        latest(accepted(runs).filter(F.col("run_id") != run_id))
-        .select(F.lit(1).alias("_j"), F.col("run_id").alias("reference_run"), F.col(metric).alias("reference"))
+    other = (
+        F.col("sample").isNull()
+        & (F.coalesce("status", F.lit(K.ACCEPTED)) == K.ACCEPTED)
+        & (F.col("run_id") != run_id)
     )
+    pick = F.struct("run_id", F.col(metric).alias("m"))
+    row = runs.agg(
+        F.max(F.when(F.col("run_id") == run_id, pick)).alias("c"),
+        F.max_by(F.when(other, pick), F.when(other, F.col("trained_at"))).alias("r"),
+    ).filter(F.col("c").isNotNull())
     delta = F.col("current") - F.col("reference")
-    return current.join(before, "_j", "left").drop("_j").withColumns(
+    return row.select(
+        F.col("c.run_id").alias("run_id"), F.col("c.m").alias("current"),
+        F.col("r.run_id").alias("reference_run"), F.col("r.m").alias("reference"),
+    ).withColumns(
         {
             "delta": delta,
             "status": F.when(F.col("reference").isNull(), K.STATUS_BASELINE)

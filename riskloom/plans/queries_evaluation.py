@@ -473,14 +473,19 @@ STRATUM = """CAST(CAST("BUREAU_COUNT" IS NULL AS INTEGER) AS VARCHAR) || '|' ||
  CAST(CAST(coalesce("INST_COUNT", 0) > 5 AS INTEGER) + CAST(coalesce("INST_COUNT", 0) > 15 AS INTEGER) + CAST(coalesce("INST_COUNT", 0) > 30 AS INTEGER) + CAST(coalesce("INST_COUNT", 0) > 60 AS INTEGER) AS VARCHAR)"""
 
 
+LEVELED = """SELECT c.*, CAST(greatest(ceil((r - 1) * 8 / CAST(n - 1 AS DOUBLE)), 1) - 1 AS INTEGER) AS lvl FROM clients c LEFT JOIN
+ (SELECT "SK_ID_CURR" AS rid, row_number() OVER (ORDER BY "EXT_SOURCE_MEAN", "SK_ID_CURR") AS r, count(*) OVER () AS n FROM clients WHERE "EXT_SOURCE_MEAN" IS NOT NULL) p ON p.rid = c."SK_ID_CURR" """
 COHORT_SOURCE = f"""SELECT {AGE_CASE} AS band, {STRATUM} AS stratum, "TARGET" AS y, proba_champion_raw AS s FROM clients WHERE {SCORED}"""
 
 
-def cohort_sql(target: str, reference: str) -> str:
+LEVEL_SOURCE = f"""SELECT {AGE_CASE} AS band, concat_ws('|', {STRATUM}, lvl) AS stratum, "TARGET" AS y, proba_champion_raw AS s FROM ({LEVELED}) WHERE {SCORED}"""
+
+
+def cohort_sql(target: str, reference: str, source: str = COHORT_SOURCE) -> str:
     pool = f"""SELECT y, s, stratum, rate FROM rows_ JOIN (SELECT stratum, count(CASE WHEN band = '{target}' THEN 1 END) / CAST(count(CASE WHEN band IN ({reference}) THEN 1 END) AS DOUBLE) AS rate
       FROM rows_ GROUP BY 1 HAVING count(CASE WHEN band = '{target}' THEN 1 END) > 0 AND count(CASE WHEN band IN ({reference}) THEN 1 END) > 0) USING (stratum) WHERE band IN ({reference})"""
     return f"""
-    WITH rows_ AS ({COHORT_SOURCE}), {replica_ctes(pool, '', 'rate', 'stratum')},
+    WITH rows_ AS ({source}), {replica_ctes(pool, '', 'rate', 'stratum')},
      own AS ({auc_sql(f"SELECT y, s FROM rows_ WHERE band = '{target}'")}),
      mix AS (SELECT stratum, count(CASE WHEN band = '{target}' THEN 1 END) AS nt, count(CASE WHEN band IN ({reference}) THEN 1 END) AS np FROM rows_ GROUP BY 1),
      cov AS (SELECT count(*) AS n_strata, sum(CASE WHEN np > 0 THEN nt ELSE 0 END) / CAST(sum(nt) AS DOUBLE) AS coverage, CAST(sum(nt) AS BIGINT) AS n_target FROM mix WHERE nt > 0),
@@ -507,10 +512,10 @@ def _(t: Tables) -> DataFrame:
     return rounded(out.select("n_strata", "coverage", "n_target", "auc_target"), 9)
 
 
-@query("matched_cohort_with_score_level")
+@query("matched_cohort_with_score_level", cohort_sql("25-35", "'35-45', '45-55'", LEVEL_SOURCE))
 def _(t: Tables) -> DataFrame:
     df, strata = R.profile_strata(t.clients.withColumn("band", C.age_band()), True)
-    return rounded(R.matched_cohort(df, K.TARGET, K.SCORE, "band", "25-35", ["35-45", "45-55"], strata, REPLICAS), 9)
+    return rounded(R.matched_cohort(df, K.TARGET, K.RAW_SCORE, "band", "25-35", ["35-45", "45-55"], strata, REPLICAS), 9)
 
 
 FLAGGED = f"""SELECT {AGE_CASE} AS band, CASE WHEN "NAME_INCOME_TYPE" = 'Pensioner' THEN 'aposentado' ELSE 'ativo' END AS flag, "TARGET" AS y, proba_champion AS s FROM clients WHERE {SCORED}"""
