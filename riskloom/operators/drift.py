@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as C
@@ -62,28 +62,30 @@ def bin_counts(df: DataFrame, cuts: dict[str, list[float]], side: Column) -> Dat
     )
 
 
-def psi_bins(df: DataFrame, cuts: dict[str, list[float]], side: Column, eps: float = K.PSI_EPS) -> DataFrame:
-    """Bins table of every feature with usable cuts: limits, shares and contribution.
-
-    A bin without rows on either side is kept, with both shares at the floor.
-    """
-    spark = df.sparkSession
+def bin_frame(spark: SparkSession, cuts: dict[str, list[float]]) -> DataFrame:
+    """Every bin of every feature with usable cuts (a few numbers per feature)."""
     rows = [
         (c, i, None if i == 0 else float(e[i]), float(e[i + 1]))
         for c, e in cuts.items()
         if len(e) >= 3
         for i in range(len(e) - 1)
     ]
-    frame = spark.createDataFrame(rows, "feature string, bin int, lower double, upper double")
-    counts = bin_counts(df, cuts, side)
-    filled = frame.join(counts, ["feature", "bin"], "left").fillna(0, ["n_expected", "n_observed"])
-    totals = filled.groupBy("feature").agg(
-        F.sum("n_expected").alias("_te"), F.sum("n_observed").alias("_to")
+    return spark.createDataFrame(rows, "feature string, bin int, lower double, upper double")
+
+
+def shares_of(counts: DataFrame, cuts: dict[str, list[float]], eps: float = K.PSI_EPS) -> DataFrame:
+    """Bins table from (feature, bin, n_expected, n_observed): limits, shares and contribution.
+
+    A bin without rows on either side is kept, with both shares at the floor.
+    """
+    inside = Window.partitionBy("feature")
+    filled = bin_frame(counts.sparkSession, cuts).join(counts, ["feature", "bin"], "left")
+    sized = filled.fillna(0, ["n_expected", "n_observed"]).withColumns(
+        {"_te": F.sum("n_expected").over(inside), "_to": F.sum("n_observed").over(inside)}
     )
-    joined = filled.join(totals, "feature")
     e = F.greatest(C.safe_div("n_expected", "_te"), F.lit(eps))
     o = F.greatest(C.safe_div("n_observed", "_to"), F.lit(eps))
-    return joined.filter((F.col("_te") > 0) & (F.col("_to") > 0)).select(
+    return sized.filter((F.col("_te") > 0) & (F.col("_to") > 0)).select(
         "feature", "bin", "lower", "upper", e.alias("pct_expected"), o.alias("pct_observed")
     ).withColumn(
         "contribution",
@@ -91,26 +93,16 @@ def psi_bins(df: DataFrame, cuts: dict[str, list[float]], side: Column, eps: flo
     )
 
 
-def psi_of(df: DataFrame, cuts: dict[str, list[float]], side: Column, eps: float = K.PSI_EPS) -> DataFrame:
+def report_of(counts: DataFrame, cuts: dict[str, list[float]], eps: float = K.PSI_EPS) -> DataFrame:
     """One row per feature: PSI, verdict, sizes, or a note when it cannot be computed."""
-    bins = psi_bins(df, cuts, side, eps).groupBy("feature").agg(F.sum("contribution").alias("psi"))
-    sizes = df.select(side.alias("_observed"), *[C.finite(c).alias(c) for c in cuts]).agg(
-        *[F.count(F.when(~F.col("_observed"), F.col(c))).alias(f"_e{i}") for i, c in enumerate(cuts)],
-        *[F.count(F.when(F.col("_observed"), F.col(c))).alias(f"_o{i}") for i, c in enumerate(cuts)],
+    psi = shares_of(counts, cuts, eps).groupBy("feature").agg(F.sum("contribution").alias("psi"))
+    sizes = counts.groupBy("feature").agg(
+        F.sum("n_expected").alias("n_expected"), F.sum("n_observed").alias("n_observed")
     )
-    listed = sizes.select(
-        F.explode(
-            F.array(*[
-                F.struct(
-                    F.lit(c).alias("feature"), F.lit(len(set(cuts[c]))).alias("n_cuts"),
-                    F.col(f"_e{i}").alias("n_expected"), F.col(f"_o{i}").alias("n_observed"),
-                )
-                for i, c in enumerate(cuts)
-            ])
-        ).alias("s")
-    ).select("s.*")
+    listed = counts.sparkSession.createDataFrame([(c, len(e)) for c, e in cuts.items()], "feature string, n_cuts int")
     empty = (F.col("n_expected") == 0) | (F.col("n_observed") == 0)
-    return listed.join(bins, "feature", "left").select(
+    joined = listed.join(sizes, "feature", "left").fillna(0, ["n_expected", "n_observed"]).join(psi, "feature", "left")
+    return joined.select(
         "feature",
         "psi",
         verdict("psi").alias("verdict"),
@@ -120,6 +112,28 @@ def psi_of(df: DataFrame, cuts: dict[str, list[float]], side: Column, eps: float
     )
 
 
+def psi_bins(df: DataFrame, cuts: dict[str, list[float]], side: Column, eps: float = K.PSI_EPS) -> DataFrame:
+    return shares_of(bin_counts(df, cuts, side), cuts, eps)
+
+
+def psi_of(df: DataFrame, cuts: dict[str, list[float]], side: Column, eps: float = K.PSI_EPS) -> DataFrame:
+    """PSI report of one table whose rows are on the expected (false) or observed (true) side."""
+    return report_of(bin_counts(df, cuts, side), cuts, eps)
+
+
+def frozen_counts(reference: DataFrame, cuts: dict[str, list[float]]) -> list[tuple[str, int, int]]:
+    """Reference rows per (feature, bin): at most bins x features numbers, kept for later batches."""
+    rows = bin_counts(reference, cuts, F.lit(False)).select("feature", "bin", "n_expected").collect()
+    return [tuple(r) for r in rows]
+
+
+def psi_against(observed: DataFrame, cuts: dict[str, list[float]], frozen: Sequence[tuple[str, int, int]]) -> DataFrame:
+    """PSI report of new rows against frozen reference counts; the reference is not read again."""
+    expected = observed.sparkSession.createDataFrame(list(frozen), "feature string, bin int, n_expected long")
+    new = bin_counts(observed, cuts, F.lit(True)).drop("n_expected")
+    return report_of(expected.join(new, ["feature", "bin"], "full_outer").fillna(0), cuts)
+
+
 def psi_between(
     df: DataFrame, features: Sequence[str], expected: Column, observed: Column, bins: int = 10, top: int = 30
 ) -> DataFrame:

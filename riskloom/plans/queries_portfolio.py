@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import constants as K
 from riskloom.operators import aggregation, features, filters, portfolio, ranking
 from riskloom.plans import feature_table
-from riskloom.plans.queries_cleaning import AGE_CASE, DIMENSION_SQL, THRESHOLD, rounded
+from riskloom.plans.queries_cleaning import DIMENSION_SQL, THRESHOLD, rounded
 from riskloom.plans.registry import Tables, query
 from riskloom.session import scratch_path
 from riskloom.sources import readers, writers

@@ -172,6 +172,7 @@ def _(t: Tables) -> DataFrame:
     cuts = drift.reference_cuts(reference, ["value"])
     path = scratch_path(t.spark, "drift")
     incoming = jobs.parquet_stream(t.spark, t.root, t.events.schema, "events.parquet").filter(late)
-    jobs.drift_per_batch(incoming, cuts, reference, path, scratch_path(t.spark, "drift-checkpoint")).awaitTermination()
+    frozen = drift.frozen_counts(reference, cuts)
+    jobs.drift_per_batch(incoming, cuts, frozen, path, scratch_path(t.spark, "drift-checkpoint")).awaitTermination()
     out = t.spark.read.option("recursiveFileLookup", True).parquet(path)
     return rounded(out.select("feature", "psi", "verdict", "n_expected", "n_observed", F.col("batch_id").cast("long")), 9)

@@ -41,21 +41,16 @@ def score_queue(stream: DataFrame, bundle: Bundle, threshold: float | None = Non
 
 
 def drift_per_batch(
-    stream: DataFrame, cuts: dict[str, list[float]], reference: DataFrame, path: str, checkpoint: str,
+    stream: DataFrame, cuts: dict[str, list[float]], frozen: Sequence[tuple[str, int, int]], path: str, checkpoint: str,
 ) -> StreamingQuery:
-    """PSI of every micro-batch against frozen reference cuts, appended to a table."""
+    """PSI of every micro-batch against frozen reference cuts and counts, appended to a table."""
 
     def measure(batch: DataFrame, batch_id: int) -> None:
-        both = reference.select(*cuts, F.lit(False).alias("_side")).unionByName(
-            batch.select(*cuts, F.lit(True).alias("_side"))
-        )
-        report = drift.psi_of(both, cuts, F.col("_side")).withColumn("batch_id", F.lit(batch_id))
+        report = drift.psi_against(batch, cuts, frozen).withColumn("batch_id", F.lit(batch_id))
         # one folder per batch: a repeated batch replaces its own rows
         report.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return (
-        stream.writeStream.foreachBatch(measure).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    return for_each_batch(stream, measure, checkpoint)
 
 
 def for_each_batch(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:

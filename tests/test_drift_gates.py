@@ -38,6 +38,16 @@ def test_psi_of_identical_tables_is_zero_and_bins_sum_to_one(spark):
     assert row[0] == pytest.approx(1) and row[1] == pytest.approx(1) and row[2] == 10
 
 
+def test_frozen_counts_give_the_same_report(spark):
+    ref, _ = normal(spark, 800, 0, 5)
+    obs, _ = normal(spark, 500, 0.5, 6)
+    cuts = drift.reference_cuts(ref, ["x"])
+    frozen = drift.frozen_counts(ref, cuts)
+    assert len(frozen) <= 10
+    a, b = drift.psi_against(obs, cuts, frozen).first(), drift.psi_of_two(ref, obs, ["x"]).first()
+    assert a["psi"] == pytest.approx(b["psi"]) and a["n_observed"] == 500 and a["n_expected"] == 800
+
+
 def test_psi_notes(spark):
     ref = spark.createDataFrame([(1.0, None)] * 50, "c double, e double")
     out = {r["feature"]: r for r in drift.psi_of_two(ref, ref, ["c", "e"]).collect()}

@@ -114,7 +114,8 @@ def test_drift_per_batch_writes_one_report_per_batch(spark, tmp_path):
     folder = write_minutes(spark, str(tmp_path / "e"), [[(float(i),) for i in range(0, 1000, 7)], [(float(i),) for i in range(900, 1000)]], "v double")
     cuts = drift.reference_cuts(reference, ["v"])
     stream = jobs.parquet_stream(spark, folder, reference.schema, per_batch=1)
-    jobs.drift_per_batch(stream, cuts, reference, str(tmp_path / "r"), str(tmp_path / "k")).awaitTermination()
+    frozen = drift.frozen_counts(reference, cuts)
+    jobs.drift_per_batch(stream, cuts, frozen, str(tmp_path / "r"), str(tmp_path / "k")).awaitTermination()
     out = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "r")).orderBy("batch_id").collect()
     assert len(out) == 2 and {r["verdict"] for r in out} == {"estável", "mudança relevante"}
 
