@@ -128,15 +128,6 @@ def origin_table(c: Name) -> Column:
     return out.otherwise(F.lit(K.DEFAULT_SOURCE))
 
 
-def bin_index(c: Name, edges: Sequence[float]) -> Column:
-    """Number of edges at or below the value: left-closed bins over a short edge list."""
-    x = col(c)
-    hits = reduce(
-        lambda a, b: a + b, [(x >= F.lit(float(e))).cast("int") for e in edges], F.lit(0)
-    )
-    return F.when(x.isNotNull(), hits)
-
-
 # ---------------------------------------------------------------- decisions
 
 

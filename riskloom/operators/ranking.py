@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from riskloom.session import parallelism
 
 RANGE = "_range"
-CELLS_PER_RANGE = 50_000
+CELLS_PER_RANGE = 250_000
+# tied rows the driver may look at to break a tie directly
+MAX_TIES = 20_000
 MAX_RANGES = 20_000
 
 
-def range_edges(df: DataFrame, value: str) -> list[float]:
+def range_edges(df: DataFrame, value: str, per_range: int | None = None) -> list[float]:
     """Ascending inner edges that split the values of ``df`` into about equal ranges.
 
     One pass counts the cells and sketches their quantiles; the number of ranges grows with the
@@ -33,7 +35,7 @@ def range_edges(df: DataFrame, value: str) -> list[float]:
     probs = [i / most for i in range(1, most)]
     x = F.col(value).cast("double")
     n, found = df.agg(F.count(x), F.percentile_approx(x, probs, max(1000, 20 * most))).first()
-    wanted = min(most, -(-n // CELLS_PER_RANGE))
+    wanted = min(most, -(-n // min(CELLS_PER_RANGE, per_range or CELLS_PER_RANGE)))
     if not found or wanted < 2:
         return []
     step = most / wanted
@@ -173,7 +175,7 @@ def cut_keys_by(
     if not hits:
         return out
     tied = df.filter(F.col(value).isin(sorted({h[3] for h in hits}))).select(by, value, tie)
-    if sum(h[5] for h in hits) <= CELLS_PER_RANGE:
+    if sum(h[5] for h in hits) <= min(MAX_TIES, CELLS_PER_RANGE):
         same = {(r[by], r[value]): r["_t"] for r in tied.groupBy(by, value).agg(F.sort_array(F.collect_list(tie)).alias("_t")).collect()}
         for _i, g, p, v, below, _n in hits:
             out[g][p] = (v, same[(g, v)][p - below])

@@ -27,6 +27,8 @@ from riskloom.operators import evaluation, ranking
 from riskloom.session import staged
 
 REPLICA_BLOCK = 64
+# cells a task draws weights for: smaller ranges than a plain running sum needs
+CELLS_PER_TASK = 20_000
 # weights held at once by a task (cells x replicas)
 MAX_WEIGHTS = 8_000_000
 # units of a cell drawn one by one; larger cells draw their sum at once
@@ -130,7 +132,7 @@ def keyed_cells(
 def shared_cells(df: DataFrame, label: str, score: str, by: Sequence[str]) -> tuple[DataFrame, list[float]]:
     """Keyed cells and their range edges, made once for every figure that reads them."""
     cells = staged(keyed_cells(df, label, score, by), "score-cells")
-    return cells, ranking.range_edges(cells, "score")
+    return cells, ranking.range_edges(cells, "score", CELLS_PER_TASK)
 
 
 def replicate_cells(
@@ -138,7 +140,7 @@ def replicate_cells(
 ) -> DataFrame:
     """(group, replica) -> weighted events, non-events, AUC and calibration gap."""
     by = list(by)
-    edges = ranking.range_edges(cells, "score") if edges is None else edges
+    edges = ranking.range_edges(cells, "score", CELLS_PER_TASK) if edges is None else edges
     ranged = ranking.with_bins(cells, "score", edges, ranking.RANGE)
     keys = [*by, ranking.RANGE]
     schema = T.StructType(

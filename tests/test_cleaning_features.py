@@ -133,6 +133,7 @@ def test_bands_and_decisions(spark):
     assert one(df.select(C.decide("p", 0.05, 0.04).alias("d")), "d") == ["REVISAR", "REVISAR", None, "NEGAR"]
     with pytest.raises(ValueError):
         C.dimension("nope")
+    assert portfolio.dimension_catalogue(spark).count() == len(C.dimensions()) == 16
 
 
 def test_band_width_doubles_only_in_weak_segments(spark):
