@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import exact_dedup
+from riskloom.llm import byte_bpe, exact_dedup, packing, token_counts, url_filter
 from riskloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +31,48 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n.t) AS tex
 """)
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@registered()
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+        limit=1024,
+    )
+
+
+@registered()
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode_and_decode(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        digests=True,
+    )
+
+
+#: The rules of the url query.
+URL_RULES = (
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+)
+
+
+@registered()
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES).drop("score")
+
+
+@registered()
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+        end_id=1,
+    )
