@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import byte_bpe, exact_dedup, line_dedup, packing, token_counts, topk, url_filter
-from riskloom.llm.common import table
+from riskloom.llm import byte_bpe, exact_dedup, line_dedup, packing, quality, token_counts, topk, url_filter
+from riskloom.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,6 +86,26 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES).drop("score")
 
 
+def judged(scores: DataFrame, held_out) -> DataFrame:
+    """doc_id, held_out, score, predicted; a null id belongs to no fold."""
+    return scores.select(
+        "doc_id",
+        F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@registered()
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def held_out(doc_id):
+        return fold(doc_id, 3) == 1
+
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    labels = labels.select("doc_id", F.col("quality").alias("label"))
+    return judged(quality.quality_scores(table(spark, sf_dir, "documents"), labels), held_out)
+
+
 @registered()
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(
