@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import byte_bpe, exact_dedup, line_dedup, packing, quality, token_counts, topk, url_filter
+from riskloom.llm import byte_bpe, exact_dedup, line_dedup, packing, quality, token_counts, topk, toxicity, url_filter
 from riskloom.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +96,16 @@ def judged(scores: DataFrame, held_out) -> DataFrame:
     )
 
 
+@registered()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def held_out(doc_id):
+        return fold(doc_id, 5) == 0
+
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    labels = labels.select("doc_id", F.col("toxic").alias("label"))
+    return judged(toxicity.toxicity_scores(table(spark, sf_dir, "documents"), labels), held_out)
+
+
 @registered()
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     def held_out(doc_id):
