@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import byte_bpe, exact_dedup, line_dedup, packing, quality, token_counts, topk, toxicity, url_filter
+from riskloom.llm import byte_bpe, exact_dedup, line_dedup, minhash, packing, quality, token_counts, topk, toxicity, url_filter
 from riskloom.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES).drop("score")
 
 
+@registered()
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def judged(scores: DataFrame, held_out) -> DataFrame:
     """doc_id, held_out, score, predicted; a null id belongs to no fold."""
     return scores.select(
