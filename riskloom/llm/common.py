@@ -32,6 +32,25 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(key, str(rows))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not use yet."""
+    used = {c.lower() for c in df.columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def matching_rows(documents: DataFrame, keys: DataFrame, **columns: Column) -> DataFrame:
+    """The rows of `documents`, with all their columns, whose values are among the rows of `keys`.
+
+    columns: for each column of `keys`, the expression over `documents` that it is compared with; nulls are equal.
+    """
+    names = {k: fresh(documents, f"_{k}") for k in columns}
+    wanted = keys.select(*(F.col(k).alias(n) for k, n in names.items())).distinct()
+    on = [columns[k].eqNullSafe(F.col(n)) for k, n in names.items()]
+    return documents.join(wanted, on, "left_semi")
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

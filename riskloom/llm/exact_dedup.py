@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import stage
+from riskloom.llm.common import matching_rows, stage
 
 #: Rows of one group that are compared with its first text in one join key.
 ROWS_PER_SALT = 4096
@@ -95,10 +95,7 @@ def exact_groups(
 
 def exact_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `documents` that stay, with all their columns."""
-    kept = exact_groups(documents, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")
+    kept = exact_groups(documents, id_col, text_col).where("kept").select("doc_id", "text_sha256")
+    return matching_rows(
+        documents, kept, doc_id=F.col(id_col), text_sha256=F.sha2(normalised(F.col(text_col)), 256)
     )
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (
-        F.sha2(normalised(F.col(text_col)), 256) == F.col("_kept_sha")
-    )
-    return documents.join(kept.distinct(), same, "left_semi")

@@ -77,19 +77,21 @@ N_STATISTICS = 26
 
 
 def document_statistics(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, stats (array of double) of every row; a null text counts as empty."""
+    """doc_id, text_hash, stats (array of double) of every row; a null text counts as empty."""
     small_batches(documents.sparkSession)
-    rows = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    text = F.col(text_col)
+    rows = documents.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
     def describe(batches):
         for batch in batches:
-            stats = [statistics(t or "") for t in batch.column(1).to_pylist()]
+            stats = [statistics(t or "") for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(stats, pa.list_(pa.float64()))], names=["doc_id", "stats"]
+                [batch.column(0), batch.column(1), pa.array(stats, pa.list_(pa.float64()))],
+                names=["doc_id", "text_hash", "stats"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(describe, f"doc_id {kind}, stats array<double>")
+    return rows.mapInArrow(describe, f"doc_id {kind}, text_hash long, stats array<double>")
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -230,26 +232,26 @@ def fit(labelled: DataFrame) -> Model:
 
 
 def score(stats: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score of every row."""
+    """doc_id, text_hash, score of every row."""
     shared = stats.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            scores = np.clip(shared.value.score(matrix(batch.column(2))), 0, 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.clip(shared.value.score(matrix(batch.column(1))), 0, 1))],
-                names=["doc_id", "score"],
+                [batch.column(0), batch.column(1), pa.array(scores)], names=["doc_id", "text_hash", "score"]
             )
 
     kind = stats.schema["doc_id"].dataType.simpleString()
-    return stats.select("doc_id", "stats").mapInArrow(run, f"doc_id {kind}, score double")
+    return stats.select("doc_id", "text_hash", "stats").mapInArrow(run, f"doc_id {kind}, text_hash long, score double")
 
 
 def quality_scores(
     documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, score of every row. labels: doc_id, label (0 or 1; rows with another label or a null are left out).
+    """doc_id, text_hash, score of every row. labels: doc_id, label (0 or 1; other rows are left out).
 
-    The score is the chance of label 1. Null text counts as empty, which is scored like any text; null ids are scored
+    text_hash tells rows apart that repeat an id. The score is the chance of label 1. Null text counts as empty, which is scored like any text; null ids are scored
     and never learnt from; an id with several labels is learnt from once per label. Without any labelled document every
     score is 0.5; with labels of one kind it is that kind. Other columns are ignored.
     """

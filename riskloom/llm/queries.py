@@ -108,7 +108,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
     labels = labels.select("doc_id", F.col("toxic").alias("label"))
-    return judged(toxicity.toxicity_scores(table(spark, sf_dir, "documents"), labels), held_out)
+    return judged(toxicity.toxicity_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), labels), held_out)
 
 
 @registered()

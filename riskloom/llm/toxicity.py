@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-import zlib
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.llm.common import small_batches, stage
 
@@ -362,22 +363,28 @@ _SCORERS: dict[str, Scorer] = {}
 
 
 def toxicity_scores(
-    documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    documents: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    score_col: str = "score",
 ) -> DataFrame:
-    """doc_id, score of every row: the chance of label 1. labels: doc_id, label (0 or 1, others are left out).
+    """All columns and rows of `documents`, with the chance of label 1 in `score_col` (which replaces one of that name).
 
-    The network is trained on at most SAMPLE documents of each label, which is the one bound here; every window of
-    every whole text is scored. Null and empty texts are scored as one empty window. Null ids are scored and never
-    learnt from; rows that repeat an id are scored each. With labels of one kind every score is that kind, without
-    labels 0. Other columns are ignored.
+    labels: doc_id, label (0 or 1, others are left out). The network is trained on at most SAMPLE documents of each
+    label, which is the one bound here; every window of every whole text is scored. Null and empty texts are scored as
+    one empty window. Null ids are scored and never learnt from; rows that repeat an id are scored each. With labels
+    of one kind every score is that kind, without labels 0.
     """
     spark = documents.sparkSession
     small_batches(spark)
-    rows = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = documents.drop(score_col)
     marked = labels.where("label in (0, 1) and doc_id is not null").select("doc_id", F.col("label").cast("int")).distinct()
-    model = train(*training_sample(rows, stage(marked, "toxic-labels")))
-    key = f"{zlib.crc32(model.weights.tobytes())}-{id(model)}"
+    own = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    model = train(*training_sample(own, stage(marked, "toxic-labels")))
+    key = uuid.uuid4().hex
     shared = spark.sparkContext.broadcast(model)
+    place = rows.columns.index(text_col)
 
     def run(batches):
         if key not in _SCORERS:
@@ -385,8 +392,10 @@ def toxicity_scores(
             _SCORERS[key] = Scorer(shared.value)
         scorer = _SCORERS[key]
         for batch in batches:
-            scores = scorer.scores([t or "" for t in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+            scores = scorer.scores([t or "" for t in batch.column(place).to_pylist()])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, score_col]
+            )
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, score double")
+    schema = T.StructType([*rows.schema.fields, T.StructField(score_col, T.DoubleType())])
+    return rows.mapInArrow(run, schema)
