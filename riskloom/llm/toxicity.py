@@ -249,7 +249,10 @@ def train(texts: list[str], labels: list[int], counts: dict[int, int]) -> Model:
     if not len(y) or y.min() == y.max():
         return Model(None, np.zeros(4), prior if len(y) else 0.0)
     words = [words_of(t) for t in texts]
-    fit = np.arange(len(y)) % KEPT_OUT != 0
+    rng = np.random.default_rng(SEED)
+    fit = np.ones(len(y), bool)
+    for k in (0, 1):  # the same share of each label
+        fit[rng.permutation(np.flatnonzero(y == k))[::KEPT_OUT][1:]] = False
     seen: dict[str, int] = {}
     for k in np.flatnonzero(fit):
         for w in set(words[k]):
@@ -260,7 +263,6 @@ def train(texts: list[str], labels: list[int], counts: dict[int, int]) -> Model:
     features = word_features(names, network.known) if names else None
     if features is None:
         return Model(None, np.zeros(4), prior)
-    rng = np.random.default_rng(SEED)
     place, owner = laid_out(numbers)
     filled = place[0] >= 0
     moving = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in network.p.items()}

@@ -100,8 +100,8 @@ def scored(texts: DataFrame, ratios: DataFrame, order: int, keys: Sequence[str])
 def calibrated_threshold(scores: DataFrame) -> float:
     """The score that best parts accepted from rejected: most of true accepts plus true rejects, each as a share.
 
-    Reads counts in steps of STEP between -10 and 10, at most 2,000 rows. Of equal steps the lowest is taken; with
-    rows of one kind only the threshold is 0.
+    Reads counts in steps of STEP between -10 and 10, at most 2,001 rows. It lies in the middle between the steps that
+    it parts; of equal cuts the lowest is taken; with rows of one kind only the threshold is 0.
     """
     step = F.greatest(F.lit(-10.0), F.least(F.lit(10.0), F.col("score"))) / STEP
     bins = scores.groupBy(F.floor(step).alias("step")).agg(
@@ -112,12 +112,12 @@ def calibrated_threshold(scores: DataFrame) -> float:
     good, bad = sum(r.good for r in rows), sum(r.bad for r in rows)
     if not good or not bad:
         return 0.0
-    best, threshold, below_good, below_bad = -1.0, 0.0, 0, 0
+    best, threshold, below_good, below_bad, last = -1.0, 0.0, 0, 0, rows[0].step
     for r in rows:
         share = (good - below_good) / good + below_bad / bad
         if share > best:
-            best, threshold = share, r.step * STEP
-        below_good, below_bad = below_good + r.good, below_bad + r.bad
+            best, threshold = share, (last + r.step) / 2 * STEP
+        below_good, below_bad, last = below_good + r.good, below_bad + r.bad, r.step + 1
     return threshold
 
 
