@@ -1,9 +1,10 @@
 """Bootstrap on reduced cells.
 
 Rows are reduced to (group, score) cells first. In a Poisson bootstrap every row gets an
-independent Poisson(rate) weight, so a cell of n equal rows gets the sum of n such draws. The
-draws come from an integer mix of the cell key, the unit number and the replica, which makes
-replicas reproducible, independent of partitioning and safe to recompute after a lost executor.
+independent Poisson(rate) weight, so a cell of n equal rows gets the sum of n such draws, drawn
+block by block of its rows. The draws come from an integer mix of the cell key, the block's number
+and the replica, which makes replicas reproducible, independent of partitioning and safe to
+recompute after a lost executor.
 
 Cells are shuffled once, by group and score range (a range holds a bounded number of cells,
 whatever the number of rows behind them). Each task turns its range into one partial row per
@@ -13,6 +14,7 @@ multiplied by the number of replicas across the network.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -29,59 +31,79 @@ from riskloom.session import staged
 REPLICA_BLOCK = 64
 # cells a task draws weights for: smaller ranges than a plain running sum needs
 CELLS_PER_TASK = 20_000
-# weights held at once by a task (cells x replicas)
-MAX_WEIGHTS = 8_000_000
-# units of a cell drawn one by one; larger cells draw their sum at once
-UNIT_DRAWS = 256
+# weights or draws held at once by a task (rows x replicas)
+MAX_WEIGHTS = 4_000_000
+# rows of a cell that one draw stands for at most: n rows are n // 256 draws of 256 rows and one per binary digit left
+BLOCK_ROWS = 256
+# a Poisson distribution is tabulated this many deviations around its mean; a uniform of 31 bits reaches seven
+TABLE_WIDTH = 12
 
 # Multipliers of the integer mix (shared with the SQL checks).
 MIX = {"key": 48271, "unit": 69621, "replica": 16807, "offset": 12345, "replica2": 40692, "unit2": 3}
 
 
-def mix_uniform(key: np.ndarray, unit: int, replica: np.ndarray, seed: int) -> np.ndarray:
-    """Uniform in [0, 1) for every (key, replica) pair."""
+def mix_uniform(key: np.ndarray, unit: np.ndarray, replica: np.ndarray, seed: int) -> np.ndarray:
+    """Uniform in [0, 1) for every ((key, unit), replica) pair."""
     p = C.MIX_PRIME
+    unit = (np.broadcast_to(np.asarray(unit, dtype="int64"), key.shape) % p)[:, None]
     a = (key[:, None] * MIX["key"] + unit * MIX["unit"] + replica[None, :] * MIX["replica"] + seed) % p
     b = (a * a + MIX["offset"]) % p
     c = (b * MIX["key"] + replica[None, :] * MIX["replica2"] + unit * MIX["unit2"]) % p
     return ((c * c + a) % p) / float(p)
 
 
-def poisson_quantile(u: np.ndarray, rate: np.ndarray) -> np.ndarray:
-    """Smallest k whose Poisson(rate) distribution function exceeds u (rate per row)."""
-    lam = np.broadcast_to(np.asarray(rate, dtype="float64")[:, None], u.shape)
-    k = np.zeros(u.shape)
-    term = np.exp(-lam)
-    upto = term.copy()
-    step = 0
-    open_ = u >= upto
-    while open_.any() and step < 400:
-        step += 1
-        k += open_
-        term = term * lam / step
-        upto = upto + term
-        open_ = open_ & (u >= upto)
-    return k
+def poisson_table(mean: float) -> tuple[int, np.ndarray]:
+    """First tabulated value and the distribution function from there on."""
+    reach = TABLE_WIDTH * math.sqrt(mean) + TABLE_WIDTH
+    first = max(0, math.floor(mean - reach))
+    k = np.arange(first, math.ceil(mean + reach) + 1)
+    log_factorial = np.array([math.lgamma(x + 1.0) for x in k])
+    return first, np.cumsum(np.exp(k * math.log(mean) - mean - log_factorial))
+
+
+def poisson_quantile(u: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """Smallest k whose Poisson(mean) distribution function exceeds u (mean per row)."""
+    out = np.zeros(u.shape)
+    values, which = np.unique(mean, return_inverse=True)
+    for i, value in enumerate(values):
+        if value > 0:
+            first, upto = poisson_table(float(value))
+            rows = which == i
+            out[rows] = first + np.searchsorted(upto, u[rows], side="right")
+    return out
+
+
+def draw_list(count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cell, unit number and rows of every draw: whole blocks first, then the binary digits of what is left."""
+    blocks = count // BLOCK_ROWS
+    cell = [np.repeat(np.arange(len(count)), blocks)]
+    starts = np.repeat(np.cumsum(blocks) - blocks, blocks)
+    unit = [np.arange(len(starts)) - starts + 1]
+    rows = [np.full(len(starts), BLOCK_ROWS)]
+    for digit in range(BLOCK_ROWS.bit_length() - 1):
+        has = np.flatnonzero((count >> digit) & 1)
+        cell.append(has)
+        unit.append(blocks[has] + 1 + digit)
+        rows.append(np.full(len(has), 1 << digit))
+    return np.concatenate(cell), np.concatenate(unit), np.concatenate(rows)
 
 
 def cell_weights(
     key: np.ndarray, count: np.ndarray, rate: np.ndarray, replica: np.ndarray, seed: int
 ) -> np.ndarray:
-    """Weight of every cell in every replica: the sum of ``count`` Poisson(rate) draws."""
+    """Weight of every cell in every replica: the sum of ``count`` Poisson(rate) draws.
+
+    The sum of m such draws is one Poisson(m * rate) draw, so a cell draws once per block of its
+    rows. The same rule holds for a cell of one row and for one of a billion.
+    """
     out = np.zeros((len(key), len(replica)))
-    small = (count <= UNIT_DRAWS) & (rate <= 30)
-    most = int(count[small].max()) if small.any() else 0
-    for unit in range(1, most + 1):
-        live = np.flatnonzero(small & (count >= unit))
-        out[live] += poisson_quantile(mix_uniform(key[live], unit, replica, seed), rate[live])
-    for i in np.flatnonzero(~small & (count > 0)):
-        draws = [
-            np.random.Generator(np.random.Philox(key=[int(key[i]) + (seed << 32), int(r)])).poisson(
-                count[i] * rate[i]
-            )
-            for r in replica
-        ]
-        out[i] = draws
+    cell, unit, rows = draw_list(count.astype("int64"))
+    step = max(1, MAX_WEIGHTS // max(1, len(replica)))
+    for start in range(0, len(cell), step):
+        part = slice(start, start + step)
+        own = cell[part]
+        u = mix_uniform(key[own], unit[part], replica, seed)
+        np.add.at(out, own, poisson_quantile(u, rows[part] * rate[own]))
     return out
 
 

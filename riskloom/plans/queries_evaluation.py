@@ -337,7 +337,7 @@ def _(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- resampling
 
-REPLICAS = 40
+REPLICAS = 500
 
 
 def uniform_sql(key: str, unit: str, replica: str, seed: int = 42) -> str:
@@ -348,15 +348,6 @@ def uniform_sql(key: str, unit: str, replica: str, seed: int = 42) -> str:
     return f"((({c} * {c} + {a}) % {p}) / {p}e0)"
 
 
-def poisson_sql(u: str, rate: str = "1e0", most: int = 20) -> str:
-    parts, upto = [], ""
-    for k in range(most):
-        term = f"exp(-({rate})) * pow({rate}, {k}) / {math.factorial(k)}e0"
-        upto = f"{upto} + {term}" if upto else term
-        parts.append(f"CAST({u} >= {upto} AS INTEGER)")
-    return "(" + " + ".join(parts) + ")"
-
-
 def replica_ctes(source: str, by: str, rate: str = "1e0", extra: str = "", replicas: int = REPLICAS) -> str:
     """``source`` gives y, s and the text columns of ``by``/``extra``; CTE ``reps`` holds AUC and gap per replica."""
     keys = [k for k in (by, extra) if k]
@@ -364,11 +355,18 @@ def replica_ctes(source: str, by: str, rate: str = "1e0", extra: str = "", repli
     keep = f"{names}, " if names else ""
     byk = f"{by}, " if by else ""
     text = " || '|' || ".join([*[f"CAST({k} AS VARCHAR)" for k in names.split(", ") if k], "CAST(CAST(round(s * 1e9) AS BIGINT) AS VARCHAR)", "CAST(y AS VARCHAR)"])
+    rows, width = R.BLOCK_ROWS, R.TABLE_WIDTH
+    digits = ", ".join(f"({1 << d}, {d})" for d in range(rows.bit_length() - 1))
     return f"""bsrc AS ({source}),
-     units AS (SELECT {keep}{rate} AS rate, y, s, ('0x' || substr(md5({text}), 1, 8))::BIGINT % {C.MIX_PRIME} AS k,
-        row_number() OVER (PARTITION BY {keep}s, y) AS unit FROM bsrc),
-     draws AS (SELECT {byk}y, s, rate, replica, {uniform_sql('k', 'unit', 'replica')} AS u FROM units, (SELECT range AS replica FROM range({replicas}))),
-     weights AS (SELECT {byk}y, s, replica, {poisson_sql('u', 'rate')} AS w FROM draws),
+     cells AS (SELECT {keep}{rate} AS rate, y, s, ('0x' || substr(md5({text}), 1, 8))::BIGINT % {C.MIX_PRIME} AS k, count(*) AS n FROM bsrc GROUP BY ALL),
+     units AS (SELECT * EXCLUDE (n), unnest(range(1, n // {rows} + 1)) AS unit, {rows} AS m FROM cells
+        UNION ALL SELECT c.* EXCLUDE (n), n // {rows} + 1 + d.digit AS unit, d.m FROM cells c JOIN (VALUES {digits}) d(m, digit) ON (n // d.m) % 2 = 1),
+     draws AS (SELECT {byk}y, s, m * rate AS mean, replica, {uniform_sql('k', 'unit', 'replica')} AS u FROM units, (SELECT range AS replica FROM range({replicas}))),
+     means AS (SELECT DISTINCT m * rate AS mean FROM units),
+     spans AS (SELECT mean, CAST(greatest(0, floor(mean - {width} * sqrt(mean) - {width})) AS BIGINT) AS low, CAST(ceil(mean + {width} * sqrt(mean) + {width}) AS BIGINT) AS high FROM means),
+     pmf AS (SELECT mean, low, unnest(range(low, high + 1)) AS kk FROM spans),
+     cdf AS (SELECT mean, low, kk, sum(exp(kk * ln(mean) - mean - lgamma(kk + 1))) OVER (PARTITION BY mean ORDER BY kk) AS upto FROM pmf),
+     weights AS (SELECT draws.* EXCLUDE (mean, u), coalesce(cdf.kk + 1, 0) AS w FROM draws ASOF LEFT JOIN cdf ON draws.mean = cdf.mean AND draws.u >= cdf.upto),
      wcells AS (SELECT {byk}replica, s, sum(CASE WHEN y = 1 THEN w ELSE 0 END) AS e, sum(CASE WHEN y = 0 THEN w ELSE 0 END) AS ne FROM weights GROUP BY {byk}replica, s),
      wcum AS (SELECT *, sum(ne) OVER (PARTITION BY {byk}replica ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - ne AS below FROM wcells),
      reps AS (SELECT {byk}replica, sum(e) AS e, sum(ne) AS ne, sum(e * (below + ne / 2e0)) / nullif(CAST(sum(e) AS DOUBLE) * sum(ne), 0) AS auc,

@@ -15,16 +15,34 @@ def test_unit_draws_are_poisson_and_uncorrelated():
     assert abs(np.corrcoef(w[:-1, 0], w[1:, 0])[0, 1]) < 0.05
 
 
-@pytest.mark.parametrize("count", [5, 200, 5000])
+@pytest.mark.parametrize("count", [1, 5, 200, 256, 257, 5000, 100_000])
 def test_cell_draws_have_the_mean_and_variance_of_their_rows(count):
     key = np.random.default_rng(2).integers(0, 2147483647, 60)
     w = R.cell_weights(key, np.full(60, count), np.ones(60), np.arange(100), 1)
-    assert w.mean() == pytest.approx(count, rel=0.02) and w.var() == pytest.approx(count, rel=0.15)
+    assert w.mean() == pytest.approx(count, rel=0.03) and w.var() == pytest.approx(count, rel=0.15)
+
+
+def test_draws_cover_every_row_of_a_cell_once():
+    count = np.array([0, 1, 255, 256, 257, 100_000, 7])
+    cell, unit, rows = R.draw_list(count)
+    assert np.bincount(cell, rows, len(count)).tolist() == count.tolist()
+    assert len({*zip(cell.tolist(), unit.tolist())}) == len(cell)
+
+
+def test_a_cell_draws_the_same_beside_any_other_cells():
+    key, count = np.array([11, 12, 13]), np.array([3, 1000, 256])
+    whole = R.cell_weights(key, count, np.full(3, 0.7), np.arange(9), 5)
+    for i in range(3):
+        alone = R.cell_weights(key[i : i + 1], count[i : i + 1], np.full(1, 0.7), np.arange(9), 5)
+        assert (alone[0] == whole[i]).all()
 
 
 def test_poisson_quantile_follows_the_rate():
     u = np.random.default_rng(3).random((2, 20000))
     k = R.poisson_quantile(u, np.array([0.3, 7.0]))
+    assert R.poisson_quantile(np.array([[0.0, 0.3678, 0.3679, 0.7357, 0.7358, 0.99]]), np.array([1.0])).tolist() == [[0, 0, 1, 1, 2, 4]]
+    big = R.poisson_quantile(u, np.array([1e6, 40.0]))
+    assert big[0].mean() == pytest.approx(1e6, rel=1e-4) and big[0].std() == pytest.approx(1000, rel=0.03)
     assert k[0].mean() == pytest.approx(0.3, abs=0.02) and k[1].mean() == pytest.approx(7.0, abs=0.1)
 
 
