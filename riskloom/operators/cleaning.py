@@ -64,18 +64,12 @@ def sanitize(df: DataFrame, cap_quantile: float | None = K.INCOME_CAP_QUANTILE)
     return trim_strings(add_years(out))
 
 
-# rows a sample may take with a plain top-n; larger ones are cut at a hash position
-SMALL_SAMPLE = 10_000
-
-
 def reproducible_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """The ``n`` rows with the smallest keyed hash (a sampling operator).
 
-    A small sample is a top-n; a large one finds the hash at position ``n`` and filters by it.
+    The hash at position ``n`` is searched for and every row compared with it, so a sample of any size moves no rows.
     """
     hashed = df.withColumn("_u", C.hash_unit(key, seed=seed))
-    if n <= SMALL_SAMPLE:
-        return hashed.orderBy("_u", key).limit(n).drop("_u")
     cut = ranking.cut_keys(hashed, "_u", key, [n])
     return (hashed.filter(~ranking.at_or_after_key("_u", key, cut[0])) if cut else hashed).drop("_u")
 

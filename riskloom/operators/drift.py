@@ -135,12 +135,13 @@ def psi_against(observed: DataFrame, cuts: dict[str, list[float]], frozen: Seque
 
 
 def psi_between(
-    df: DataFrame, features: Sequence[str], expected: Column, observed: Column, bins: int = 10, top: int = 30
+    df: DataFrame, features: Sequence[str], expected: Column, observed: Column, bins: int = 10, top: int | None = None
 ) -> DataFrame:
-    """PSI of every feature between two subsets of one table, largest first."""
+    """PSI of every feature between two subsets of one table, largest first; ``top`` cuts the list."""
     cuts = reference_cuts(df.filter(expected), features, bins)
     both = df.filter(expected | observed)
-    return psi_of(both, cuts, observed).orderBy(F.desc_nulls_last("psi"), "feature").limit(top)
+    ranked = psi_of(both, cuts, observed).orderBy(F.desc_nulls_last("psi"), "feature")
+    return ranked if top is None else ranked.limit(top)
 
 
 def psi_of_two(

@@ -318,7 +318,7 @@ def switch_points(swept: DataFrame, key: str = K.ID) -> DataFrame:
     rows = swept.groupBy(key).agg(ordered.alias("s"))
     moved = F.filter(
         F.transform(
-            F.slice("s", 2, MAX_SWEEP),
+            F.slice("s", F.lit(2), F.size("s")),
             lambda x, i: F.struct(x["value"].alias("value"), F.col("s")[i]["decision"].alias("from_decision"), x["decision"].alias("to_decision")),
         ),
         lambda x: x["from_decision"] != x["to_decision"],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from fractions import Fraction
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -32,13 +33,18 @@ SPLIT_SHARES = (("train", 0.5), ("valid", 0.2), ("calib", 0.1), ("test", 0.2))
 # ---------------------------------------------------------------- splits
 
 
-def class_counts(df: DataFrame, label: str) -> dict[int, int]:
+def class_counts(df: DataFrame, label: str) -> dict:
     rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
     return {r[label]: r["n"] for r in rows}
 
 
+def class_text(label: str) -> Column:
+    """The class of a row as text; rows without a label share one."""
+    return F.when(F.col(label).isNull(), F.lit("none")).otherwise(F.concat(F.lit("="), F.col(label).cast("string")))
+
+
 def positions_label(
-    df: DataFrame, key: str, label: str, cuts: Mapping[int, Sequence[int]], names: Sequence[str]
+    df: DataFrame, key: str, label: str, cuts: Mapping[object, Sequence[int]], names: Sequence[str]
 ) -> Column:
     """Name by position inside the class, in the order of a keyed hash."""
     wanted = {v: [p for p in positions if p > 0] for v, positions in cuts.items()}
@@ -63,28 +69,30 @@ def stratified_split(
     """Exact shares inside every class, reproducible from the key and the seed alone.
 
     Rows are ordered by a keyed hash inside their class; only the cut keys are searched for,
-    then every row is labelled by comparing its own hash, without a sort or a shuffle.
+    then every row is labelled by comparing its own hash, without a sort or a shuffle. Cuts are
+    whole numbers: the shares are added as fractions and a class of n rows is cut at the floor of
+    n times each sum. Rows without a label are a class of their own.
     """
-    hashed = df.withColumn("_u", C.hash_unit(key, seed=seed))
-    bounds, upto = [], 0.0
+    hashed = df.withColumns({"_u": C.hash_unit(key, seed=seed), "_class": class_text(label)})
+    bounds, upto = [], Fraction(0)
     for _name, share in shares[:-1]:
-        upto += share
+        upto += Fraction(str(share))
         bounds.append(upto)
-    cuts = {v: [int(n * b) for b in bounds] for v, n in class_counts(df, label).items()}
-    slice_name = positions_label(hashed, key, label, cuts, [n for n, _ in shares])
-    return hashed.withColumn(out, slice_name).drop("_u")
+    cuts = {v: [n * b.numerator // b.denominator for b in bounds] for v, n in class_counts(hashed, "_class").items()}
+    slice_name = positions_label(hashed, key, "_class", cuts, [n for n, _ in shares])
+    return hashed.withColumn(out, slice_name).drop("_u", "_class")
 
 
 def stratified_sample(df: DataFrame, n: int, key: str = K.ID, label: str = K.TARGET, seed: int = 42) -> DataFrame:
     """About ``n`` rows with the class shares of the table (every class rounded on its own)."""
-    counts = class_counts(df, label)
+    hashed = df.withColumns({"_u": C.hash_unit(key, seed=seed), "_class": class_text(label)})
+    counts = class_counts(hashed, "_class")
     total = sum(counts.values())
     if n >= total:
         return df
-    hashed = df.withColumn("_u", C.hash_unit(key, seed=seed))
-    cuts = {v: [int(n * c / total + 0.5)] for v, c in counts.items()}
-    kept = positions_label(hashed, key, label, cuts, ["in", "out"])
-    return hashed.filter(kept == "in").drop("_u")
+    cuts = {v: [(2 * n * c + total) // (2 * total)] for v, c in counts.items()}
+    kept = positions_label(hashed, key, "_class", cuts, ["in", "out"])
+    return hashed.filter(kept == "in").drop("_u", "_class")
 
 
 # ---------------------------------------------------------------- models
@@ -124,8 +132,8 @@ class Bundle:
 
 
 def balanced_weight(df: DataFrame, label: str) -> tuple[Column, int]:
-    """Class weight n / (2 * n_class) and the number of rows."""
-    counts = class_counts(df, label)
+    """Class weight n / (2 * n_class) and the number of labelled rows."""
+    counts = class_counts(df.filter(F.col(label).isNotNull()), label)
     n = sum(counts.values())
     out = F.lit(1.0)
     for value, c in counts.items():

@@ -53,13 +53,18 @@ SORT_MODES: Mapping[str, tuple] = {
 }
 
 
+def first_rows(df: DataFrame, n: int | None) -> DataFrame:
+    """The first ``n`` rows of a sorted table, or all of them."""
+    return df if n is None else df.limit(n)
+
+
 def default_rate(
     df: DataFrame,
     by: str | Column,
     threshold: float,
     min_count: int = K.MIN_GROUP,
     order_by: str = "default_rate",
-    limit: int = 50,
+    limit: int | None = None,
     score: str = K.SCORE,
 ) -> DataFrame:
     """Rate, approval and lift per dimension value; lift is against the whole filtered set.
@@ -84,24 +89,20 @@ def default_rate(
         .drop("_labelled", "_target")
     )
     direction, column = SORT_MODES[order_by]
-    return ranked.orderBy(direction(column), F.asc_nulls_last("value")).limit(limit)
+    return first_rows(ranked.orderBy(direction(column), F.asc_nulls_last("value")), limit)
 
 
 def is_numeric(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.NumericType)
 
 
-def categorical_distribution(df: DataFrame, column: str, top: int = 100, score: str = K.SCORE) -> DataFrame:
-    return (
-        df.groupBy(F.col(column).cast("string").alias("value"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg(K.TARGET).alias("default_rate"),
-            F.avg(score).alias("avg_score"),
-        )
-        .orderBy(F.desc("n"), F.asc_nulls_last("value"))
-        .limit(top)
+def categorical_distribution(df: DataFrame, column: str, top: int | None = None, score: str = K.SCORE) -> DataFrame:
+    groups = df.groupBy(F.col(column).cast("string").alias("value")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(K.TARGET).alias("default_rate"),
+        F.avg(score).alias("avg_score"),
     )
+    return first_rows(groups.orderBy(F.desc("n"), F.asc_nulls_last("value")), top)
 
 
 def numeric_summary(df: DataFrame, column: str) -> DataFrame:
@@ -244,7 +245,7 @@ def column_profile(df: DataFrame, chunk: int = 150) -> DataFrame:
 
 
 def missing_report(
-    profile: DataFrame, top: int = 30, prefix: str | None = None, min_rate: float = 0.0
+    profile: DataFrame, top: int | None = None, prefix: str | None = None, min_rate: float = 0.0
 ) -> DataFrame:
     """Columns by falling null share, from a stored profile."""
     kept = profile.filter(F.col("null_rate") >= min_rate)
@@ -253,7 +254,7 @@ def missing_report(
     kept = kept.withColumn(
         "columns_with_missing", F.count_if(F.col("null_rate") > 0).over(whole())
     )
-    return kept.orderBy(F.desc("null_rate"), "column_name").limit(top)
+    return first_rows(kept.orderBy(F.desc("null_rate"), "column_name"), top)
 
 
 def granularity(df: DataFrame, key: str = K.ID) -> DataFrame:

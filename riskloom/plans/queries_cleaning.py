@@ -28,7 +28,7 @@ AGE_CASE = """CASE WHEN "AGE_YEARS" IS NULL THEN 'desconhecido' WHEN "AGE_YEARS"
 THRESHOLD = 0.09
 
 
-def rate_sql(expr: str, where: str = "TRUE", min_count: int = 30, order: str = "default_rate DESC NULLS LAST", limit: int = 50) -> str:
+def rate_sql(expr: str, where: str = "TRUE", min_count: int = 30, order: str = "default_rate DESC NULLS LAST", limit: int | None = None) -> str:
     return f"""
     WITH f AS (SELECT * FROM clients WHERE {where}),
     g AS (SELECT CAST({expr} AS VARCHAR) AS value, count(*) AS n,
@@ -38,7 +38,7 @@ def rate_sql(expr: str, where: str = "TRUE", min_count: int = 30, order: str = "
                  round((SELECT avg("TARGET") FROM f), 9) AS overall_default_rate,
                  round(avg("TARGET") / nullif((SELECT avg("TARGET") FROM f), 0), 9) AS lift
           FROM f GROUP BY 1 HAVING count(*) >= {min_count})
-    SELECT * FROM g ORDER BY {order}, value ASC NULLS LAST LIMIT {limit}
+    SELECT * FROM g ORDER BY {order}, value ASC NULLS LAST {"" if limit is None else f"LIMIT {limit}"}
     """
 
 
@@ -132,6 +132,15 @@ def _(t: Tables) -> DataFrame:
     return cleaning.reproducible_sample(t.orders.select("o_orderkey", "o_custkey"), 500, "o_orderkey")
 
 
+@query("large_reproducible_sample", """
+SELECT l_orderkey, l_linenumber FROM (SELECT l_orderkey, l_linenumber, l_orderkey * 10 + l_linenumber AS k FROM lineitem)
+ORDER BY ('0x' || substr(md5(k || '|42'), 1, 8))::BIGINT, k LIMIT 20000
+""")
+def _(t: Tables) -> DataFrame:
+    keyed = t.lineitem.select("l_orderkey", "l_linenumber", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k"))
+    return cleaning.reproducible_sample(keyed, 20_000, "k").drop("k")
+
+
 @query("non_finite_to_null", """
 SELECT event_id, CASE WHEN event_id % 5 IN (1, 2) THEN NULL ELSE round(value, 6) END AS value FROM events
 """)

@@ -218,7 +218,7 @@ def _(t: Tables) -> DataFrame:
 SPLIT_SQL = """
  u AS (SELECT o_orderkey AS id, CAST(o_orderstatus = 'F' AS INTEGER) AS y, ('0x' || substr(md5(o_orderkey || '|42'), 1, 8))::BIGINT / 4294967296e0 AS u FROM orders),
  r AS (SELECT id, y, row_number() OVER (PARTITION BY y ORDER BY u, id) - 1 AS i, count(*) OVER (PARTITION BY y) AS n FROM u),
- parts AS (SELECT id, y, CASE WHEN i < floor(n * 0.5e0) THEN 'train' WHEN i < floor(n * 0.7e0) THEN 'valid' WHEN i < floor(n * (0.7e0 + 0.1e0)) THEN 'calib' ELSE 'test' END AS split FROM r)"""
+ parts AS (SELECT id, y, CASE WHEN i < n * 50 // 100 THEN 'train' WHEN i < n * 70 // 100 THEN 'valid' WHEN i < n * 80 // 100 THEN 'calib' ELSE 'test' END AS split FROM r)"""
 
 
 def order_labels(t: Tables) -> DataFrame:
@@ -253,7 +253,7 @@ def _(t: Tables) -> DataFrame:
 @query("stratified_sample", """
 WITH u AS (SELECT o_orderkey AS id, CAST(o_orderstatus = 'F' AS INTEGER) AS y, ('0x' || substr(md5(o_orderkey || '|42'), 1, 8))::BIGINT / 4294967296e0 AS u FROM orders),
  r AS (SELECT id, y, row_number() OVER (PARTITION BY y ORDER BY u, id) - 1 AS i, count(*) OVER (PARTITION BY y) AS n, count(*) OVER () AS t FROM u)
-SELECT id, y FROM r WHERE i < round(1000e0 * n / t)
+SELECT id, y FROM r WHERE i < (2000 * n + t) // (2 * t)
 """)
 def _(t: Tables) -> DataFrame:
     return learning.stratified_sample(order_labels(t), 1000, "id", "y").select("id", "y")

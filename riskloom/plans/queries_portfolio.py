@@ -144,7 +144,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("categorical_distribution", """
 SELECT p_type AS value, count(*) AS n, round(avg(t), 9) AS default_rate, round(avg(s), 9) AS avg_score
-FROM (SELECT p_type, CAST(p_size < 5 AS INTEGER) AS t, p_size / 100e0 AS s FROM part) GROUP BY 1 ORDER BY n DESC, value LIMIT 100
+FROM (SELECT p_type, CAST(p_size < 5 AS INTEGER) AS t, p_size / 100e0 AS s FROM part) GROUP BY 1
 """)
 def _(t: Tables) -> DataFrame:
     df = t.part.select("p_type", (F.col("p_size") < 5).cast("int").alias(K.TARGET), (F.col("p_size") / 100.0).alias(K.SCORE))
@@ -365,6 +365,24 @@ def _(t: Tables) -> DataFrame:
     return portfolio.page(t.clients, 3, 50, K.SCORE, ascending=False).select(F.col("SK_ID_CURR").alias("id"), F.col(K.SCORE).alias("score"))
 
 
+@query("deep_sorted_page", """
+SELECT o_orderkey AS id, o_totalprice AS price FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 40 OFFSET 12000
+""")
+def _(t: Tables) -> DataFrame:
+    listing = t.orders.select("o_orderkey", "o_totalprice")
+    return portfolio.page(listing, 301, 40, "o_totalprice", ascending=False, key="o_orderkey").select(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"))
+
+
+@query("page_sorted_by_text", """
+SELECT o_orderkey AS id, o_clerk AS clerk FROM orders ORDER BY o_clerk ASC NULLS LAST, o_orderkey LIMIT 30 OFFSET 300
+""")
+def _(t: Tables) -> DataFrame:
+    listing = t.orders.select("o_orderkey", "o_clerk")
+    return portfolio.page(listing, 11, 30, "o_clerk", key="o_orderkey").select(
+        F.col("o_orderkey").alias("id"), F.col("o_clerk").alias("clerk"))
+
+
 @query("sorted_page_ascending", """
 SELECT "SK_ID_CURR" AS id, "AGE_YEARS" AS age FROM clients WHERE "CODE_GENDER" = 'M' ORDER BY "AGE_YEARS" ASC NULLS LAST, "SK_ID_CURR" LIMIT 25 OFFSET 0
 """)

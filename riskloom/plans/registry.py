@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.plans import scenario
+from riskloom.session import ship_package
 
 
 @dataclass
@@ -49,6 +50,10 @@ def query(name: str, sql: str | None = None):
 
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
-        return lambda spark, root: fn(Tables(spark, root))
+        def run(spark: SparkSession, root: str) -> DataFrame:
+            ship_package(spark)
+            return fn(Tables(spark, root))
+
+        return run
 
     return {name: bind(fn) for name, fn in QUERIES.items()}

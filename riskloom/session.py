@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -52,18 +54,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """A reduced table that several jobs read: written once to the cluster's shared folder.
-
-    Without a configured folder the plan is returned as it is and computed again where needed.
-    """
+    """A reduced table that several jobs read: written once to the shared folder, in every mode."""
     spark = df.sparkSession
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
-    if configured is None:
-        return df
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Shuffle partitions, or the default parallelism where the setting is a word."""
+    text = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(text) if text.isdigit() else spark.sparkContext.defaultParallelism
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the Python workers, once per context.
+
+    Workers import the package by name when they unpickle a function of it, and on a cluster they
+    do not see the driver's folders.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_riskloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="riskloom-package-")
+    archive = shutil.make_archive(os.path.join(folder, "riskloom"), "zip", os.path.dirname(root), os.path.basename(root))
+    context.addPyFile(archive)
+    context._riskloom_shipped = True

@@ -179,9 +179,9 @@ def test_deep_pages_equal_a_sorted_listing(spark, monkeypatch):
             assert got == whole[(number - 1) * 20 : number * 20]
 
 
-def test_large_sample_equals_small_sample_rule(spark, monkeypatch):
+def test_sample_holds_the_smallest_hashes(spark):
     df = spark.range(2000)
-    small = sorted(one(cleaning.reproducible_sample(df, 300, "id"), "id"))
-    monkeypatch.setattr(cleaning, "SMALL_SAMPLE", 10)
-    assert sorted(one(cleaning.reproducible_sample(df, 300, "id"), "id")) == small
+    ordered = one(df.withColumn("u", C.hash_unit("id", seed=42)).orderBy("u", "id"), "id")
+    for n in (0, 1, 300, 1999):
+        assert sorted(one(cleaning.reproducible_sample(df, n, "id"), "id")) == sorted(ordered[:n])
     assert cleaning.reproducible_sample(df, 5000, "id").count() == 2000

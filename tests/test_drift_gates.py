@@ -48,6 +48,14 @@ def test_frozen_counts_give_the_same_report(spark):
     assert a["psi"] == pytest.approx(b["psi"]) and a["n_observed"] == 500 and a["n_expected"] == 800
 
 
+def test_verdicts_count_every_feature(spark):
+    names = [f"f{k}" for k in range(40)]
+    df = spark.range(400).select((F.col("id") % 2 == 0).alias("side"), *[((F.col("id") * (k + 3)) % 97).cast("double").alias(n) for k, n in enumerate(names)])
+    table = drift.psi_between(df, names, F.col("side"), ~F.col("side"))
+    assert sum(r["n"] for r in drift.verdict_counts(table).collect()) == 40
+    assert drift.psi_between(df, names, F.col("side"), ~F.col("side"), top=7).count() == 7
+
+
 def test_psi_notes(spark):
     ref = spark.createDataFrame([(1.0, None)] * 50, "c double, e double")
     out = {r["feature"]: r for r in drift.psi_of_two(ref, ref, ["c", "e"]).collect()}
@@ -107,6 +115,18 @@ def test_split_is_exact_disjoint_and_reproducible(spark):
     assert not gates.split_integrity(out, moved).first()["ok"]
 
 
+@pytest.mark.parametrize("n", [1, 9, 10, 90, 1500])
+def test_split_cuts_are_whole_numbers(spark, n):
+    df = spark.range(2 * n + 3).selectExpr("id", f"CASE WHEN id < {n} THEN 0 WHEN id < {2 * n} THEN 1 END AS y")
+    got = {(r["y"], r["split"]): r["count"] for r in learning.stratified_split(df, "id", "y").groupBy("y", "split").count().collect()}
+    ends = [n * p // 100 for p in (0, 50, 70, 80, 100)]
+    for y in (0, 1):
+        for name, a, b in zip(("train", "valid", "calib", "test"), ends, ends[1:]):
+            assert got.get((y, name), 0) == b - a
+    # rows without a label are a class of their own
+    assert [got.get((None, s), 0) for s in ("train", "valid", "calib", "test")] == [1, 1, 0, 1]
+
+
 def test_set_operations(spark):
     a, b = spark.range(5), spark.range(3, 8)
     got = {(r["id"], r["side"]) for r in sets.symmetric_difference(a, b, "id").collect()}
