@@ -547,13 +547,18 @@ def tie_cost(
 def feature_profile(
     df: DataFrame, label: str, by: str, features: Sequence[str], min_count: int = K.MIN_GROUP
 ) -> DataFrame:
-    """Coverage, orientation-free AUC, AUC of absence and spread of each feature inside each group."""
+    """Coverage, orientation-free AUC, AUC of absence and spread of each feature inside each group.
+
+    Overall coverage and spread are those of all rows, with or without a group.
+    """
     pairs = F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in features
     ])
-    long = df.filter(F.col(by).isNotNull()).select(by, label, F.explode(pairs).alias("_p")).select(
-        by, label, "_p.feature", "_p.value"
+    every = df.select(by, label, F.explode(pairs).alias("_p")).select(by, label, "_p.feature", "_p.value")
+    overall = every.groupBy("feature").agg(
+        (F.count("value") / F.count(F.lit(1))).alias("overall_coverage"), F.stddev_pop("value").alias("_sd_all")
     )
+    long = every.filter(F.col(by).isNotNull())
     event = F.col(label) == 1
     here = F.col("value").isNotNull()
     keys = ["feature", by]
@@ -562,20 +567,8 @@ def feature_profile(
         F.count_if(here).alias("n_usable"),
         F.count_if(event & here).alias("e_here"),
         F.count_if(event).alias("e_all"),
-        F.sum("value").alias("s1"),
-        F.sum(F.col("value") * F.col("value")).alias("s2"),
         F.stddev_pop("value").alias("sd"),
     )
-    inside = Window.partitionBy("feature")
-    total = F.sum("n_usable").over(inside)
-    pooled = F.sqrt(
-        F.greatest(
-            F.lit(0.0),
-            # pooled variance from the per-group deviations and means
-            F.sum(F.col("n_usable") * (F.pow("sd", 2) + F.pow(C.safe_div("s1", "n_usable"), 2))).over(inside) / total
-            - F.pow(F.sum("s1").over(inside) / total, 2),
-        )
-    )
     absent_e, absent_n = F.col("e_all") - F.col("e_here"), F.col("n_all") - F.col("n_usable")
     ne_here = F.col("n_usable") - F.col("e_here")
     ne_absent = absent_n - absent_e
@@ -583,10 +576,9 @@ def feature_profile(
         absent_e * (ne_here + ne_absent / 2.0) + F.col("e_here") * (ne_here / 2.0),
         F.col("e_all").cast("double") * (F.col("n_all") - F.col("e_all")),
     )
-    shape = shape.withColumns({
+    shape = shape.join(overall, "feature").withColumns({
         "coverage": F.col("n_usable") / F.col("n_all"),
-        "overall_coverage": F.sum("n_usable").over(inside) / F.sum("n_all").over(inside),
-        "std_ratio": C.safe_div("sd", pooled),
+        "std_ratio": C.safe_div("sd", "_sd_all"),
         "_abs": F.when((absent_n > 0) & (F.col("n_usable") > 0), absence),
     })
     power = auc(long, label, "value", keys).select(*keys, F.col("auc").alias("_a"))

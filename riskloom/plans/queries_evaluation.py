@@ -325,14 +325,14 @@ def feature_profile_sql() -> str:
      o AS (SELECT feature, stddev_pop(v) AS sd, count(v) / CAST(count(*) AS DOUBLE) AS cov FROM l GROUP BY 1),
      g AS (SELECT feature, band, count(v) AS n_usable, count(v) / CAST(count(*) AS DOUBLE) AS coverage, stddev_pop(v) AS sd FROM l GROUP BY 1, 2)
     SELECT g.feature, g.band, g.n_usable, round(g.coverage, 9) AS coverage, round(o.cov, 9) AS overall_coverage, round(greatest(a.auc, 1 - a.auc), 9) AS auc_univariate,
-     CASE WHEN g.coverage > 0 AND g.coverage < 1 THEN round(greatest(m.auc, 1 - m.auc), 9) END AS auc_of_absence, round(g.sd / nullif(o.sd, 0), 6) AS std_ratio
+     CASE WHEN g.coverage > 0 AND g.coverage < 1 THEN round(greatest(m.auc, 1 - m.auc), 9) END AS auc_of_absence, round(g.sd / nullif(o.sd, 0), 9) AS std_ratio
     FROM g JOIN o USING (feature) JOIN a USING (feature, band) LEFT JOIN m USING (feature, band) WHERE g.n_usable >= 30 AND a.auc IS NOT NULL"""
 
 
 @query("feature_profile_by_band", feature_profile_sql())
 def _(t: Tables) -> DataFrame:
     df = t.clients.withColumn("band", C.age_band())
-    return rounded(E.feature_profile(df, K.TARGET, "band", PROFILE_FEATURES), 9).withColumn("std_ratio", F.round("std_ratio", 6))
+    return rounded(E.feature_profile(df, K.TARGET, "band", PROFILE_FEATURES), 9)
 
 
 # ---------------------------------------------------------------- resampling
@@ -434,10 +434,11 @@ def _(t: Tables) -> DataFrame:
     return rounded(R.calibration_gaps(t.loans, "y", "score", "grp", REPLICAS), 9)
 
 
-SEGMENT_CTES = f"""{replica_ctes(AXES_SOURCE, 'dimension, "group"')}, points AS ({auc_sql('SELECT * FROM bsrc', 'dimension, "group"')}), {diff_ctes('"group"', 'dimension')},
+def segment_report_sql(source: str) -> str:
+    ctes = f"""{replica_ctes(source, 'dimension, "group"')}, points AS ({auc_sql('SELECT * FROM bsrc', 'dimension, "group"')}), {diff_ctes('"group"', 'dimension')},
  ci AS (SELECT dimension, "group", quantile_cont(auc, [0.025, 0.975]) AS q, count(auc) AS n_boot FROM reps GROUP BY 1, 2),
  fig AS (SELECT dimension, "group", {QUALITY.format(thr=0.09)} FROM bsrc GROUP BY 1, 2)"""
-SEGMENT_REPORT = f"""WITH {SEGMENT_CTES}
+    return f"""WITH {ctes}
 SELECT dimension, "group", fig.n, fig.n_events, round(points.auc, 9) AS auc, approval_rate, default_rate, avg_score, brier, calibration_gap,
  CASE WHEN points.auc IS NOT NULL THEN round(ci.q[1], 9) END AS ci_low, CASE WHEN points.auc IS NOT NULL THEN round(ci.q[2], 9) END AS ci_high, CASE WHEN points.auc IS NOT NULL THEN ci.n_boot END AS n_boot,
  round(auc_reference, 9) AS auc_reference, round(auc_target - auc_reference, 9) AS diff, round(lo, 9) AS diff_ci_low, round(hi, 9) AS diff_ci_high, round(p_value, 9) AS p_value,
@@ -445,14 +446,24 @@ SELECT dimension, "group", fig.n, fig.n_events, round(points.auc, 9) AS auc, app
 FROM fig JOIN points USING (dimension, "group") LEFT JOIN ci USING (dimension, "group") LEFT JOIN ref USING (dimension, "group") LEFT JOIN dq USING (dimension, "group") WHERE fig.n >= 30"""
 
 
-@query("segment_report", SEGMENT_REPORT)
+@query("segment_report", segment_report_sql(AXES_SOURCE))
 def _(t: Tables) -> DataFrame:
     return rounded(R.segment_report(t.clients, K.TARGET, K.SCORE, 0.09, REPLICAS), 9)
 
 
-@query("weak_segments", f'WITH r AS ({SEGMENT_REPORT}) SELECT dimension, "group" FROM r WHERE confirmed_weakness')
+# a score that follows the outcome, except for one gender and one age band
+HASH_UNIT = """('0x' || substr(md5("SK_ID_CURR" || '|7'), 1, 8))::BIGINT / 4294967296e0"""
+UNEVEN = f"""CASE WHEN "CODE_GENDER" = 'F' OR {AGE_CASE} = '25-35' THEN {HASH_UNIT} ELSE 0.5e0 * {HASH_UNIT} + 0.4e0 * "TARGET" END"""
+UNEVEN_SOURCE = AXES_SOURCE.replace("proba_champion AS s", f"{UNEVEN} AS s").replace('"TARGET", proba_champion FROM', f'"TARGET", {UNEVEN} FROM')
+
+
+@query("weak_segments", f'WITH r AS ({segment_report_sql(UNEVEN_SOURCE)}) SELECT dimension, "group" FROM r WHERE confirmed_weakness')
 def _(t: Tables) -> DataFrame:
-    return gates.weak_segments(R.segment_report(t.clients, K.TARGET, K.SCORE, 0.09, REPLICAS))
+    noise = C.hash_unit(K.ID, seed=7)
+    weak = F.coalesce(F.col("CODE_GENDER") == "F", F.lit(False)) | (C.age_band() == "25-35")
+    uneven = F.when(weak, noise).otherwise(0.5 * noise + 0.4 * F.col(K.TARGET))
+    clients = t.clients.withColumn(K.SCORE, F.when(F.col(K.SCORE).isNotNull(), uneven))
+    return gates.weak_segments(R.segment_report(clients, K.TARGET, K.SCORE, 0.09, REPLICAS))
 
 
 OVERALL = f"""SELECT 'all' AS a, "TARGET" AS y, proba_champion AS s FROM clients WHERE {SCORED}"""

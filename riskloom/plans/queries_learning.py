@@ -16,6 +16,8 @@ from riskloom.operators import evaluation, explain, features, learning, portfoli
 from riskloom.plans import training
 from riskloom.plans.queries_cleaning import rounded
 from riskloom.plans.registry import Tables, query
+from riskloom.session import scratch_path
+from riskloom.sources import readers, writers
 
 # A fixed linear score over five client columns.
 COEF = {"EXT_SOURCE_1": -1.5, "EXT_SOURCE_2": -2.0, "EXT_SOURCE_3": -1.0, "CREDIT_INCOME_RATIO": 0.4, "AGE_YEARS": -0.02}
@@ -202,10 +204,16 @@ SELECT count(*) AS n_compared, true AS agree FROM customer
 def _(t: Tables) -> DataFrame:
     bundle = training.trained(t)
     df = training.applications(t)
-    stored = learning.score_table(df, bundle)
-    # categories and derived columns are rebuilt from text and bases before the second scoring
-    live = learning.score(df, bundle)
-    out = learning.agreement(stored, live)
+    folder = writers.write_parquet(learning.score_table(df, bundle), scratch_path(t.spark, "stored-scores"))
+    stored = readers.read_parquet(t.spark, folder)
+    # the second scoring starts from a text file of the base columns and derives the others again
+    bases = [c for c in bundle.spec.numeric if c not in K.YEARS_FROM_DAYS] + list(K.YEARS_FROM_DAYS.values())
+    text = writers.write_csv(df.select(K.ID, *bases, *bundle.spec.categorical), scratch_path(t.spark, "bases"))
+    batch = readers.read_client_batch(t.spark, text, learning.input_names(bundle.spec))
+    numbers = [F.expr(f"try_cast(`{c}` AS double)").alias(c) for c in bases]
+    words = [F.nullif(F.col(c), F.lit("")).alias(c) for c in bundle.spec.categorical]
+    rebuilt = features.recompute(batch.select(F.col(K.ID).cast("long"), *numbers, *words), only_present=False)
+    out = learning.agreement(stored, learning.score(rebuilt, bundle))
     return out.select("n_compared", (F.col("max_abs_error") < 1e-12).alias("agree"))
 
 

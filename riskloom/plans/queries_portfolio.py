@@ -375,12 +375,12 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("page_sorted_by_text", """
-SELECT o_orderkey AS id, o_clerk AS clerk FROM orders ORDER BY o_clerk ASC NULLS LAST, o_orderkey LIMIT 30 OFFSET 300
+SELECT o_orderkey AS id, o_orderpriority AS priority FROM orders ORDER BY o_orderpriority ASC NULLS LAST, o_orderkey LIMIT 30 OFFSET 300
 """)
 def _(t: Tables) -> DataFrame:
-    listing = t.orders.select("o_orderkey", "o_clerk")
-    return portfolio.page(listing, 11, 30, "o_clerk", key="o_orderkey").select(
-        F.col("o_orderkey").alias("id"), F.col("o_clerk").alias("clerk"))
+    listing = t.orders.select("o_orderkey", "o_orderpriority")
+    return portfolio.page(listing, 11, 30, "o_orderpriority", key="o_orderkey").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("priority"))
 
 
 @query("sorted_page_ascending", """
