@@ -11,30 +11,29 @@ from riskloom.llm.common import stage
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, label of every node that an edge names; label is the smallest node of its component.
 
-    Each round hooks every current label to the smallest label next to it, follows the hooks two steps and relabels the
-    edges; edges within a label go, so the tables shrink from round to round. All steps are joins and aggregates over
-    staged tables.
+    Each round hooks every node that is left to the smallest node next to it, follows the hooks two steps and replaces
+    the ends of the edges; edges within a node go, so the tables shrink from round to round. The hooks of all rounds,
+    one after the other, lead from a node to its label. All steps are joins and aggregates over staged tables.
     """
     pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a != b")
     both = stage(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = stage(both.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct(), "labels")
+    labels = both.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct()
     while not both.isEmpty():
-        hooks = stage(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("up")).select("a", "up"), "hooks")
-        second = hooks.select(F.col("a").alias("mid"), F.col("up").alias("top"))
+        near = both.groupBy("a").agg(F.min("b").alias("least"))
+        hooks = near.select(F.col("a").alias("was"), F.least("a", "least").alias("up"))
+        second = hooks.select(F.col("was").alias("mid"), F.col("up").alias("top"))
         hooks = stage(
-            hooks.join(second, F.col("up") == F.col("mid")).select(F.col("a").alias("was"), F.col("top").alias("now")),
-            "jumps",
+            hooks.join(second, F.col("up") == F.col("mid")).select("was", F.col("top").alias("now")), "hooks"
         )
-        labels = stage(
-            labels.join(hooks, F.col("label") == F.col("was"), "left").select(
-                "node", F.coalesce("now", "label").alias("label")
-            ),
-            "labels",
+        # a node whose edges are gone keeps its label
+        labels = labels.join(hooks, F.col("label") == F.col("was"), "left").select(
+            "node", F.coalesce("now", "label").alias("label")
         )
-        left = both.join(hooks, F.col("a") == F.col("was")).select(F.col("now").alias("a"), "b")
+        ends = [hooks.select(F.col("was").alias(f"was_{e}"), F.col("now").alias(f"now_{e}")) for e in "ab"]
         both = stage(
-            left.join(hooks, F.col("b") == F.col("was"))
-            .select("a", F.col("now").alias("b"))
+            both.join(ends[0], F.col("a") == F.col("was_a"))
+            .join(ends[1], F.col("b") == F.col("was_b"))
+            .select(F.col("now_a").alias("a"), F.col("now_b").alias("b"))
             .where("a != b")
             .distinct(),
             "edges",

@@ -103,7 +103,7 @@ def signatures(documents: DataFrame, size: int) -> DataFrame:
 
 
 def band_rows(nodes: DataFrame) -> DataFrame:
-    """bucket (64-bit hash of a band and its coordinates), node of every band."""
+    """bucket (64-bit hash of a band and its coordinates), band, node of every band."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,14 +115,21 @@ def band_rows(nodes: DataFrame) -> DataFrame:
             for k in range(ROWS):
                 key = (key ^ sig[:, :, k]) * MIX
                 key = key ^ (key >> np.uint64(31))
-            node = batch.column(0).take(pa.array(np.repeat(np.arange(n), BANDS)))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), node], names=["bucket", "node"])
+            node = np.repeat(batch.column(0).to_numpy(), BANDS)
+            band = np.tile(np.arange(BANDS, dtype=np.int32), n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.ravel().view(np.int64)), pa.array(band), pa.array(node)], names=["bucket", "band", "node"]
+            )
 
-    return nodes.select("node", "sig").mapInArrow(deal, "bucket long, node binary")
+    return nodes.select("node", "sig").mapInArrow(deal, "bucket long, band int, node long")
 
 
-def agreeing(pairs: DataFrame) -> DataFrame:
-    """a, b, agree of the pairs whose sizes and signatures allow the similarity. pairs: a, b, n_a, n_b, sig_a, sig_b."""
+def agreeing(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """a, b, agree of the pairs whose set sizes and signatures allow the similarity."""
+    for end in "ab":
+        own = nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("sig").alias(f"sig_{end}"))
+        pairs = pairs.join(own, end)
+    pairs = pairs.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,34 +143,31 @@ def agreeing(pairs: DataFrame) -> DataFrame:
             )
             yield out.filter(keep)
 
-    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(compare, "a binary, b binary, agree int")
+    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(compare, "a long, b long, agree int")
 
 
-def with_nodes(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Adds the set sizes and signatures of both ends; drops pairs whose sizes differ too much."""
-    for end in "ab":
-        own = nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("sig").alias(f"sig_{end}"))
-        pairs = pairs.join(own, end)
-    return pairs.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b of the pairs whose whole sets reach the similarity. sets: node, members (sorted 64-bit hashes)."""
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, n_a, n_b, common: sizes of both whole sets and of what they share. sets: node, members (sorted hashes)."""
     for end in "ab":
         pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("members").alias(f"set_{end}")), end)
 
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for one, two in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            sizes = np.zeros((3, len(batch)), np.int64)
+            for k, (one, two) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 x, y = np.frombuffer(one, "<u8"), np.frombuffer(two, "<u8")
                 at = np.minimum(np.searchsorted(y, x), max(0, len(y) - 1))
-                both = int(np.count_nonzero(y[at] == x))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"])
-            yield out.filter(pa.array(keep, pa.bool_()))
+                sizes[:, k] = len(x), len(y), np.count_nonzero(y[at] == x)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *map(pa.array, sizes)], names=["a", "b", "n_a", "n_b", "common"]
+            )
+
+    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(count, "a long, b long, n_a long, n_b long, common long")
 
-    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(confirm, "a binary, b binary")
+
+def linked(found: DataFrame, percent: int) -> DataFrame:
+    """a, b of the counted pairs that reach the similarity."""
+    return found.where(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b")
 
 
 def node_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -181,14 +185,17 @@ def node_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     # rows that repeat a document give one set
     texts = rows.select("node", "text").groupBy("node").agg(F.first("text").alias("text"))
-    return texts.mapInArrow(members, "node binary, members binary")
+    return texts.mapInArrow(members, "node long, members binary")
 
 
 def block_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """a, b of all pairs in the buckets that lie in different components and whose signatures and sizes agree.
+    """a, b of all pairs in the buckets that lie in different components and may reach the similarity.
 
-    members: bucket, bucket_size, node, label, n, sig. A bucket is cut into blocks of about BLOCK members, and every two
-    blocks of it meet in one step, so no task gets a whole bucket; only pairs that pass the filters come out.
+    members: bucket, band, bucket_size, node, label, n, sig, common (size of what a node's set shares with the set of the
+    bucket's pivot). A bucket is cut into blocks of about BLOCK members, and every two blocks of it meet in one step, so
+    no task gets a whole bucket. What two sets share is at most what one shares with the pivot and what the other has
+    beyond the pivot: by that bound most pairs across groups of copies go without a look at the sets. Of the buckets
+    that a pair shares, the first band's alone gives it.
     """
     blocks = F.ceil(F.col("bucket_size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
@@ -196,7 +203,7 @@ def block_pairs(members: DataFrame, percent: int) -> DataFrame:
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
         "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "label",
-        "n", "sig",
+        "n", "common", "band", "sig",
     )
     keys = ["bucket", "low", "high"]
     dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
@@ -207,17 +214,20 @@ def block_pairs(members: DataFrame, percent: int) -> DataFrame:
         right = left if low == high else [r for r in rows if r[3] == high]
         if not left or not right:
             return []
-        sig = np.frombuffer(b"".join(r[7] for r in right), "<u2").reshape(len(right), -1)
-        n, labels, out = np.array([r[6] for r in right]), np.array([r[5] for r in right], object), []
+        node, label, n, common = (np.array([r[k] for r in right]) for k in (4, 5, 6, 7))
+        sig, band, out = None, rows[0][8], []
         for k, row in enumerate(left):
-            fits = (100 * np.minimum(n, row[6]) >= percent * np.maximum(n, row[6])) & (labels != row[5])
+            most = np.minimum(np.minimum(common + row[6] - row[7], row[7] + n - common), np.minimum(n, row[6]))
+            fits = (100 * most >= percent * (n + row[6] - most)) & (label != row[5])
             if low == high:
                 fits[: k + 1] = False
             at = np.flatnonzero(fits)
             if len(at):
-                agree = (sig[at] == np.frombuffer(row[7], "<u2")).sum(axis=1)
-                for j in at[agree >= AGREE * COORDINATES]:
-                    out.append((min(row[4], right[j][4]), max(row[4], right[j][4])))
+                if sig is None:
+                    sig = np.frombuffer(b"".join(r[9] for r in right), "<u2").reshape(len(right), BANDS, ROWS)
+                same = sig[at] == np.frombuffer(row[9], "<u2").reshape(BANDS, ROWS)
+                good = (same.sum(axis=(1, 2)) >= AGREE * COORDINATES) & (same.all(axis=2).argmax(axis=1) == band)
+                out.extend((min(row[4], j), max(row[4], j)) for j in node[at[good]].tolist())
         return out
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,18 +244,19 @@ def block_pairs(members: DataFrame, percent: int) -> DataFrame:
             found.extend(compare(group))
         yield pair_batch(found)
 
-    return dealt.mapInArrow(stream, "a binary, b binary").distinct()
+    return dealt.mapInArrow(stream, "a long, b long")
 
 
 def pair_batch(pairs: list[tuple]) -> pa.RecordBatch:
     a, b = zip(*pairs) if pairs else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def node_labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """node, label for every node; a node without links is its own label."""
-    found = components(links)
-    return nodes.select("node").join(found, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """node, label after the labels that links join have become one. links: a, b (labels)."""
+    merged = components(links).select(F.col("node").alias("label"), F.col("label").alias("now"))
+    out = labels.join(merged, "label", "left").select("node", F.coalesce("now", "label").alias("label"))
+    return stage(out, "node-labels")
 
 
 def near_duplicates(
@@ -259,9 +270,10 @@ def near_duplicates(
 
     Documents whose sets of `size`-word shingles have a Jaccard similarity of percent / 100 or more are linked, and a
     component is what links reach. Equal sets are one node from the start. Nodes that share a bucket of a band are
-    candidates, in three steps that lose none of them: each node with the bucket's node it agrees with most, then all
-    nodes with their bucket's first node, then, in buckets that still hold several components, all nodes across
-    components. Every link is confirmed on the whole sets, rebuilt from the texts of the candidates alone.
+    candidates, in three steps that lose none of them: each node with the pivot (the first node of a bucket) it agrees
+    with most, then with its other pivots, then, in buckets that still hold several components, nodes across components
+    unless what they share with the pivot rules them out. Every link is confirmed on the whole sets, rebuilt from the
+    texts of the candidates alone.
 
     A text without words (or null) has no shingles and is linked with nothing. Rows without an id take no part:
     component_id is null and they are kept. Rows that repeat an id are one document for the links. Other columns are
@@ -272,50 +284,62 @@ def near_duplicates(
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stage(signatures(rows, size), "signatures")
     usable = signed.where("doc_id is not null and n_shingles > 0")
-    # rows of one id with different texts are linked by that id
+    nodes = usable.groupBy("set_key").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.max("n_shingles").alias("n"), F.max("sig").alias("sig")
+    )
     nodes = stage(
-        usable.groupBy(F.col("set_key").alias("node")).agg(
-            F.min(F.struct("doc_id", "text_hash")).alias("first"), F.max("n_shingles").alias("n"), F.max("sig").alias("sig")
-        ).select("node", "first.doc_id", "first.text_hash", "n", "sig"),
+        nodes.select(
+            F.monotonically_increasing_id().alias("node"), "set_key", "first.doc_id", "first.text_hash", "n", "sig"
+        ),
         "nodes",
     )
-    by_id = usable.groupBy("doc_id").agg(F.min("set_key").alias("a"), F.max("set_key").alias("last")).where("a != last")
-    by_id = by_id.join(usable.select("doc_id", F.col("set_key").alias("b")), "doc_id").select("a", "b").where("a != b")
+    keys = nodes.select("node", "set_key")
 
-    banded = stage(band_rows(nodes), "bands")
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("bucket_size"), F.min("node").alias("pivot"))
+    shared = band_rows(nodes).groupBy("bucket").agg(F.count(F.lit(1)).alias("bucket_size"), F.min("node").alias("pivot"))
     shared = stage(shared.where("bucket_size > 1"), "buckets")
-    members = stage(banded.join(shared, "bucket"), "members")
+    members = stage(band_rows(nodes).join(shared, "bucket"), "members")
 
     stars = members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    stars = stage(agreeing(with_nodes(stars, nodes, percent)), "stars")
-    wanted = stage(members.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node"), "wanted")
+    stars = stage(agreeing(stars, nodes, percent), "stars")
+    wanted = members.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node")
     sets = stage(node_sets(rows, wanted, size), "sets")
 
+    # rows of one id with different texts are linked by that id
+    twice = usable.groupBy("doc_id").agg(F.min("set_key").alias("least"), F.max("set_key").alias("most"))
+    twice = twice.where("least != most").select("doc_id", F.col("least").alias("set_key"))
+    by_id = usable.select("doc_id", F.col("set_key").alias("other")).join(twice, "doc_id").join(keys, "set_key")
+    by_id = by_id.select(F.col("node").alias("a"), F.col("other").alias("set_key")).join(keys, "set_key")
     best = stars.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("best")).select("best.a", "b")
-    links = stage(verified(best, sets, percent).unionByName(by_id), "links")
-    labels = stage(node_labels(nodes, links), "node-labels")
-
-    for step in ("stars", "blocks"):
-        end = [labels.select(F.col("node").alias(e), F.col("label").alias(f"label_{e}")) for e in "ab"]
-        if step == "stars":
-            pairs = stars.join(best, ["a", "b"], "left_anti").select("a", "b")
-            pairs = pairs.join(end[0], "a").join(end[1], "b").where("label_a != label_b").select("a", "b")
-        else:
-            labelled = members.join(labels, "node")
-            mixed = labelled.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-            mixed = stage(mixed.where("least != most").select("bucket"), "mixed")
-            labelled = labelled.join(mixed, "bucket").join(nodes.select("node", "n", "sig"), "node")
-            pairs = block_pairs(
-                labelled.select("bucket", "bucket_size", "node", "label", "n", "sig"), percent
-            ).join(stars.select("a", "b"), ["a", "b"], "left_anti")
-        more = stage(verified(pairs, sets, percent), f"links-{step}")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = stage(node_labels(nodes, links), "node-labels")
+    links = linked(overlaps(best, sets), percent).unionByName(by_id.select("a", F.col("node").alias("b")))
+    labels = relabelled(nodes.select("node", F.col("node").alias("label")), links)
+
+    def across(pairs: DataFrame) -> DataFrame:
+        """The pairs whose ends have different labels, with these."""
+        for end in "ab":
+            pairs = pairs.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}")), end)
+        return pairs.where("label_a != label_b")
+
+    def of_labels(pairs: DataFrame) -> DataFrame:
+        return across(pairs).select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct()
+
+    others = across(stars.join(best, ["a", "b"], "left_anti")).select("a", "b")
+    labels = relabelled(labels, of_labels(linked(overlaps(others, sets), percent)))
+
+    # a bucket of two is its pivot and one other: both steps above have seen it
+    several = members.where("bucket_size > 2").join(labels, "node")
+    mixed = several.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+    mixed = stage(mixed.where("least != most").select("bucket"), "mixed")
+    several = stage(several.join(mixed, "bucket"), "several")
+    to_pivot = several.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    to_pivot = overlaps(to_pivot, sets).select(F.col("a").alias("pivot"), F.col("b").alias("node"), "common")
+    several = several.join(to_pivot, ["pivot", "node"], "left").join(nodes.select("node", "n", "sig"), "node")
+    several = several.withColumn("common", F.coalesce("common", "n"))
+    pairs = stage(block_pairs(several, percent), "pairs").join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    labels = relabelled(labels, of_labels(linked(overlaps(pairs, sets), percent)))
 
     least = labels.join(nodes.select("node", "doc_id"), "node").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_node = stage(labels.join(least, "label").select(F.col("node").alias("set_key"), "component_id"), "component-ids")
+    of_node = labels.join(least, "label").join(keys, "node").select("set_key", "component_id")
+    of_node = stage(of_node, "component-ids")
     out = signed.join(of_node, "set_key", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), own)
