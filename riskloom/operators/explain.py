@@ -190,8 +190,8 @@ def consistency(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- ranking inside the row
 
 
-def ranked(contributions: Column | str, top: int, positive: bool) -> Column:
-    """The ``top`` strongest contributions of one sign, ranked inside the row's array."""
+def ranked(contributions: Column | str, top: int, positive: bool, values: Column | None = None) -> Column:
+    """The ``top`` strongest contributions of one sign, ranked inside the row's array, with the features' values."""
     kept = F.filter(
         C.col(contributions), lambda c: (c["shap_value"] > 0) if positive else (c["shap_value"] < 0)
     )
@@ -204,6 +204,7 @@ def ranked(contributions: Column | str, top: int, positive: bool) -> Column:
         lambda s, i: F.struct(
             (i + 1).alias("rank"),
             s["f"].alias("feature"),
+            *([] if values is None else [F.element_at(values, s["f"]).alias("value")]),
             s["c"]["shap_value"].alias("shap_value"),
             F.lit(K.RISK_UP if positive else K.RISK_DOWN).alias("effect"),
             C.origin_table(s["f"]).alias("source_table"),
@@ -215,12 +216,20 @@ def total(contributions: Column | str) -> Column:
     return F.aggregate(C.col(contributions), F.lit(0.0), lambda a, c: a + c["shap_value"])
 
 
-def top_contributions(df: DataFrame, top: int = 10, contributions: str = "contributions") -> DataFrame:
-    """Top risk and protective contributions and the sum of the rest."""
+def top_contributions(
+    df: DataFrame, top: int = 10, contributions: str = "contributions", features: Sequence[str] = ()
+) -> DataFrame:
+    """Top risk and protective contributions, the sum of the rest and the probability at the base value.
+
+    ``features`` are the columns whose values are listed beside their contributions.
+    """
+    values = shown_values(df, features) if features else None
+    base = {"base_probability": sigmoid("base_value")} if "base_value" in df.columns else {}
     with_top = df.withColumns(
         {
-            "top_risk_drivers": ranked(contributions, top, True),
-            "top_protective_factors": ranked(contributions, top, False),
+            "top_risk_drivers": ranked(contributions, top, True, values),
+            "top_protective_factors": ranked(contributions, top, False, values),
+            **base,
         }
     )
     rest = total(contributions) - total("top_risk_drivers") - total("top_protective_factors")
@@ -329,9 +338,28 @@ def switch_points(swept: DataFrame, key: str = K.ID) -> DataFrame:
 # ---------------------------------------------------------------- text
 
 
+# Fixed value: what stands for a missing value in the text.
+ABSENT = "ausente"
+
+
 def local_number(c: Column) -> Column:
-    """Two decimals with a point for thousands and a comma for decimals; 'ausente' when missing."""
-    return F.coalesce(F.translate(F.format_number(c, 2), ",.", ".,"), F.lit("ausente"))
+    """A point for thousands and a comma before two decimals; whole numbers have none."""
+    whole = c == F.floor(c)
+    return F.translate(F.when(whole, F.format_number(c, 0)).otherwise(F.format_number(c, 2)), ",.", ".,")
+
+
+def shown_values(df: DataFrame, features: Sequence[str]) -> Column:
+    """Feature name -> value as text: numbers in local form, categories as they are, null when missing."""
+    shown = [
+        local_number(F.col(c).cast("double")) if isinstance(df.schema[c].dataType, T.NumericType) else F.col(c).cast("string")
+        for c in features
+    ]
+    return F.create_map(*[x for c, v in zip(features, shown) for x in (F.lit(c), v)])
+
+
+def half_up(c: Column, digits: int) -> Column:
+    """Rounded as a decimal number is, so a score that ends in 5 goes up wherever it is printed."""
+    return F.round(c.cast("decimal(18,9)"), digits).cast("double")
 
 
 def listing(items: Column | str, values: Column | str) -> Column:
@@ -340,19 +368,19 @@ def listing(items: Column | str, values: Column | str) -> Column:
     parts = F.transform(
         first,
         lambda d: F.concat(
-            d["feature"], F.lit(" = "), local_number(F.element_at(C.col(values), d["feature"])),
-            F.lit(" ("), F.format_string("%+.3f", d["shap_value"]), F.lit(")"),
+            d["feature"], F.lit(" = "), F.coalesce(F.element_at(C.col(values), d["feature"]), F.lit(ABSENT)),
+            F.lit(" ("), F.format_string("%+.3f", half_up(d["shap_value"], 3)), F.lit(")"),
         ),
     )
     return F.array_join(parts, "; ")
 
 
 def narrate(df: DataFrame, threshold: float, values: Column, key: str = K.ID, decision: str = "decision") -> DataFrame:
-    """A sentence per client; ``values`` maps feature names to numbers."""
+    """A sentence per client; ``values`` maps feature names to their text (``shown_values``)."""
     p = F.col("probability_default")
     head = F.concat(
         F.lit("Cliente "), F.col(key).cast("string"), F.lit(": risco estimado de "),
-        F.format_string("%.1f%%", p * 100), F.lit(", "),
+        F.format_string("%.1f%%", half_up(p * 100, 1)), F.lit(", "),
         F.when(p >= threshold, "acima").otherwise("abaixo"), F.lit(" do corte de "),
         F.lit(f"{threshold:.1%}"), F.lit(" → "), F.col(decision), F.lit("."),
     )

@@ -76,12 +76,27 @@ def _(t: Tables) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"), (gap < 1e-12).alias("adds_up"))
 
 
+def shown_sql(c: str) -> str:
+    number = f"CASE WHEN {c} = floor({c}) THEN format('{{:,d}}', CAST({c} AS BIGINT)) ELSE format('{{:,.2f}}', {c}) END"
+    return f"translate({number}, ',.', '.,')"
+
+
+SHOWN = " UNION ALL ".join(
+    f"""SELECT "SK_ID_CURR" AS id, '{c}' AS feature, CASE WHEN "{c}" IS NOT NULL THEN {shown_sql(f'CAST("{c}" AS DOUBLE)')} END AS value FROM clients""" for c in COEF)
+
+
+@query("base_probability", f"""SELECT "SK_ID_CURR" AS id, round(1e0 / (1e0 + exp(-({e0(INTERCEPT)} + {" + ".join(f"{e0(MEANS[c])} * {e0(w)}" for c, w in COEF.items())}))), 9) AS base_probability FROM clients""")
+def _(t: Tables) -> DataFrame:
+    out = explain.top_contributions(explained(t), 1)
+    return out.select(F.col(K.ID).alias("id"), F.round("base_probability", 9).alias("base_probability"))
+
+
 @query("top_contributions_per_client", f"""
 WITH v AS ({CONTRIBUTIONS}), r AS (SELECT id, feature, v, row_number() OVER (PARTITION BY id, v > 0 ORDER BY abs(v) DESC, feature) AS rank FROM v WHERE v <> 0)
-SELECT id, CAST(rank AS INTEGER) AS rank, feature, round(v, 9) AS shap_value, CASE WHEN v > 0 THEN 'aumenta risco' ELSE 'reduz risco' END AS effect, 'application' AS source_table FROM r WHERE rank <= 2
+SELECT r.id, CAST(rank AS INTEGER) AS rank, r.feature, t.value, round(v, 9) AS shap_value, CASE WHEN v > 0 THEN 'aumenta risco' ELSE 'reduz risco' END AS effect, 'application' AS source_table FROM r JOIN ({SHOWN}) t ON t.id = r.id AND t.feature = r.feature WHERE rank <= 2
 """)
 def _(t: Tables) -> DataFrame:
-    top = explain.driver_rows(explain.top_contributions(explained(t), 2))
+    top = explain.driver_rows(explain.top_contributions(explained(t), 2, features=list(COEF)))
     return rounded(top.withColumnRenamed(K.ID, "id"), 9)
 
 
@@ -94,29 +109,22 @@ def _(t: Tables) -> DataFrame:
     return top.select(F.col(K.ID).alias("id"), (F.round("sum_other_features", 8) + 0.0).alias("rest"))
 
 
-# fixed order of the two sentences: risk first
+# the whole sentence, risk first
 NARRATIVE = f"""
 WITH v AS ({CONTRIBUTIONS}), r AS (SELECT id, feature, v, row_number() OVER (PARTITION BY id, v > 0 ORDER BY abs(v) DESC, feature) AS rank FROM v WHERE v <> 0),
- n AS (SELECT id, v > 0 AS up, string_agg(feature, '; ' ORDER BY rank) AS names FROM r WHERE rank <= 3 GROUP BY 1, 2)
-SELECT "SK_ID_CURR" AS id, CASE WHEN {probability_sql()} >= {e0(CUT)} THEN 'acima' ELSE 'abaixo' END AS side,
- (SELECT names FROM n WHERE n.id = "SK_ID_CURR" AND up) AS risk, (SELECT names FROM n WHERE n.id = "SK_ID_CURR" AND NOT up) AS safe FROM clients"""
+ n AS (SELECT r.id, v > 0 AS up, string_agg(r.feature || ' = ' || coalesce(t.value, 'ausente') || ' (' || format('{{:+.3f}}', CAST(round(CAST(v AS DECIMAL(18, 9)), 3) AS DOUBLE)) || ')', '; ' ORDER BY rank) AS names
+   FROM r JOIN ({SHOWN}) t ON t.id = r.id AND t.feature = r.feature WHERE rank <= 3 GROUP BY 1, 2),
+ p AS (SELECT "SK_ID_CURR" AS id, {probability_sql()} AS p FROM clients)
+SELECT p.id, 'Cliente ' || p.id || ': risco estimado de ' || format('{{:.1f}}%', CAST(round(CAST(p * 100 AS DECIMAL(18, 9)), 1) AS DOUBLE)) || ', ' || CASE WHEN p >= {e0(CUT)} THEN 'acima' ELSE 'abaixo' END || ' do corte de {CUT:.1%} → '
+  || CASE WHEN p >= {e0(CUT)} THEN 'NEGAR' ELSE 'APROVAR' END || '.' || coalesce(' Principais fatores de risco: ' || a.names || '.', '') || coalesce(' Fatores favoráveis: ' || b.names || '.', '') AS narrative
+FROM p LEFT JOIN n a ON a.id = p.id AND a.up LEFT JOIN n b ON b.id = p.id AND NOT b.up"""
 
 
 @query("client_narratives", NARRATIVE)
 def _(t: Tables) -> DataFrame:
-    values = F.create_map(*[x for c in COEF for x in (F.lit(c), F.col(c).cast("double"))])
-    text = explain.narrate(explain.top_contributions(explained(t), 10), CUT, values)
-    # the parts of the sentence the SQL twin can rebuild
-    risk = F.regexp_extract("narrative", "risco: (.*?)\\.( Fatores|$)", 1)
-    safe = F.regexp_extract("narrative", "favoráveis: (.*)\\.$", 1)
-
-    def names(found):
-        return F.array_join(F.regexp_extract_all(found, F.lit("([A-Z0-9_]+) = "), F.lit(1)), "; ")
-
-    return text.select(
-        F.col(K.ID).alias("id"),
-        F.regexp_extract("narrative", ", (acima|abaixo) do corte", 1).alias("side"),
-        F.nullif(names(risk), F.lit("")).alias("risk"), F.nullif(names(safe), F.lit("")).alias("safe"))
+    out = explain.top_contributions(explained(t), 10)
+    text = explain.narrate(out, CUT, explain.shown_values(out, list(COEF)))
+    return text.select(F.col(K.ID).alias("id"), "narrative")
 
 
 WHAT_IF_CIR = '("AMT_CREDIT" * 1.5e0 / nullif("AMT_INCOME_TOTAL", 0))'
@@ -243,11 +251,11 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     bundle = training.trained(t)
     df = training.applications(t)
-    out = explain.top_contributions(explain.tree_contributions(df, bundle), 10)
-    out = out.join(df.select(K.ID, *bundle.spec.numeric), K.ID).withColumn(
+    names = learning.input_names(bundle.spec)
+    out = explain.tree_contributions(df, bundle).join(df.select(K.ID, *names), K.ID)
+    out = explain.top_contributions(out, 10, features=names).withColumn(
         "decision", C.decide("probability_default", bundle.threshold))
-    values = F.create_map(*[x for c in bundle.spec.numeric for x in (F.lit(c), F.col(c).cast("double"))])
-    return explain.narrate(out, bundle.threshold, values).select(F.col(K.ID).alias("id"), "decision", "narrative")
+    return explain.narrate(out, bundle.threshold, explain.shown_values(out, names)).select(F.col(K.ID).alias("id"), "decision", "narrative")
 
 
 @query("trained_what_if")

@@ -127,11 +127,21 @@ def test_switch_points(spark):
 
 
 def test_narrative_text(spark):
-    df = spark.createDataFrame([(7, 0.123, "NEGAR", 1234.5)], "SK_ID_CURR long, probability_default double, decision string, v double")
-    item = F.struct(F.lit("AMT_X").alias("feature"), F.lit(0.25).alias("shap_value"))
-    df = df.withColumns({"top_risk_drivers": F.array(item), "top_protective_factors": F.filter(F.array(item), lambda c: F.lit(False))})
-    text = explain.narrate(df, 0.09, F.create_map(F.lit("AMT_X"), F.col("v"))).first()["narrative"]
-    assert text == "Cliente 7: risco estimado de 12.3%, acima do corte de 9.0% → NEGAR. Principais fatores de risco: AMT_X = 1.234,50 (+0.250)."
+    df = spark.createDataFrame(
+        [(7, 0.123, "NEGAR", 1234.5, 3, "Cash loans", None)],
+        "SK_ID_CURR long, probability_default double, decision string, a double, b int, c string, d double",
+    )
+    df = df.withColumn("contributions", F.array(*[
+        F.struct(F.lit(n).alias("feature"), F.lit(v).alias("shap_value")) for n, v in (("a", 0.25), ("b", 0.2), ("c", 0.1), ("d", -0.5))
+    ]))
+    names = ["a", "b", "c", "d"]
+    out = explain.top_contributions(df, 5, features=names)
+    text = explain.narrate(out, 0.09, explain.shown_values(out, names)).first()["narrative"]
+    assert text == (
+        "Cliente 7: risco estimado de 12.3%, acima do corte de 9.0% → NEGAR. Principais fatores de risco: "
+        "a = 1.234,50 (+0.250); b = 3 (+0.200); c = Cash loans (+0.100). Fatores favoráveis: d = ausente (-0.500)."
+    )
+    assert [r["value"] for r in out.first()["top_risk_drivers"]] == ["1.234,50", "3", "Cash loans"]
 
 
 def test_csv_batch_keeps_extra_columns_and_refuses_unknown_headers(spark, applicants, bundle, tmp_path):
