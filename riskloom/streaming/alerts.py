@@ -30,19 +30,36 @@ def millis(ts: pd.Timestamp) -> int:
 
 
 class HeldCondition(StatefulProcessor):
-    """Emits once per stretch, when the condition has held for the required time."""
+    """Emits once per stretch, when the condition has held for the required time.
+
+    Samples wait until the watermark has passed them and are then taken in the order of their own time, so files that
+    arrive late or shuffled give the alerts of the whole history. What waits per label is what the watermark allows.
+    """
 
     def __init__(self, hold_seconds: float):
         self.hold = pd.Timedelta(seconds=hold_seconds)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.stretch = handle.getValueState("stretch", "since timestamp, fired boolean")
+        self.waiting = handle.getListState("waiting", "ts timestamp, firing boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows)).sort_values("ts")
+        frame = pd.concat(list(rows))
+        self.waiting.appendList(list(zip(frame["ts"], frame["firing"])))
+        yield from self.settle(key, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self.settle(key, timerValues.getCurrentWatermarkInMs())
+
+    def settle(self, key, watermark: int) -> Iterator[pd.DataFrame]:
+        """Take the samples at or before the watermark; a timer comes back for the next one."""
+        samples = sorted((pd.Timestamp(ts), bool(firing)) for ts, firing in self.waiting.get()) if self.waiting.exists() else []
+        ready = [s for s in samples if millis(s[0]) <= watermark]
+        left = samples[len(ready) :]
         since, fired = self.stretch.get() if self.stretch.exists() else (None, False)
         out = []
-        for ts, firing in zip(frame["ts"], frame["firing"]):
+        for ts, firing in ready:
             if not firing:
                 since, fired = None, False
                 continue
@@ -55,6 +72,13 @@ class HeldCondition(StatefulProcessor):
             self.stretch.clear()
         else:
             self.stretch.update((since, fired))
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        if left:
+            self.waiting.put(left)
+            self.handle.registerTimer(max(millis(left[0][0]) - 1, watermark))
+        else:
+            self.waiting.clear()
         if out:
             yield pd.DataFrame(out, columns=["label", "since", "at"])
 
@@ -96,13 +120,17 @@ class Absence(StatefulProcessor):
         pass
 
 
-def held_alerts(samples: DataFrame, label: str, hold_seconds: float) -> DataFrame:
-    """Stream of (label, ts, firing) samples -> one row per stretch that held long enough."""
+def held_alerts(samples: DataFrame, label: str, hold_seconds: float, late_seconds: float = 60) -> DataFrame:
+    """Stream of (label, ts, firing) samples -> one row per stretch that held long enough.
+
+    Samples may come late by up to ``late_seconds`` and in any order within that time.
+    """
     use_state_store(samples.sparkSession)
-    shaped = samples.select(F.col(label).cast("string").alias("label"), "ts", "firing")
+    shaped = samples.select(F.col(label).cast("string").alias("label"), F.col("ts").cast("timestamp").alias("ts"), "firing")
+    shaped = shaped.withWatermark("ts", f"{int(late_seconds * 1000)} milliseconds")
     return shaped.groupBy("label").transformWithStateInPandas(
         statefulProcessor=HeldCondition(hold_seconds), outputStructType=ALERT_SCHEMA,
-        outputMode="Append", timeMode="None",
+        outputMode="Append", timeMode="EventTime",
     )
 
 

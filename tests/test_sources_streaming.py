@@ -93,7 +93,19 @@ def test_held_alerts_carry_state_across_batches(spark, tmp_path):
     folder = write_minutes(spark, str(tmp_path / "s"), parts, schema)
     # files are taken in the order they were written
     stream = jobs.parquet_stream(spark, folder, spark.read.parquet(folder).schema, per_batch=1)
-    got = jobs.drain(alerts.held_alerts(stream, "label", 120))
+    got = jobs.drain(alerts.held_alerts(stream, "label", 120, late_seconds=0))
+    assert sorted((r["label"], r["since"], r["at"]) for r in got.collect()) == want
+
+
+def test_held_alerts_take_late_samples_in_the_order_of_their_time(spark, tmp_path):
+    rows = [(label, at(m), firing) for label, m, firing in SAMPLES] + [("c", at(0), True), ("c", at(1), False), ("c", at(2), True)]
+    schema = "label string, ts timestamp, firing boolean"
+    want = sorted((r["label"], r["since"], r["at"]) for r in alerts.held_alerts_batch(spark.createDataFrame(rows, schema), "label", 120).collect())
+    order = [3, 0, 5, 1, 7, 2, 6, 4]
+    parts = [[r for r in rows if r[1] == at(m)] for m in order] + [[("end", at(90), False)]]
+    folder = write_minutes(spark, str(tmp_path / "s"), parts, schema)
+    stream = jobs.parquet_stream(spark, folder, spark.read.parquet(folder).schema, per_batch=1)
+    got = jobs.drain(alerts.held_alerts(stream, "label", 120, late_seconds=1800))
     assert sorted((r["label"], r["since"], r["at"]) for r in got.collect()) == want
 
 
