@@ -14,32 +14,25 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.session import parallelism
+from riskloom.session import staged
 
 RANGE = "_range"
 CELLS_PER_RANGE = 250_000
-# tied rows the driver may look at to break a tie directly
-MAX_TIES = 20_000
-MAX_RANGES = 20_000
 
 
 def range_edges(df: DataFrame, value: str, per_range: int | None = None) -> list[float]:
     """Ascending inner edges that split the values of ``df`` into about equal ranges.
 
-    One pass counts the cells and sketches their quantiles; the number of ranges grows with the
-    cells, so a range stays near ``CELLS_PER_RANGE`` cells. Only the edges reach the driver.
+    The number of ranges follows the number of cells, so a range stays near ``CELLS_PER_RANGE``
+    cells however many there are. Only the edges reach the driver.
     """
-    most = min(4 * parallelism(df.sparkSession), MAX_RANGES)
-    if most < 2:
-        return []
-    probs = [i / most for i in range(1, most)]
     x = F.col(value).cast("double")
-    n, found = df.agg(F.count(x), F.percentile_approx(x, probs, max(1000, 20 * most))).first()
-    wanted = min(most, -(-n // min(CELLS_PER_RANGE, per_range or CELLS_PER_RANGE)))
-    if not found or wanted < 2:
+    n = df.agg(F.count(x)).first()[0]
+    wanted = -(-n // min(CELLS_PER_RANGE, per_range or CELLS_PER_RANGE))
+    if wanted < 2:
         return []
-    step = most / wanted
-    return sorted({found[min(len(found), round(i * step)) - 1] for i in range(1, wanted)})
+    probs = [i / wanted for i in range(1, wanted)]
+    return sorted(set(df.agg(F.percentile_approx(x, probs, max(1000, 20 * wanted))).first()[0]))
 
 
 def with_bins(df: DataFrame, value: str, edges: Sequence[float], out: str) -> DataFrame:
@@ -73,10 +66,14 @@ def running_sums(
 ) -> DataFrame:
     """Add ``below_<m>`` (sum over smaller values of the group) and ``total_<m>`` to each cell.
 
-    ``edges`` of an earlier call over the same cells spare the pass that finds them.
+    The cells are written to the shared folder first: counting them, finding their ranges and
+    adding them up then read the reduced table and not the rows behind it. ``edges`` of an earlier
+    call over the same (staged) cells spare all that.
     """
     by = list(by)
-    edges = range_edges(cells, value) if edges is None else edges
+    if edges is None:
+        cells = staged(cells, "value-cells")
+        edges = range_edges(cells, value)
     if not edges:
         # few cells: each group is one range, and its running sums are the answer
         group = Window.partitionBy(*by)
@@ -158,8 +155,7 @@ def cut_keys_by(
     """The keys at the given positions of every group, all groups in the same passes.
 
     The value at each position comes from the distinct-value counts; the tie column is then
-    looked at only inside those few values: directly while they hold few rows, otherwise
-    again range by range.
+    looked at only inside those few values, in the same way.
     """
     wanted = [(i, g, int(p)) for i, (g, p) in enumerate((g, p) for g, ps in positions.items() for p in sorted(set(ps)))]
     out: dict[object, dict[int, Key]] = {g: {} for g in positions}
@@ -175,11 +171,6 @@ def cut_keys_by(
     if not hits:
         return out
     tied = df.filter(F.col(value).isin(sorted({h[3] for h in hits}))).select(by, value, tie)
-    if sum(h[5] for h in hits) <= min(MAX_TIES, CELLS_PER_RANGE):
-        same = {(r[by], r[value]): r["_t"] for r in tied.groupBy(by, value).agg(F.sort_array(F.collect_list(tie)).alias("_t")).collect()}
-        for _i, g, p, v, below, _n in hits:
-            out[g][p] = (v, same[(g, v)][p - below])
-        return out
     ties = running_sums(value_cells(tied, tie, [by, value]), tie, ["n"], [by, value])
     found = ties.agg(*[
         F.min(

@@ -61,12 +61,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Shuffle partitions, or the default parallelism where the setting is a word."""
-    text = spark.conf.get("spark.sql.shuffle.partitions")
-    return int(text) if text.isdigit() else spark.sparkContext.defaultParallelism
-
-
 def ship_package(spark: SparkSession) -> None:
     """Give the package to the Python workers, once per context.
 
