@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import byte_bpe, exact_dedup, line_dedup, minhash, packing, quality, token_counts, topk, toxicity, url_filter
 from riskloom.llm.common import fold, table
+from riskloom.llm.url_sql import url_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,7 +82,7 @@ URL_RULES = (
 )
 
 
-@registered()
+@registered(url_sql(URL_RULES))
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES).drop("score")
 
