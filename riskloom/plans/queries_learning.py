@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import columns as C
 from riskloom.functions import constants as K
-from riskloom.operators import evaluation, explain, features, learning, portfolio
+from riskloom.operators import evaluation, explain, features, learning, portfolio, ranking
 from riskloom.plans import training
 from riskloom.plans.queries_cleaning import rounded
 from riskloom.plans.registry import Tables, query
@@ -181,6 +181,36 @@ def _(t: Tables) -> DataFrame:
     return learning.score_table(training.applications(t), training.trained(t))
 
 
+CLIENT_SPLIT = """u AS (SELECT "SK_ID_CURR" AS id, "TARGET" AS y, ('0x' || substr(md5("SK_ID_CURR" || '|42'), 1, 8))::BIGINT / 4294967296e0 AS u FROM clients),
+ i AS (SELECT id, y, row_number() OVER (PARTITION BY y ORDER BY u, id) - 1 AS i, count(*) OVER (PARTITION BY y) AS n FROM u),
+ parts AS (SELECT id, y, CASE WHEN i < n * 50 // 100 THEN 'train' WHEN i < n * 70 // 100 THEN 'valid' WHEN i < n * 80 // 100 THEN 'calib' ELSE 'test' END AS split FROM i)"""
+
+
+@query("trained_score_table_shape", f"""
+WITH {CLIENT_SPLIT} SELECT split, count(*) AS n, CAST(sum(y) AS BIGINT) AS events, count(*) AS n_served, count(*) AS n_raw, count(CASE WHEN split <> 'train' THEN 1 END) AS n_baseline,
+ CAST(0 AS BIGINT) AS outside_unit FROM parts GROUP BY 1
+""")
+def _(t: Tables) -> DataFrame:
+    scores = learning.score_table(training.applications(t), training.trained(t))
+    served = F.col(K.SCORE)
+    return scores.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y_true").cast("long").alias("events"), F.count(served).alias("n_served"),
+        F.count(K.RAW_SCORE).alias("n_raw"), F.count(K.BASELINE_SCORE).alias("n_baseline"),
+        F.count_if((served < 0) | (served > 1)).alias("outside_unit"))
+
+
+@query("calibrated_order_violations", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS violations FROM clients")
+def _(t: Tables) -> DataFrame:
+    # one row per raw score: the served score must never fall from one to the next
+    scores = learning.score_table(training.applications(t), training.trained(t))
+    cells = scores.groupBy(K.RAW_SCORE).agg(F.count(F.lit(1)).alias("n"), F.min(K.SCORE).alias("low"), F.max(K.SCORE).alias("high"))
+    ranked = ranking.running_sums(cells.withColumn("one", F.lit(1)), K.RAW_SCORE, ["one"])
+    after = ranked.select((F.col("below_one") - 1).alias("below_one"), F.col("low").alias("next_low"))
+    pairs = ranked.select("below_one", "n", "low", "high").join(after, "below_one", "left")
+    falls = (F.col("low") != F.col("high")) | F.coalesce(F.col("next_low") < F.col("high"), F.lit(False))
+    return pairs.agg(F.sum("n").alias("n"), F.count_if(falls).alias("violations"))
+
+
 @query("trained_run_metrics")
 def _(t: Tables) -> DataFrame:
     bundle = training.trained(t)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import constants as K
-from riskloom.operators import drift
+from riskloom.operators import drift, learning
 from riskloom.plans import training
 from riskloom.plans.queries_cleaning import rounded
 from riskloom.plans.queries_gates import EVENT_HALVES, VERDICT, psi_ctes
@@ -170,6 +170,21 @@ def _(t: Tables) -> DataFrame:
     return jobs.drain(jobs.score_queue(jobs.csv_stream(t.spark, folder, names), bundle))
 
 
+@query("stream_queue_and_table_scores_agree", "SELECT count(*) AS n_compared, true AS agree FROM clients")
+def _(t: Tables) -> DataFrame:
+    bundle = training.trained(t)
+    names = ["AMT_CREDIT", "EXT_SOURCE_1", "EXT_SOURCE_2", "NAME_EDUCATION_TYPE"]
+    df = training.applications(t).select(K.ID, *names)
+    folder = scratch_path(t.spark, "queue")
+    for part in range(2):
+        df.filter(F.col(K.ID) % 2 == part).write.mode("append").option("header", True).csv(folder)
+    queue = jobs.csv_stream(t.spark, folder, [K.ID, *names])
+    queued = jobs.drain(jobs.score_queue(queue, bundle)).select(F.col(K.ID).cast("long"), F.col("probability_default").cast("double").alias("queued"))
+    both = learning.predict(df, bundle).select(K.ID, "probability_default").join(queued, K.ID)
+    gap = F.abs(F.col("probability_default") - F.col("queued"))
+    return both.agg(F.count(gap).alias("n_compared"), (F.max(gap) <= 5.1e-7).alias("agree"))
+
+
 @query("stream_drift_per_batch", f"""
 WITH {psi_ctes(EVENT_HALVES)} SELECT feature, round(psi, 9) AS psi, {VERDICT} AS verdict, te AS n_expected, tt AS n_observed, CAST(0 AS BIGINT) AS batch_id FROM s JOIN t USING (feature)
 """)
