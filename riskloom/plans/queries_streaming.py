@@ -155,11 +155,12 @@ def _(t: Tables) -> DataFrame:
     return plain_times(alerts.absence_gaps(t.events, "user_id", 2 * 86400))
 
 
-@query("stream_absence_alerts", GAPS.format(where=f" WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= {CLOSED}"))
+@query("stream_absence_alerts", GAPS.format(where=f" WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= {CLOSED}") + f"""
+UNION ALL SELECT CAST(user_id AS VARCHAR), max(ts), NULL FROM events WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= {CLOSED}
+GROUP BY user_id HAVING max(ts) + INTERVAL 2 DAY < {CLOSED}""")
 def _(t: Tables) -> DataFrame:
-    found = jobs.drain(alerts.absence_alerts(stream(t), "user_id", 2 * 86400))
-    # open gaps (no next event yet) depend on the final watermark; closed ones are compared
-    return plain_times(found.filter(F.col("next_seen").isNotNull()))
+    # gaps that a later event closed, and sources still silent when the stream ends
+    return plain_times(jobs.drain(alerts.absence_alerts(stream(t), "user_id", 2 * 86400)))
 
 
 @query("stream_score_queue")
