@@ -479,6 +479,71 @@ def _(t: Tables) -> DataFrame:
         F.col("N_SOURCES").cast("int").alias("n_sources"))
 
 
+def numeric_sql(prefix: str, columns: dict[str, str]) -> dict[str, str]:
+    """Output column -> aggregate, for every column (name -> expression) under every function, and the row count."""
+    out = {}
+    for c, x in columns.items():
+        for func, text in (("MEAN", "avg({0})"), ("SUM", "coalesce(sum({0}), 0)"), ("MAX", "max({0})"), ("MIN", "min({0})"), ("COUNT", "count({0})")):
+            out[f"{prefix}_{c}_{func}"] = text.format(x)
+    return out | {f"{prefix}_COUNT": "count(*)"}
+
+
+def category_sql(prefix: str, c: str, x: str, values: dict[str, str]) -> dict[str, str]:
+    """Hits per frequent value (label -> value) and for all others."""
+    inside = ", ".join(f"'{v}'" for v in values.values())
+    tests = {label: f"{x} = '{v}'" for label, v in values.items()} | {"OUTROS": f"coalesce({x} NOT IN ({inside}), true)"}
+    out = {}
+    for label, test in tests.items():
+        hit = f"CASE WHEN {test} THEN 1e0 ELSE 0e0 END"
+        out |= {f"{prefix}_{c}_{label}_SUM": f"sum({hit})", f"{prefix}_{c}_{label}_MEAN": f"avg({hit})"}
+    return out
+
+
+def wide_digest_sql() -> str:
+    statuses = {v: v for v in "NRA"}
+    active = category_sql("BUREAU", "ACTIVE", "active", {v: v for v in "OPF"})
+    kinds = {"3_MEDIUM": "3-MEDIUM", "2_HIGH": "2-HIGH", "4_NOT_SPECIFIED": "4-NOT SPECIFIED", "5_LOW": "5-LOW", "1_URGENT": "1-URGENT"}
+    previous = {"AMT": "amt", "DAYS_DECISION": '"DAYS_DECISION"'}
+    delay = '("DAYS_ENTRY_PAYMENT" - "DAYS_INSTALMENT")'
+    paid = {c: f'"{c}"' for c in ("AMT_INSTALMENT", "AMT_PAYMENT", "DAYS_ENTRY_PAYMENT", "DAYS_INSTALMENT")} | {
+        "PAYMENT_RATIO": '"AMT_PAYMENT" / nullif("AMT_INSTALMENT", 0)', "PAYMENT_DIFF": '"AMT_INSTALMENT" - "AMT_PAYMENT"',
+        "DPD": f"CASE WHEN {delay} IS NOT NULL THEN greatest({delay}, 0) END", "DBD": f"CASE WHEN {delay} IS NOT NULL THEN greatest(-{delay}, 0) END",
+        "LATE_FLAG": f"CASE WHEN {delay} > 0 THEN 1e0 ELSE 0e0 END"}
+    balance = numeric_sql("BB", {"QTY": "qty"}) | category_sql("BB", "STATUS", "status", statuses)
+    loans = numeric_sql("BUREAU", {"AMT": "amt"} | {c: f'"{c}"' for c in balance}) | active
+    parts = {
+        "bur": (loans, 'bureau LEFT JOIN bal USING ("SK_ID_BUREAU")'),
+        "prev": (numeric_sql("PREV", previous) | category_sql("PREV", "ACTIVE", "active", {v: v for v in "OPF"}) | category_sql("PREV", "KIND", "kind", kinds), "bureau"),
+        "prev24": (numeric_sql("PREV_R24", previous), 'bureau WHERE "DAYS_DECISION" >= -720'),
+        "inst": (numeric_sql("INST", paid), "instalments"),
+        "inst12": (numeric_sql("INST_R12", paid), 'instalments WHERE "DAYS_INSTALMENT" >= -360'),
+    }
+
+    def listed(columns: dict[str, str]) -> str:
+        return ", ".join(f'{x} AS "{c}"' for c, x in columns.items())
+
+    ctes = [f'bal AS (SELECT "SK_ID_BUREAU", {listed(balance)} FROM bureau_balance GROUP BY 1)']
+    ctes += [f'{name} AS (SELECT "SK_ID_CURR", {listed(columns)} FROM {source} GROUP BY 1)' for name, (columns, source) in parts.items()]
+    rows = [
+        f"""SELECT '{c}' AS column_name, count("{c}") AS n_filled, round(avg(CAST("{c}" AS DOUBLE)), 6) AS mean, round(min(CAST("{c}" AS DOUBLE)), 6) AS low, round(max(CAST("{c}" AS DOUBLE)), 6) AS high
+        FROM {name} WHERE "SK_ID_CURR" IN (SELECT "SK_ID_CURR" FROM base_clients)"""
+        for name, (columns, _source) in parts.items() for c in columns
+    ]
+    return f"WITH {', '.join(ctes)} {' UNION ALL '.join(rows)}"
+
+
+@query("feature_table_every_column", wide_digest_sql())
+def _(t: Tables) -> DataFrame:
+    wide = whole_feature_table(t)
+    names = [c for c in wide.columns if c.split("_")[0] in ("BUREAU", "PREV", "INST")]
+    aggs = []
+    for c in names:
+        x = F.col(c).cast("double")
+        aggs.append(F.struct(F.lit(c).alias("column_name"), F.count(x).alias("n_filled"), F.round(F.avg(x), 6).alias("mean"),
+                             F.round(F.min(x), 6).alias("low"), F.round(F.max(x), 6).alias("high")).alias(c))
+    return wide.agg(*aggs).select(F.explode(F.array(*names)).alias("d")).select("d.*")
+
+
 @query("feature_table_written", "SELECT count(*) AS n_rows, count(*) AS n_keys, true AS one_row_per_key FROM customer")
 def _(t: Tables) -> DataFrame:
     path = writers.write_parquet(whole_feature_table(t), scratch_path(t.spark, "features"))
