@@ -186,8 +186,9 @@ def apply_bitmaps(
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
     bits = bitmaps.select(F.col("doc_id").alias("bit_doc"), F.col("text_hash").alias("bit_hash"), "keep_bitmap")
+    # bitmaps have no bound, so they are merged by key at every size and never broadcast
     joined = rows.join(
-        bits, F.col("doc_id").eqNullSafe(F.col("bit_doc")) & (F.col("text_hash") == F.col("bit_hash")), "left"
+        bits.hint("merge"), F.col("doc_id").eqNullSafe(F.col("bit_doc")) & (F.col("text_hash") == F.col("bit_hash")), "left"
     ).select("doc_id", "text", "keep_bitmap")
     name = "kept_sha256" if digest else "kept"
 
