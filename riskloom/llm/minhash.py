@@ -25,6 +25,8 @@ AGREE = 0.66
 SEED = 17
 #: Members of one block of a bucket; two blocks are compared in one step.
 BLOCK = 256
+#: Bits of the sketch that bounds what two sets share from above.
+BITS = 4096
 #: Words whose hash a worker remembers.
 REMEMBERED = 500_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -170,8 +172,16 @@ def linked(found: DataFrame, percent: int) -> DataFrame:
     return found.where(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b")
 
 
+def bit_sketch(own: np.ndarray) -> np.ndarray:
+    """One bit per element by its hash, as 64-bit words."""
+    at = (own * MIX) >> np.uint64(64 - BITS.bit_length() + 1)
+    bits = np.zeros(BITS, np.uint8)
+    bits[at.astype(np.int64)] = 1
+    return np.packbits(bits).view(np.uint64)
+
+
 def node_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """node, members of each wanted node, from the text of one of its documents. wanted: node, doc_id, text_hash."""
+    """node, members, bits of each wanted node, from the text of one of its documents. wanted: node, doc_id, text_hash."""
     keys = wanted.select("node", F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"))
     rows = documents.withColumn("text_hash", F.xxhash64("text"))
     rows = rows.join(keys, (F.col("doc_id") == F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
@@ -180,22 +190,25 @@ def node_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             if len(_WORDS) > REMEMBERED:
                 _WORDS.clear()
-            sets = [shingles(t, size).astype("<u8").tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "members"])
+            own = [shingles(t, size) for t in batch.column(1).to_pylist()]
+            sets = pa.array([x.astype("<u8").tobytes() for x in own], pa.binary())
+            bits = pa.array([bit_sketch(x).tobytes() for x in own], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sets, bits], names=["node", "members", "bits"])
 
     # rows that repeat a document give one set
     texts = rows.select("node", "text").groupBy("node").agg(F.first("text").alias("text"))
-    return texts.mapInArrow(members, "node long, members binary")
+    return texts.mapInArrow(members, "node long, members binary, bits binary")
 
 
 def block_pairs(members: DataFrame, percent: int) -> DataFrame:
     """a, b of all pairs in the buckets that lie in different components and may reach the similarity.
 
-    members: bucket, band, bucket_size, node, label, n, sig, common (size of what a node's set shares with the set of the
-    bucket's pivot). A bucket is cut into blocks of about BLOCK members, and every two blocks of it meet in one step, so
-    no task gets a whole bucket. What two sets share is at most what one shares with the pivot and what the other has
-    beyond the pivot: by that bound most pairs across groups of copies go without a look at the sets. Of the buckets
-    that a pair shares, the first band's alone gives it.
+    members: bucket, band, bucket_size, node, label, n, sig, bits, common (size of what a node's set shares with the set of
+    the bucket's pivot). A bucket is cut into blocks of about BLOCK members, and every two blocks of it meet in one step,
+    so no task gets a whole bucket. Two bounds let most pairs across groups of copies go without a look at the sets, and
+    never a pair that reaches the similarity: two sets share at most what one shares with the pivot and what the other
+    has beyond the pivot, and at most one element per bit they have in common, beside the elements that share a bit
+    within a set. Of the buckets that a pair shares, the first band's alone gives it.
     """
     blocks = F.ceil(F.col("bucket_size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
@@ -203,7 +216,7 @@ def block_pairs(members: DataFrame, percent: int) -> DataFrame:
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
         "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "label",
-        "n", "common", "band", "sig",
+        "n", "common", "band", "sig", "bits",
     )
     keys = ["bucket", "low", "high"]
     dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
@@ -215,7 +228,7 @@ def block_pairs(members: DataFrame, percent: int) -> DataFrame:
         if not left or not right:
             return []
         node, label, n, common = (np.array([r[k] for r in right]) for k in (4, 5, 6, 7))
-        sig, band, out = None, rows[0][8], []
+        sig, bits, spare, band, out = None, None, None, rows[0][8], []
         for k, row in enumerate(left):
             most = np.minimum(np.minimum(common + row[6] - row[7], row[7] + n - common), np.minimum(n, row[6]))
             fits = (100 * most >= percent * (n + row[6] - most)) & (label != row[5])
@@ -225,6 +238,13 @@ def block_pairs(members: DataFrame, percent: int) -> DataFrame:
             if len(at):
                 if sig is None:
                     sig = np.frombuffer(b"".join(r[9] for r in right), "<u2").reshape(len(right), BANDS, ROWS)
+                    bits = np.frombuffer(b"".join(r[10] for r in right), np.uint64).reshape(len(right), -1)
+                    spare = n - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+                own = np.frombuffer(row[10], np.uint64)
+                most = np.bitwise_count(bits[at] & own).sum(axis=1, dtype=np.int64)
+                most += np.minimum(spare[at], row[6] - int(np.bitwise_count(own).sum()))
+                at = at[100 * most >= percent * (n[at] + row[6] - most)]
+            if len(at):
                 same = sig[at] == np.frombuffer(row[9], "<u2").reshape(BANDS, ROWS)
                 good = (same.sum(axis=(1, 2)) >= AGREE * COORDINATES) & (same.all(axis=2).argmax(axis=1) == band)
                 out.extend((min(row[4], j), max(row[4], j)) for j in node[at[good]].tolist())
@@ -333,6 +353,7 @@ def near_duplicates(
     to_pivot = several.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     to_pivot = overlaps(to_pivot, sets).select(F.col("a").alias("pivot"), F.col("b").alias("node"), "common")
     several = several.join(to_pivot, ["pivot", "node"], "left").join(nodes.select("node", "n", "sig"), "node")
+    several = several.join(sets.select("node", "bits"), "node")
     several = several.withColumn("common", F.coalesce("common", "n"))
     pairs = stage(block_pairs(several, percent), "pairs").join(stars.select("a", "b"), ["a", "b"], "left_anti")
     labels = relabelled(labels, of_labels(linked(overlaps(pairs, sets), percent)))

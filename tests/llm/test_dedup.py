@@ -190,3 +190,16 @@ def test_empty_tables(nothing):
     assert exact_dedup.exact_groups(nothing).count() == 0
     assert line_dedup.apply_bitmaps(nothing, line_dedup.keep_bitmaps(nothing)).count() == 0
     assert minhash.near_duplicates(nothing).count() == 0
+
+
+def test_bit_sketches_bound_what_sets_share():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for n in (1, 40, 600, 9000):
+        pool = rng.integers(0, 2**63, 2 * n, dtype=np.uint64)
+        a, b = np.unique(rng.choice(pool, n)), np.unique(rng.choice(pool, n))
+        one, two = minhash.bit_sketch(a), minhash.bit_sketch(b)
+        spare = [len(x) - int(np.bitwise_count(y).sum()) for x, y in ((a, one), (b, two))]
+        bound = int(np.bitwise_count(one & two).sum()) + min(spare)
+        assert bound >= len(np.intersect1d(a, b))
