@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import bpe
-from riskloom.llm.common import small_batches
+from riskloom.llm.common import python_ready
 
 #: Cells of one padded matrix.
 CELLS = 1 << 19
@@ -154,7 +154,7 @@ def encode_and_decode(
     null, repeated rows are encoded each, other columns are ignored and an empty table gives no rows.
     """
     spark = documents.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     shared = spark.sparkContext.broadcast(bpe.from_ranks(ranks_path))
     key = (ranks_path, pattern)
     names = ["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"]

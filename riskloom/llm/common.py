@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.session import scratch_path
+from riskloom.session import scratch_path, ship_package
 
 #: ASCII white space, the separator class of every text operator here.
 SPACES = " \t\n\x0b\x0c\r"
@@ -24,8 +24,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Hold the Arrow batches that carry texts to a few hundred rows, so one batch fits a Python worker."""
+def python_ready(spark: SparkSession, rows: int = 256) -> None:
+    """Give workers the package, and hold Arrow batches to a few hundred rows, so one batch of texts fits a worker."""
+    ship_package(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > rows:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskloom.llm.common import LOWER, SPACES, UPPER, small_batches, stage
+from riskloom.llm.common import LOWER, SPACES, UPPER, python_ready, stage
 
 #: Kinds of marks: a line to drop, a line whose run of equal keys may go on in a neighbouring task, and the summary of
 #: such a run.
@@ -113,6 +113,7 @@ def marker(min_docs: int, keep_first: bool):
 
 def dropped_lines(documents: DataFrame, min_docs: int, min_chars: int, keep_first: bool) -> DataFrame:
     """doc_id, text_hash, n_lines, pos of every line that goes. documents: doc_id, text."""
+    python_ready(documents.sparkSession)
     lines = stage(lines_of(documents, min_chars), "lines")
     order = ["key_hash", "doc_id", "pos"]
     sorted_lines = lines.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -182,7 +183,7 @@ def apply_bitmaps(
     documents: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: bool = False
 ) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept (the text of the lines that stay; digest: kept_sha256) of every row."""
-    small_batches(documents.sparkSession)
+    python_ready(documents.sparkSession)
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
     bits = bitmaps.select(F.col("doc_id").alias("bit_doc"), F.col("text_hash").alias("bit_hash"), "keep_bitmap")

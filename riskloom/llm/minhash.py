@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import small_batches, stage
+from riskloom.llm.common import python_ready, stage
 from riskloom.llm.components import components
 
 #: Places of the circle; both permutations are over these.
@@ -300,7 +300,7 @@ def near_duplicates(
     ignored, and an empty table gives no rows.
     """
     spark = documents.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stage(signatures(rows, size), "signatures")
     usable = signed.where("doc_id is not null and n_shingles > 0")

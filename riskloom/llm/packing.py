@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import bpe
-from riskloom.llm.common import small_batches
+from riskloom.llm.common import python_ready
 from riskloom.llm.token_counts import merge_ragged
 
 #: Context sizes of the tiers; the longest is the window of long documents.
@@ -199,7 +199,7 @@ def pack(
     other columns are ignored. An empty table gives no rows. with_ids: also the ids of each piece.
     """
     spark = documents.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     shared = spark.sparkContext.broadcast(bpe.from_json(vocabulary_path))
     key = (vocabulary_path, pattern)
     end = int(end_id).to_bytes(4, "little")

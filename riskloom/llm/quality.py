@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import small_batches, stage
+from riskloom.llm.common import python_ready, stage
 
 #: Random features, ridge weight and seed of the kernel approximation.
 FEATURES, RIDGE, SEED = 384, 1.0, 11
@@ -78,7 +78,7 @@ N_STATISTICS = 26
 
 def document_statistics(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, stats (array of double) of every row; a null text counts as empty."""
-    small_batches(documents.sparkSession)
+    python_ready(documents.sparkSession)
     text = F.col(text_col)
     rows = documents.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import bpe
-from riskloom.llm.common import small_batches
+from riskloom.llm.common import python_ready
 
 #: Symbols that are merged together in one ragged array.
 SYMBOLS_PER_CALL = 1 << 20
@@ -111,7 +111,7 @@ def token_counts(
     columns are ignored and an empty table gives no rows. A text is never cut.
     """
     spark = documents.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     shared = spark.sparkContext.broadcast(bpe.from_json(vocabulary_path))
     key = (vocabulary_path, pattern)
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskloom.llm.common import stage
+from riskloom.llm.common import python_ready, stage
 
 #: Vectors of one shard, queries of one block, vectors of one leaf.
 SHARD_ROWS = 8192
@@ -166,6 +166,7 @@ def top_k(
     of equal length are compared. Components and scores beyond 64 bits stand at that limit. Rows that repeat an id are each a candidate once per different vector. A query
     without candidates gives no rows, nor does an empty table.
     """
+    python_ready(vectors.sparkSession)
     rows = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"), integer_vector(F.col(vector_col)).alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),

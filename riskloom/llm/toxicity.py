@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import small_batches, stage
+from riskloom.llm.common import python_ready, stage
 
 #: Words of a window, and words from one window's begin to the next.
 WINDOW, STRIDE = 48, 24
@@ -379,7 +379,7 @@ def toxicity_scores(
     of one kind every score is that kind, without labels 0.
     """
     spark = documents.sparkSession
-    small_batches(spark)
+    python_ready(spark)
     rows = documents.drop(score_col)
     marked = labels.where("label in (0, 1) and doc_id is not null").select("doc_id", F.col("label").cast("int")).distinct()
     own = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
