@@ -297,11 +297,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("segment_ceiling_verdict")
 def _(t: Tables) -> DataFrame:
-    results = training.segment_ceiling(
-        training.applications(t), training.trained(t), age_limit=35.0,
-        variants=(("segmentado_<35", 35.0),), grid=({"depth": 2, "min_rows": 10},), replicas=30,
-        min_rows=50, min_events=5)
-    return training.ceiling_verdict(results)
+    return training.ceiling_verdict(training.segment_ceiling(training.applications(t), training.trained(t)))
 
 
 @query("trained_segment_auc")

@@ -64,19 +64,22 @@ def report_pack(scores: DataFrame, clients: DataFrame, bundle: Bundle, replicas:
     }
 
 
-# Variant name and upper age limit of its training rows.
+# Variant name and upper age limit of its training rows, settings (a depth for 34, 16 and 8 leaves),
+# rows that a segment's own calibration needs.
 CEILING_VARIANTS = (("segmentado_<25", 25.0), ("segmentado_<30", 30.0))
+CEILING_GRID = ({"depth": 5, "min_rows": 70}, {"depth": 4, "min_rows": 40}, {"depth": 3, "min_rows": 20})
+CEILING_CALIBRATION_ROWS = 200
 
 
 def segment_ceiling(
     df: DataFrame, general: Bundle, age_limit: float = 25.0,
     variants: Sequence[tuple[str, float]] = CEILING_VARIANTS,
-    grid: Sequence[dict] = ({"depth": 3, "min_rows": 20}, {"depth": 2, "min_rows": 10}, {"depth": 1, "min_rows": 5}),
-    replicas: int = 50, min_rows: int = 500, min_events: int = 50,
+    grid: Sequence[dict] = CEILING_GRID, replicas: int = 500, min_rows: int = 500, min_events: int = 50,
 ) -> DataFrame:
     """Dedicated models per young segment against the general one on the same test clients.
 
-    The loop is over a few named variants and settings; each fit and evaluation is a Spark job.
+    The loop is over a few named variants and settings; each fit and evaluation is a Spark job. A segment below
+    the floors gets no model, and one with a small or one-class calibration slice is judged by its raw score.
     """
     young = df.filter((F.col(K.SPLIT) == "test") & (F.col("AGE_YEARS") < age_limit))
     spec = general.spec
@@ -97,9 +100,12 @@ def segment_ceiling(
         counts = learning.class_counts(segment.filter(F.col(K.SPLIT) == "train"), spec.label)
         if sum(counts.values()) < min_rows or counts.get(1, 0) < min_events:
             continue
+        held = learning.class_counts(segment.filter(F.col(K.SPLIT) == "calib"), spec.label)
         for setting in grid:
             own = ModelSpec(**{**spec.__dict__, **setting})
             bundle = learning.train(segment, own, with_baseline=False)
+            if sum(held.values()) < CEILING_CALIBRATION_ROWS or len(held) < 2:
+                bundle.calibration = None
             label = ", ".join(f"{k}={v}" for k, v in setting.items())
             parts.append(judged(bundle, name, label, sum(counts.values())))
     out = parts[0]
