@@ -245,7 +245,7 @@ def _(t: Tables) -> DataFrame:
     folder = writers.write_parquet(learning.score_table(df, bundle), scratch_path(t.spark, "stored-scores"))
     stored = readers.read_parquet(t.spark, folder)
     # the second scoring starts from a text file of the base columns and derives the others again
-    bases = [c for c in bundle.spec.numeric if c not in K.YEARS_FROM_DAYS] + list(K.YEARS_FROM_DAYS.values())
+    bases = [c for c in training.base_inputs(df, bundle.spec) if c not in bundle.spec.categorical]
     text = writers.write_csv(df.select(K.ID, *bases, *bundle.spec.categorical), scratch_path(t.spark, "bases"))
     batch = readers.read_client_batch(t.spark, text, learning.input_names(bundle.spec))
     numbers = [F.expr(f"try_cast(`{c}` AS double)").alias(c) for c in bases]

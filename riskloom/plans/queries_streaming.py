@@ -174,11 +174,11 @@ def _(t: Tables) -> DataFrame:
 @query("stream_queue_and_table_scores_agree", "SELECT count(*) AS n_compared, true AS agree FROM clients")
 def _(t: Tables) -> DataFrame:
     bundle = training.trained(t)
-    names = ["AMT_CREDIT", "EXT_SOURCE_1", "EXT_SOURCE_2", "NAME_EDUCATION_TYPE"]
-    df = training.applications(t).select(K.ID, *names)
+    df = training.applications(t)
+    names = training.base_inputs(df, bundle.spec)
     folder = scratch_path(t.spark, "queue")
     for part in range(2):
-        df.filter(F.col(K.ID) % 2 == part).write.mode("append").option("header", True).csv(folder)
+        df.select(K.ID, *names).filter(F.col(K.ID) % 2 == part).write.mode("append").option("header", True).csv(folder)
     queue = jobs.csv_stream(t.spark, folder, [K.ID, *names])
     queued = jobs.drain(jobs.score_queue(queue, bundle)).select(F.col(K.ID).cast("long"), F.col("probability_default").cast("double").alias("queued"))
     both = learning.predict(df, bundle).select(K.ID, "probability_default").join(queued, K.ID)

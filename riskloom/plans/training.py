@@ -8,22 +8,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import constants as K
-from riskloom.operators import evaluation, explain, learning, portfolio, resampling
+from riskloom.operators import evaluation, explain, features, learning, portfolio, resampling
 from riskloom.operators.learning import Bundle, ModelSpec
 
+# The feature columns of the client table, under the full settings of ModelSpec.
 SPEC = ModelSpec(
-    numeric=("EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "AMT_CREDIT", "AGE_YEARS", "YEARS_EMPLOYED", "BUREAU_COUNT"),
-    categorical=("NAME_EDUCATION_TYPE", "OCCUPATION_TYPE"),
-    trees=12, depth=3, step=0.3, min_rows=20,
+    numeric=(
+        "DAYS_BIRTH", "DAYS_EMPLOYED", "DAYS_REGISTRATION", "DAYS_ID_PUBLISH", "DAYS_LAST_PHONE_CHANGE",
+        "CNT_CHILDREN", "CNT_FAM_MEMBERS", "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE",
+        "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "BUREAU_COUNT", "PREV_COUNT", "INST_COUNT", "POS_COUNT",
+        "CC_COUNT", "AGE_YEARS", "YEARS_EMPLOYED", "CREDIT_INCOME_RATIO", "ANNUITY_INCOME_RATIO", "CREDIT_TERM",
+        "EXT_SOURCE_MEAN", "N_EXT_SOURCE_PRESENT",
+    ),
+    categorical=(
+        "CODE_GENDER", "NAME_EDUCATION_TYPE", "NAME_CONTRACT_TYPE", "NAME_INCOME_TYPE", "NAME_FAMILY_STATUS",
+        "NAME_HOUSING_TYPE", "OCCUPATION_TYPE", "ORGANIZATION_TYPE", "FLAG_OWN_CAR", "FLAG_OWN_REALTY",
+    ),
 )
 _BUNDLES: dict[tuple, Bundle] = {}
 
 
 def applications(t) -> DataFrame:
-    """Clients without their frozen scores, with a signal planted in one external score, and split."""
+    """Clients without their frozen scores, split."""
     frozen = ("split", "y_true", K.SCORE, K.RAW_SCORE, K.BASELINE_SCORE)
-    signal = F.col("EXT_SOURCE_2") * 0.7 + F.when(F.col(K.TARGET) == 0, 0.3).otherwise(0.0)
-    return learning.stratified_split(t.clients.drop(*frozen).withColumn("EXT_SOURCE_2", signal))
+    return learning.stratified_split(t.clients.drop(*frozen))
+
+
+def base_inputs(df: DataFrame, spec: ModelSpec) -> list[str]:
+    """The columns that a scoring job must be given: the model's own, with derived ones replaced by their bases."""
+    made = features.derived_columns(df)
+    return [c for c in dict.fromkeys([*learning.input_names(spec), *K.YEARS_FROM_DAYS.values()]) if c not in made]
 
 
 def trained(t) -> Bundle:

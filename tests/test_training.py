@@ -7,11 +7,23 @@ import pytest
 
 from riskloom.operators import learning
 from riskloom.plans import catalogue, training
+from riskloom.plans.registry import Tables
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no driver tables here")
 
 
+def test_the_registered_model_has_the_full_settings_on_all_feature_columns(spark):
+    t = Tables(spark, DATA)
+    roles = {"SK_ID_CURR", "TARGET", "split", "y_true", "proba_champion", "proba_champion_raw", "proba_baseline"}
+    assert set(learning.input_names(training.SPEC)) == set(t.clients.columns) - roles
+    plain = learning.ModelSpec(numeric=training.SPEC.numeric, categorical=training.SPEC.categorical)
+    assert training.SPEC == plain
+    # no feature is changed by the label
+    feature = training.applications(t).select("SK_ID_CURR", "EXT_SOURCE_2")
+    assert feature.exceptAll(t.clients.select("SK_ID_CURR", "EXT_SOURCE_2")).isEmpty()
+
+
 class Stop(Exception):
     pass
 
