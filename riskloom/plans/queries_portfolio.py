@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import constants as K
-from riskloom.operators import aggregation, features, filters, portfolio, ranking
+from riskloom.operators import aggregation, cleaning, features, filters, portfolio, ranking
 from riskloom.plans import feature_table
 from riskloom.plans.queries_cleaning import DIMENSION_SQL, THRESHOLD, rounded
 from riskloom.plans.registry import Tables, query
@@ -447,6 +447,9 @@ def whole_feature_table(t: Tables) -> DataFrame:
         feature_table.History(previous, "PREV", ("active", "kind"), ("DAYS_DECISION", 24)),
         feature_table.History(
             t.instalments, "INST", (), ("DAYS_INSTALMENT", 12), prepare=features.add_payment_behaviour),
+        feature_table.History(t.pos_cash, "POS", ("NAME_CONTRACT_STATUS",), ("MONTHS_BALANCE", 12)),
+        feature_table.History(
+            t.credit_card, "CC", ("NAME_CONTRACT_STATUS",), ("MONTHS_BALANCE", 12), prepare=features.add_limit_use),
     ]
     return feature_table.build(
         application_base(t), histories, (t.bureau.drop("DAYS_DECISION"), t.bureau_balance),
@@ -476,7 +479,8 @@ def _(t: Tables) -> DataFrame:
         F.col("INST_LATE_FLAG_SUM").cast("long").alias("n_late"), F.col("INST_DPD_MAX").cast("long").alias("max_dpd"),
         F.col("BUREAU_COUNT").alias("bureau_count"), F.col("BUREAU_BB_COUNT_SUM").alias("n_balances"),
         F.col("BUREAU_BB_QTY_SUM_MAX").alias("max_balance_qty"), F.round("CREDIT_INCOME_RATIO", 9).alias("cir"),
-        F.col("N_SOURCES").cast("int").alias("n_sources"))
+        # of the three sources that the SQL counts; all five are in feature_table_other_columns
+        (F.col("HAS_BUREAU") + F.col("HAS_PREV") + F.col("HAS_INST")).cast("int").alias("n_sources"))
 
 
 def numeric_sql(prefix: str, columns: dict[str, str]) -> dict[str, str]:
@@ -532,18 +536,91 @@ def wide_digest_sql() -> str:
     return f"WITH {', '.join(ctes)} {' UNION ALL '.join(rows)}"
 
 
-@query("feature_table_every_column", wide_digest_sql())
-def _(t: Tables) -> DataFrame:
-    wide = whole_feature_table(t)
-    names = [c for c in wide.columns if c.split("_")[0] in ("BUREAU", "PREV", "INST")]
+HISTORY_PREFIXES = ("BUREAU", "PREV", "INST")
+
+
+def column_digest(wide: DataFrame, names: list[str]) -> DataFrame:
+    """Filled rows, mean, minimum and maximum per column; of a text column, those of its length."""
+    text = set(cleaning.string_columns(wide))
     aggs = []
     for c in names:
-        x = F.col(c).cast("double")
+        x = (F.length(c) if c in text else F.col(c)).cast("double")
         aggs.append(F.struct(F.lit(c).alias("column_name"), F.count(x).alias("n_filled"), F.round(F.avg(x), 6).alias("mean"),
                              F.round(F.min(x), 6).alias("low"), F.round(F.max(x), 6).alias("high")).alias(c))
     return wide.agg(*aggs).select(F.explode(F.array(*names)).alias("d")).select("d.*")
 
 
+@query("feature_table_every_column", wide_digest_sql())
+def _(t: Tables) -> DataFrame:
+    wide = whole_feature_table(t)
+    return column_digest(wide, [c for c in wide.columns if c.split("_")[0] in HISTORY_PREFIXES])
+
+
+def other_digest_sql() -> str:
+    """The same figures for all columns that ``wide_digest_sql`` does not state: POS, CC, base and derived ones."""
+    pos = {c: f'"{c}"' for c in ("MONTHS_BALANCE", "CNT_INSTALMENT", "CNT_INSTALMENT_FUTURE", "SK_DPD")}
+    amounts = ("AMT_BALANCE", "AMT_DRAWINGS_CURRENT", "AMT_CREDIT_LIMIT_ACTUAL")
+    cards = {c: f'"{c}"' for c in ("MONTHS_BALANCE", *amounts, "SK_DPD")} | {
+        "UTILIZATION": '"AMT_BALANCE" / nullif("AMT_CREDIT_LIMIT_ACTUAL", 0)',
+        "DRAWING_RATIO": '"AMT_DRAWINGS_CURRENT" / nullif("AMT_CREDIT_LIMIT_ACTUAL", 0)'}
+    status = "NAME_CONTRACT_STATUS"
+    parts = {
+        "pos": (numeric_sql("POS", pos) | category_sql("POS", status, f'"{status}"', {v: v for v in "OF"}), "pos_cash"),
+        "pos12": (numeric_sql("POS_R12", pos), 'pos_cash WHERE "MONTHS_BALANCE" >= -12'),
+        "cc": (numeric_sql("CC", cards) | category_sql("CC", status, f'"{status}"', {v: v for v in "NRA"}), "credit_card"),
+        "cc12": (numeric_sql("CC_R12", cards), 'credit_card WHERE "MONTHS_BALANCE" >= -12'),
+    }
+    numbers = (
+        "SK_ID_CURR TARGET DAYS_BIRTH DAYS_EMPLOYED DAYS_REGISTRATION DAYS_ID_PUBLISH DAYS_LAST_PHONE_CHANGE CNT_CHILDREN "
+        "CNT_FAM_MEMBERS AMT_CREDIT AMT_ANNUITY AMT_GOODS_PRICE EXT_SOURCE_1 EXT_SOURCE_2 EXT_SOURCE_3").split()
+    texts = (
+        "CODE_GENDER NAME_EDUCATION_TYPE NAME_CONTRACT_TYPE NAME_INCOME_TYPE NAME_FAMILY_STATUS NAME_HOUSING_TYPE "
+        "OCCUPATION_TYPE ORGANIZATION_TYPE FLAG_OWN_CAR FLAG_OWN_REALTY").split()
+    income = 'least("AMT_INCOME_TOTAL", CASE WHEN "AMT_INCOME_TOTAL" IS NOT NULL THEN cap.c END)'
+    ratios = {
+        "CREDIT_INCOME_RATIO": ('"AMT_CREDIT"', income), "ANNUITY_INCOME_RATIO": ('"AMT_ANNUITY"', income),
+        "CREDIT_TERM": ('"AMT_ANNUITY"', '"AMT_CREDIT"'), "EMPLOYED_AGE_RATIO": ('"DAYS_EMPLOYED"', '"DAYS_BIRTH"'),
+        "REGISTRATION_AGE_RATIO": ('"DAYS_REGISTRATION"', '"DAYS_BIRTH"'),
+        "ID_PUBLISH_AGE_RATIO": ('"DAYS_ID_PUBLISH"', '"DAYS_BIRTH"'),
+        "PHONE_CHANGE_AGE_RATIO": ('"DAYS_LAST_PHONE_CHANGE"', '"DAYS_BIRTH"'),
+        "INCOME_PER_PERSON": (income, '"CNT_FAM_MEMBERS"'), "CREDIT_GOODS_RATIO": ('"AMT_CREDIT"', '"AMT_GOODS_PRICE"')}
+    values = '(VALUES ("EXT_SOURCE_1"), ("EXT_SOURCE_2"), ("EXT_SOURCE_3")) e(x)'
+    stats = {"MEAN": "avg(x)", "MAX": "max(x)", "MIN": "min(x)", "STD": "stddev_samp(x)"}
+    flags = {"HAS_BUREAU": "b", "HAS_PREV": "b", "HAS_POS": "p", "HAS_CC": "k", "HAS_INST": "i"}
+    hits = {n: f'CAST({a}."SK_ID_CURR" IS NOT NULL AS INTEGER)' for n, a in flags.items()}
+    inner = " + ".join(hits[n] for n in ("HAS_PREV", "HAS_POS", "HAS_CC", "HAS_INST"))
+    own = {c: f'c."{c}"' for c in numbers} | {c: f'length(c."{c}")' for c in texts} | {"AMT_INCOME_TOTAL": income}
+    own |= {n: f"{x} / nullif(CAST({y} AS DOUBLE), 0)" for n, (x, y) in ratios.items()}
+    own |= {n: f'round_even(-"{d}" / 365.25e0, 1)' for n, d in (("AGE_YEARS", "DAYS_BIRTH"), ("YEARS_EMPLOYED", "DAYS_EMPLOYED"))}
+    own |= {f"EXT_SOURCE_{n}": f"(SELECT {x} FROM {values})" for n, x in stats.items()} | {
+        "EXT_SOURCE_PROD": '"EXT_SOURCE_1" * "EXT_SOURCE_2" * "EXT_SOURCE_3"', "N_EXT_SOURCE_PRESENT": f"(SELECT count(x) FROM {values})"}
+    own |= hits | {
+        "N_INTERNAL_SOURCES": inner, "N_SOURCES": f"{hits['HAS_BUREAU']} + {inner}",
+        "NO_HISTORY": f"CAST({hits['HAS_BUREAU']} + {inner} = 0 AS INTEGER)"}
+
+    def listed(columns: dict[str, str]) -> str:
+        return ", ".join(f'{x} AS "{c}"' for c, x in columns.items())
+
+    keys = {"b": "bureau", "p": "pos_cash", "k": "credit_card", "i": "instalments"}
+    joins = " ".join(
+        f'LEFT JOIN (SELECT DISTINCT "SK_ID_CURR" FROM {source}) {a} ON {a}."SK_ID_CURR" = c."SK_ID_CURR"' for a, source in keys.items())
+    ctes = ['cap AS (SELECT quantile_cont("AMT_INCOME_TOTAL", 0.999) AS c FROM base_clients)']
+    ctes += [f"own AS (SELECT {listed(own)} FROM cap, base_clients c {joins})"]
+    ctes += [f'{name} AS (SELECT "SK_ID_CURR", {listed(columns)} FROM {source} GROUP BY 1)' for name, (columns, source) in parts.items()]
+    rows = [
+        f"""SELECT '{c}' AS column_name, count("{c}") AS n_filled, round(avg(CAST("{c}" AS DOUBLE)), 6) AS mean, round(min(CAST("{c}" AS DOUBLE)), 6) AS low, round(max(CAST("{c}" AS DOUBLE)), 6) AS high
+        FROM {name} WHERE "SK_ID_CURR" IN (SELECT "SK_ID_CURR" FROM base_clients)"""
+        for name, columns in [("own", own), *((n, p[0]) for n, p in parts.items())] for c in columns
+    ]
+    return f"WITH {', '.join(ctes)} {' UNION ALL '.join(rows)}"
+
+
+@query("feature_table_other_columns", other_digest_sql())
+def _(t: Tables) -> DataFrame:
+    wide = whole_feature_table(t)
+    return column_digest(wide, [c for c in wide.columns if c.split("_")[0] not in HISTORY_PREFIXES])
+
+
 @query("feature_table_written", "SELECT count(*) AS n_rows, count(*) AS n_keys, true AS one_row_per_key FROM customer")
 def _(t: Tables) -> DataFrame:
     path = writers.write_parquet(whole_feature_table(t), scratch_path(t.spark, "features"))

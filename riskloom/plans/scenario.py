@@ -4,7 +4,8 @@
              counts, target, split and scores). Built with DataFrame code here and restated as
              SQL for the checks. The target is a negative account balance; no other column uses it
              except the score, which is an arithmetic mix so that it carries signal.
-``bureau``, ``bureau_balance``, ``instalments`` child and grandchild tables from orders and lineitem.
+``bureau``, ``bureau_balance``, ``instalments``, ``pos_cash``, ``credit_card`` child and grandchild tables from orders
+and lineitem.
 """
 
 from __future__ import annotations
@@ -129,6 +130,25 @@ FROM orders
 """
 
 
+# monthly balances, one per line: urgent and high orders are cards, all others are point-of-sale loans
+MONTHS_SQL = """-CAST(floor(date_diff('day', o_orderdate, TIMESTAMP '2001-08-01') / 30e0) AS BIGINT) AS "MONTHS_BALANCE" """
+
+SQL_TABLES["pos_cash"] = f"""
+SELECT o_custkey AS "SK_ID_CURR", o_orderkey AS "SK_ID_PREV", {MONTHS_SQL},
+       CAST(l_quantity AS BIGINT) AS "CNT_INSTALMENT", l_partkey % 25 AS "CNT_INSTALMENT_FUTURE",
+       CASE WHEN l_partkey % 13 = 5 THEN l_suppkey % 60 ELSE 0 END AS "SK_DPD", l_linestatus AS "NAME_CONTRACT_STATUS"
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')
+"""
+
+SQL_TABLES["credit_card"] = f"""
+SELECT o_custkey AS "SK_ID_CURR", o_orderkey AS "SK_ID_PREV", {MONTHS_SQL},
+       l_extendedprice AS "AMT_BALANCE", l_extendedprice * l_discount AS "AMT_DRAWINGS_CURRENT",
+       CASE WHEN l_quantity < 5 THEN 0e0 ELSE l_quantity * 3000 END AS "AMT_CREDIT_LIMIT_ACTUAL",
+       CASE WHEN l_partkey % 13 = 5 THEN l_suppkey % 60 ELSE 0 END AS "SK_DPD", l_returnflag AS "NAME_CONTRACT_STATUS"
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+"""
+
+
 # one training run per loan year: the newest runs are partly samples or rejected
 SQL_TABLES["runs"] = """
 SELECT CAST(yr AS VARCHAR) AS run_id, 'v' || CAST(yr % 5 AS VARCHAR) AS tag, CAST(yr AS INTEGER) AS trained_at,
@@ -286,6 +306,42 @@ def instalments(t) -> DataFrame:
     )
 
 
+def monthly(t, cards: bool) -> DataFrame:
+    """Lines with their order, of one kind of loan, and the columns that both kinds have."""
+    card = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    days = F.datediff(F.lit("2001-08-01").cast("date"), "o_orderdate")
+    joined = t.lineitem.join(t.orders.filter(card if cards else ~card), F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.withColumns(
+        {
+            "SK_ID_CURR": F.col("o_custkey"),
+            "SK_ID_PREV": F.col("o_orderkey"),
+            "MONTHS_BALANCE": -F.floor(days / 30.0),
+            "SK_DPD": F.when(F.col("l_partkey") % 13 == 5, F.col("l_suppkey") % 60).otherwise(0),
+        }
+    )
+
+
+def pos_cash(t) -> DataFrame:
+    return monthly(t, False).select(
+        "SK_ID_CURR", "SK_ID_PREV", "MONTHS_BALANCE",
+        F.col("l_quantity").cast("long").alias("CNT_INSTALMENT"),
+        (F.col("l_partkey") % 25).alias("CNT_INSTALMENT_FUTURE"),
+        "SK_DPD",
+        F.col("l_linestatus").alias("NAME_CONTRACT_STATUS"),
+    )
+
+
+def credit_card(t) -> DataFrame:
+    return monthly(t, True).select(
+        "SK_ID_CURR", "SK_ID_PREV", "MONTHS_BALANCE",
+        F.col("l_extendedprice").alias("AMT_BALANCE"),
+        (F.col("l_extendedprice") * F.col("l_discount")).alias("AMT_DRAWINGS_CURRENT"),
+        F.when(F.col("l_quantity") < 5, 0.0).otherwise(F.col("l_quantity") * 3000).alias("AMT_CREDIT_LIMIT_ACTUAL"),
+        "SK_DPD",
+        F.col("l_returnflag").alias("NAME_CONTRACT_STATUS"),
+    )
+
+
 def loans(t) -> DataFrame:
     """Orders as scored loans: a label, a near-continuous score and its rounded, tied twin."""
     k, event = F.col("o_orderkey"), F.col("o_orderstatus") == "F"
@@ -349,4 +405,6 @@ TABLES = {
     "bureau": bureau,
     "bureau_balance": bureau_balance,
     "instalments": instalments,
+    "pos_cash": pos_cash,
+    "credit_card": credit_card,
 }
