@@ -182,7 +182,7 @@ def _(t: Tables) -> DataFrame:
     df = training.applications(t)
     scores = t.spark.read.parquet(
         writers.write_parquet(learning.score_table(df, bundle), scratch_path(t.spark, "scores")))
-    tables = training.report_pack(scores, df, bundle, 20)
+    tables = training.report_pack(scores, df, bundle)
     paths = writers.write_report(tables, scratch_path(t.spark, "report"), "v1")
     parts = None
     for name, path in sorted(paths.items()):

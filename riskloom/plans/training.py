@@ -58,7 +58,7 @@ def run_metrics(scores: DataFrame, bundle: Bundle) -> DataFrame:
     return quality.join(evaluation.ks(long, "y_true", "score", ["model"]), "model")
 
 
-def report_pack(scores: DataFrame, clients: DataFrame, bundle: Bundle, replicas: int = 50) -> dict[str, DataFrame]:
+def report_pack(scores: DataFrame, clients: DataFrame, bundle: Bundle, replicas: int = 500) -> dict[str, DataFrame]:
     """The named summary tables of a run."""
     valid, test = (scores.filter(F.col(K.SPLIT) == s) for s in ("valid", "test"))
     with_axes = test.join(clients.drop(K.SPLIT), K.ID)

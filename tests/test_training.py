@@ -65,3 +65,15 @@ def test_every_variant_and_setting_gets_a_model(spark, monkeypatch):
     assert fitted == [(24.0, *s) for s in settings] + [(29.0, *s) for s in settings]
     got = out.select("variant", "setting", "kind").collect()
     assert len(got) == len(set(got)) == 2 * (1 + 6)
+
+
+def test_the_report_pack_has_500_replicas(spark, monkeypatch):
+    def record(*args):
+        seen.append(inspect.signature(whole).bind(*args).arguments["replicas"])
+        raise Stop
+
+    seen, whole = [], training.resampling.segment_report
+    monkeypatch.setattr(training.resampling, "segment_report", record)
+    with pytest.raises(Stop):
+        catalogue.callables()["report_pack"](spark, DATA)
+    assert seen == [500]
