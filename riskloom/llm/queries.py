@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import byte_bpe, exact_dedup, line_dedup, minhash, packing, quality, token_counts, topk, toxicity, url_filter
+from riskloom.llm import (
+    byte_bpe,
+    exact_dedup,
+    importance,
+    language_id,
+    line_dedup,
+    minhash,
+    packing,
+    quality,
+    spelling,
+    token_counts,
+    topk,
+    toxicity,
+    url_filter,
+)
 from riskloom.llm.common import fold, table
 from riskloom.llm.url_sql import url_sql
 
@@ -143,3 +157,25 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """)
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@registered()
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    known = language_id.identify(documents.select("doc_id", "text"), documents.where(~held_out).select("text", "lang"))
+    return known.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@registered()
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(
+        table(spark, sf_dir, "documents"), min_chars=6, min_count=5, ratio=5, lost_every=199
+    )
+
+
+@registered()
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25, longest=2, buckets=10_000
+    )
