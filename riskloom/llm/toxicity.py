@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +30,8 @@ STEPS, WARM, WINDOWS_BEFORE, WINDOWS_AFTER, BATCH, RATE = 200, 0.5, 6, 2, 256, 0
 #: One in so many sampled documents is kept for the calibration.
 KEPT_OUT = 4
 SEED = 5
+#: Words that are projected at a time.
+PROJECTED = 20_000
 #: Words whose projections a worker remembers.
 REMEMBERED = 200_000
 
@@ -65,7 +69,7 @@ def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         owners.append(of[inside])
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
-    return np.concatenate(buckets)[order], owner[order]
+    return np.concatenate(buckets)[order].astype(np.int32), owner[order].astype(np.int32)
 
 
 def word_features(words: list[str], known: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -101,15 +105,22 @@ class Network:
 
     def inputs(self, features) -> np.ndarray:
         """Word vector beside the mean of the vectors of its runs of characters."""
-        rows, buckets, of_word, sizes = features
+        rows, buckets, _, sizes = features
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         mean = np.add.reduceat(self.p["grams"][buckets], starts, axis=0) / sizes[:, None]
         return np.hstack([self.p["words"][rows], mean.astype(np.float32)])
 
     def projected(self, features) -> tuple[np.ndarray, np.ndarray]:
         """What the gates of both directions get from each word."""
-        x = self.inputs(features)
-        return x @ self.p["in_f"] + self.p["bias_f"], x @ self.p["in_b"] + self.p["bias_b"]
+        rows, buckets, _, sizes = features
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        out = [np.zeros((len(rows), 3 * STATE), np.float32) for _ in "fb"]
+        for begin in range(0, len(rows), PROJECTED):
+            end = min(len(rows), begin + PROJECTED)
+            x = self.inputs((rows[begin:end], buckets[ends[begin] : ends[end]], None, sizes[begin:end]))
+            for gates, side in zip(out, "fb"):
+                gates[begin:end] = x @ self.p[f"in_{side}"] + self.p[f"bias_{side}"]
+        return out[0], out[1]
 
     def recur(self, gates: np.ndarray, place: np.ndarray, side: str, keep: bool):
         """States of one direction, time first; where a place is empty the state stays."""
@@ -205,74 +216,82 @@ class Model:
         return float(sigmoid(self.summary(logits) @ self.weights[:-1] + self.weights[-1]))
 
 
-def laid_out(numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All windows of some documents as columns of word numbers, and the document of each."""
-    owner = np.concatenate([np.full(len(windows_of(len(x))), k) for k, x in enumerate(numbers)])
-    place = np.full((WINDOW, len(owner)), -1, np.int64)
-    column = 0
-    for x in numbers:
-        begins = windows_of(len(x))
-        if len(x) <= WINDOW:
-            place[: len(x), column] = x
-        else:
-            at = begins + np.arange(WINDOW)[:, None]
-            place[:, column : column + len(begins)] = np.where(at < len(x), x[np.minimum(at, len(x) - 1)], -1)
-        column += len(begins)
-    return place, owner
+class Windows:
+    """All windows of some documents, which are laid out as columns of word numbers only when they are asked for."""
+
+    def __init__(self, numbers: list[np.ndarray]):
+        sizes = np.array([len(x) for x in numbers], np.int64)
+        begins = [windows_of(n) for n in sizes.tolist()]
+        counts = np.array([len(b) for b in begins], np.int64)
+        self.words = np.concatenate([*numbers, np.zeros(1, np.int32)]).astype(np.int32, copy=False)
+        self.owner = np.repeat(np.arange(len(numbers)), counts)
+        ends = np.cumsum(sizes)
+        self.begin = np.concatenate([*begins, np.zeros(0, np.int64)]) + np.repeat(ends - sizes, counts)
+        self.size = np.minimum(WINDOW, np.repeat(ends, counts) - self.begin)  # words in each window
+
+    def __len__(self) -> int:
+        return len(self.owner)
 
+    def place(self, which) -> np.ndarray:
+        """Word numbers of some windows, time first, -1 behind the last word of a short text."""
+        inside = np.arange(WINDOW)[:, None] < self.size[which]
+        at = np.where(inside, self.begin[which] + np.arange(WINDOW)[:, None], len(self.words) - 1)
+        return np.where(inside, self.words[at], -1).astype(np.int64)
 
-def logits_of(network: Network, gates, place: np.ndarray) -> np.ndarray:
+
+def logits_of(network: Network, gates, windows: Windows) -> np.ndarray:
     """Logits of many windows, some thousand at a time; windows without words are left at the bias."""
-    out = np.full(place.shape[1], network.p["bias"][0], np.float32)
-    for begin in range(0, place.shape[1], 1024):
-        part = place[:, begin : begin + 1024]
+    out = np.full(len(windows), network.p["bias"][0], np.float32)
+    for begin in range(0, len(windows), 1024):
+        part = windows.place(slice(begin, begin + 1024))
         out[begin : begin + 1024] = network.forward(gates, part)[0]
-    return np.where(place[0] >= 0, out, network.p["bias"][0])
+    return np.where(windows.size > 0, out, network.p["bias"][0])
 
 
-def numbered(texts: list[list[str]]) -> tuple[list[str], list[np.ndarray]]:
-    """The distinct words, and each text as numbers into them."""
+def numbered(texts: Iterable[str]) -> tuple[list[str], list[np.ndarray]]:
+    """The distinct words, and each text as numbers into them; a text is let go before the next one is read."""
     table: dict[str, int] = {}
-    numbers = [np.array([table.setdefault(w, len(table)) for w in t], np.int64) for t in texts]
+    numbers = [np.array([table.setdefault(w, len(table)) for w in words_of(t)], np.int32) for t in texts]
     return list(table), numbers
 
 
-def train(texts: list[str], labels: list[int], counts: dict[int, int]) -> Model:
+def train(texts: Iterable[str], labels: list[int], counts: dict[int, int], steps_to_take: int, batch: int) -> Model:
     """Fit on a bounded sample. counts: how many labelled documents of each label the sample stands for.
 
+    Texts are read one by one; what is held is four bytes for each of their words, and the distinct words.
+
     A document is toxic by some of its windows only, so after the first rounds the network learns from the windows of
     a document that it scores highest. Every KEPT_OUT-th document takes no part in that: on those a logistic curve from
     the windows' logits to the document's label is fitted, weighted back to the shares of all labelled documents.
     """
+    names, numbers = numbered(texts)
     y = np.array(labels)
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
     if not len(y) or y.min() == y.max():
         return Model(None, np.zeros(4), prior if len(y) else 0.0)
-    words = [words_of(t) for t in texts]
     rng = np.random.default_rng(SEED)
     fit = np.ones(len(y), bool)
     for k in (0, 1):  # the same share of each label
         fit[rng.permutation(np.flatnonzero(y == k))[::KEPT_OUT][1:]] = False
-    seen: dict[str, int] = {}
+    if not names:
+        return Model(None, np.zeros(4), prior)
+    seen = np.zeros(len(names), np.int64)  # documents each word stands in
     for k in np.flatnonzero(fit):
-        for w in set(words[k]):
-            seen[w] = seen.get(w, 0) + 1
-    often = sorted((w for w, n in seen.items() if n >= 3), key=lambda w: (-seen[w], w))[:VOCABULARY]
+        seen[np.unique(numbers[k])] += 1
+    often = [names[k] for k in sorted(np.flatnonzero(seen >= 3), key=lambda k: (-seen[k], names[k]))[:VOCABULARY]]
     network = Network({w: k + 1 for k, w in enumerate(often)})
-    names, numbers = numbered(words)
-    features = word_features(names, network.known) if names else None
-    if features is None:
-        return Model(None, np.zeros(4), prior)
-    place, owner = laid_out(numbers)
-    filled = place[0] >= 0
+    features = word_features(names, network.known)
+    windows = Windows(numbers)
+    del numbers
+    owner, filled = windows.owner, windows.size > 0
     moving = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in network.p.items()}
     steps = 0
     usable = fit[owner] & filled
-    while steps < STEPS and usable.any():
+    while steps < steps_to_take and usable.any():
         chance = rng.random(len(owner))
-        warm = steps < WARM * STEPS
+        warm = steps < WARM * steps_to_take
         if not warm:  # the most telling windows, and now and then another one
-            logits = logits_of(network, network.projected(features), place)
+            logits = logits_of(network, network.projected(features), windows)
             chance = np.where(chance > 0.95, 1e9, logits)
         order = np.lexsort((-chance, owner))
         rank = np.arange(len(owner)) - np.searchsorted(owner[order], owner[order])
@@ -280,9 +299,9 @@ def train(texts: list[str], labels: list[int], counts: dict[int, int]) -> Model:
         if not len(chosen):
             break
         rng.shuffle(chosen)
-        for begin in range(0, len(chosen), BATCH):
-            part = chosen[begin : begin + BATCH]
-            own, place_now = np.unique(place[:, part], return_inverse=True)
+        for begin in range(0, len(chosen), batch):
+            part = chosen[begin : begin + batch]
+            own, place_now = np.unique(windows.place(part), return_inverse=True)
             place_now = place_now.reshape(WINDOW, -1)
             if own[0] == -1:
                 own, place_now = own[1:], place_now - 1
@@ -291,7 +310,7 @@ def train(texts: list[str], labels: list[int], counts: dict[int, int]) -> Model:
             own_features = word_features([names[k] for k in own], network.known)
             own_features[0][rng.random(len(own)) < DROPPED] = 0
             grads = network.gradients(own_features, place_now, now, weight)
-            rate = RATE * min(1.0, 2.0 * (1.05 - min(1.0, steps / STEPS)))
+            rate = RATE * min(1.0, 2.0 * (1.05 - min(1.0, steps / steps_to_take)))
             steps += 1
             for k, grad in grads.items():
                 grad = np.clip(grad, -1, 1)
@@ -300,7 +319,7 @@ def train(texts: list[str], labels: list[int], counts: dict[int, int]) -> Model:
                 v += 0.01 * (grad * grad - v)
                 network.p[k] -= (rate * (m / (1 - 0.9**steps)) / (np.sqrt(v / (1 - 0.99**steps)) + 1e-8)).astype(np.float32)
     model = Model(network, np.zeros(4), prior)
-    logits = logits_of(network, network.projected(features), place)
+    logits = logits_of(network, network.projected(features), windows)
     each = np.split(logits, np.searchsorted(owner, np.arange(1, len(y))))
     x = np.array([np.append(model.summary(z), 1.0) for z in each])
     held = ~fit if 0 < y[~fit].mean() < 1 else np.ones(len(y), bool)
@@ -342,13 +361,13 @@ class Scorer:
         get = self.rows.__getitem__
         if not self.rows:
             self.gates = [np.zeros((1, 3 * STATE), np.float32)] * 2
-        place, owner = laid_out([np.fromiter(map(get, w), np.int64, len(w)) for w in words])
-        logits = logits_of(self.model.network, self.gates, place)
-        return [self.model.score(z) for z in np.split(logits, np.searchsorted(owner, np.arange(1, len(texts))))]
+        windows = Windows([np.fromiter(map(get, w), np.int32, len(w)) for w in words])
+        logits = logits_of(self.model.network, self.gates, windows)
+        return [self.model.score(z) for z in np.split(logits, np.searchsorted(windows.owner, np.arange(1, len(texts))))]
 
 
-def training_sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str], list[int], dict[int, int]]:
-    """Texts and labels of at most SAMPLE documents of each label, in an order of hashes, and the counts of labels."""
+def training_sample(documents: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """Texts and labels of at most SAMPLE documents of each label, with their turn, and the counts of labels."""
     counts = {r.label: r["count"] for r in labels.groupBy("label").count().collect()}
     by_hash = F.xxhash64("doc_id", F.lit(SEED))
     chosen = [labels.where(F.col("label") == k).withColumn("turn", by_hash).orderBy("turn", "doc_id").limit(SAMPLE) for k in (0, 1)]
@@ -356,9 +375,30 @@ def training_sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str],
     # at most 2 * SAMPLE ids
     rows = documents.join(F.broadcast(ids), F.col("doc_id") == F.col("label_id")).select("turn", "doc_id", "label", "text")
     # an id can stand in many rows: one of its texts is enough
-    rows = rows.groupBy("turn", "doc_id", "label").agg(F.min("text").alias("text")).collect()
-    rows = sorted(rows, key=lambda r: (r.turn, r.doc_id, r.label))
-    return [r.text or "" for r in rows], [r.label for r in rows], counts
+    return rows.groupBy("turn", "doc_id", "label").agg(F.min("text").alias("text")), counts
+
+
+def trained(documents: DataFrame, labels: DataFrame) -> Model:
+    """The model of the sample, fitted in one task, so that neither texts nor the fit burden the driver."""
+    sample, counts = training_sample(documents, labels)
+    steps, batch = STEPS, BATCH
+
+    def fit(batches):
+        marks: list[int] = []
+
+        def texts():
+            for part in batches:
+                marks.extend(part.column(0).to_pylist())
+                for text in part.column(1):
+                    yield text.as_py() or ""
+
+        # labels are known when the last text has been read
+        model = train(texts(), marks, counts, steps, batch)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    ordered = sample.repartition(1).sortWithinPartitions("turn", "doc_id", "label").select("label", "text")
+    rows = ordered.mapInArrow(fit, "model binary").collect()
+    return pickle.loads(rows[0].model) if rows else Model(None, np.zeros(4), 0.0)  # no rows, no task
 
 
 _SCORERS: dict[str, Scorer] = {}
@@ -374,7 +414,7 @@ def toxicity_scores(
     """All columns and rows of `documents`, with the chance of label 1 in `score_col` (which replaces one of that name).
 
     labels: doc_id, label (0 or 1, others are left out). The network is trained on at most SAMPLE documents of each
-    label, which is the one bound here; every window of every whole text is scored. Null and empty texts are scored as
+    label, which is the one bound here, in one task of an executor; every window of every whole text is scored. Null and empty texts are scored as
     one empty window. Null ids are scored and never learnt from; rows that repeat an id are scored each. With labels
     of one kind every score is that kind, without labels 0.
     """
@@ -383,7 +423,7 @@ def toxicity_scores(
     rows = documents.drop(score_col)
     marked = labels.where("label in (0, 1) and doc_id is not null").select("doc_id", F.col("label").cast("int")).distinct()
     own = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    model = train(*training_sample(own, stage(marked, "toxic-labels")))
+    model = trained(own, stage(marked, "toxic-labels"))
     key = uuid.uuid4().hex
     shared = spark.sparkContext.broadcast(model)
     place = rows.columns.index(text_col)

@@ -1,6 +1,7 @@
 """Toxicity, quality and url models: gradients, held-out accuracy, defined results on odd input."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -62,13 +63,64 @@ def test_gradients_are_those_of_the_loss():
 def test_windows_cover_every_word_and_overlap():
     for n in (0, 1, toxicity.WINDOW, toxicity.WINDOW + 1, 500, 501):
         numbers = np.arange(n)
-        place, owner = toxicity.laid_out([numbers])
+        windows = toxicity.Windows([numbers])
+        place, owner = windows.place(slice(None)), windows.owner
         counts = np.bincount(place[place >= 0], minlength=n) if n else np.zeros(0)
         assert (counts >= 1).all() and len(owner) == place.shape[1] >= 1
         if n > 2 * toxicity.WINDOW:
             assert (counts[toxicity.STRIDE : n - toxicity.WINDOW] == 2).all()
 
 
+def test_windows_of_several_texts_do_not_mix():
+    numbers = [np.arange(5), np.arange(0), 10 + np.arange(toxicity.WINDOW + 3), np.array([7])]
+    windows = toxicity.Windows(numbers)
+    place = windows.place(np.arange(len(windows)))
+    for k, own in enumerate(numbers):
+        mine = place[:, windows.owner == k]
+        assert set(mine[mine >= 0].tolist()) == set(own.tolist())
+    assert (windows.size == (place >= 0).sum(axis=0)).all()
+
+
+def test_one_text_of_a_million_words_is_learnt_within_bounds(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "STEPS", 6)
+    rows = rude_rows(60)
+    long = " ".join(["zork calm word1 word2"] * 250_000)
+    tracemalloc.start()
+    model = toxicity.train(iter([long, *(t for _, t, _ in rows)]), [1, *(y for _, _, y in rows)], {0: 45, 1: 16}, 6, 64)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6 and model.network is not None
+    frame = spark.createDataFrame([(-1, long), *((k, t) for k, t, _ in rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(-1, 1), *((k, y) for k, _, y in rows)], "doc_id long, label int")
+    assert frame.count() == len([r for r in toxicity.toxicity_scores(frame, labels).collect() if 0 <= r.score <= 1])
+
+
+def test_a_window_scores_as_a_plain_loop_does():
+    network = toxicity.Network({"a": 1, "b": 2})
+    features = toxicity.word_features(["a", "b", "unknown"], network.known)
+    x, p, size = network.inputs(features), network.p, toxicity.STATE
+
+    def states(order, side):
+        h, out = np.zeros(size), {}
+        for t in order:
+            gates = x[words[t]] @ p[f"in_{side}"] + p[f"bias_{side}"]
+            w = p[f"state_{side}"]
+            z = 1 / (1 + np.exp(-(gates[:size] + h @ w[:, :size])))
+            r = 1 / (1 + np.exp(-(gates[size : 2 * size] + h @ w[:, size : 2 * size])))
+            c = np.tanh(gates[2 * size :] + (r * h) @ w[:, 2 * size :])
+            h = out[t] = h + z * (c - h)
+        return out
+
+    words = [0, 2, 1, 1, 0, 2]
+    forward, backward = states(range(6), "f"), states(range(5, -1, -1), "b")
+    both = [np.concatenate([forward[t], backward[t]]) for t in range(6)]
+    energy = np.exp([np.tanh(s @ p["attend"] + p["attend_bias"]) @ p["query"] for s in both])
+    context = sum(e * s for e, s in zip(energy / energy.sum(), both))
+    windows = toxicity.Windows([np.array(words)])
+    got = toxicity.logits_of(network, network.projected(features), windows)
+    assert got[0] == pytest.approx(float(context @ p["out"] + p["bias"][0]), abs=1e-5)
+
+
 def test_toxic_documents_are_found(spark, short_training):
     rows = rude_rows(320)
     frame = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
@@ -81,7 +133,7 @@ def test_toxic_documents_are_found(spark, short_training):
 
 def test_late_insults_in_a_long_text_count(short_training):
     rows = rude_rows(240)
-    model = toxicity.train([t for _, t, _ in rows], [y for _, _, y in rows], {0: 180, 1: 60})
+    model = toxicity.train([t for _, t, _ in rows], [y for _, _, y in rows], {0: 180, 1: 60}, toxicity.STEPS, toxicity.BATCH)
     calm = " ".join(f"word{k % 60}" for k in range(4000))
     rude = calm + " zork zorkish zorkful zork zork"
     scores = toxicity.Scorer(model).scores([calm, rude, ""])
