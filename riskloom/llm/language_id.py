@@ -165,13 +165,10 @@ def kept(counted: DataFrame, per: str | None, room: int) -> tuple[DataFrame, dic
     each = counted.select(size.alias("size"), F.explode(F.arrays_zip("langs", "counts")).alias("e"))
     sums = each.groupBy("size", "e.langs").agg(F.sum("e.counts").alias("n")).collect()
     totals = {(r["size"], r["langs"]): r["n"] for r in sums}
-    spark = counted.sparkSession
-    rows = [(s, [totals.get((s, k), 1) for k in range(1 + max((k for _, k in totals), default=0))])
-            for s in sorted({s for s, _ in totals})]
-    known = spark.createDataFrame(rows, "size int, totals array<long>")  # one row for each size of a run
-    shared = counted.withColumn("_size", size).join(known.withColumnRenamed("size", "_size"), "_size")
-    share = F.array_max(F.zip_with("langs", "counts", lambda k, n: n / F.get("totals", k)))
-    ranked = shared.withColumn("_step", F.floor(-STEPS * F.log2(share)).cast("int")).drop("totals", "_size")
+    known = 1 + max((k for _, k in totals), default=0)
+    table = [[float(totals.get((s, k), 1)) for k in range(known)] for s in range(LONGEST_GRAM + 1)]
+    share = F.array_max(F.zip_with("langs", "counts", lambda k, n: n / F.get(F.get(F.lit(table), size), k)))
+    ranked = counted.withColumn("_step", F.floor(-STEPS * F.log2(share)).cast("int"))
     upto, cut = 0, -1
     for r in sorted(ranked.groupBy("_step").count().collect(), key=lambda r: r["_step"]):
         if upto + r["count"] > room:
