@@ -21,7 +21,7 @@ ORDER = (5, 1, 14, 9, 4, 15, 2, 3, 8, 12, 13, 7, 6, 0, 10, 11)
 #: Words of a trie node that are verified one by one instead of being split further.
 LEAF = 24
 #: Words, and words looked up, of one trie at most.
-BLOCK = 100_000
+BLOCK = 20_000
 #: Distinct words a task counts before it hands them on.
 HELD = 500_000
 #: Bytes that one comparison of words takes at most.
@@ -193,7 +193,7 @@ def keep_once(table: pa.Table, a: np.ndarray, b: np.ndarray, words: np.ndarray)
 
 def depth_for(words: int) -> int:
     """Groups whose counts are part of a shard's key: more for larger vocabularies."""
-    return min(8, 2 + max(0, math.ceil(math.log(max(1, words) / 1e6, 12))))
+    return min(8, 3 + max(0, math.ceil(math.log(max(1, words) / 1e6, 12))))
 
 
 def group_count(word: Column, group: int) -> Column:
