@@ -1,8 +1,6 @@
-"""Byte-pair vocabularies as flat arrays, and the cutting of texts into independent units.
+"""Byte-pair vocabularies as flat arrays, and the cutting of texts into pre-tokens.
 
-A unit is a run of white space with the run of other characters behind it. The split pattern never joins a character
-with white space that follows it, so the tokens of a text are those of its units, one after the other. Equal units give
-equal tokens, and a worker keeps the results of the units it has seen in a bounded table.
+Equal pre-tokens give equal tokens, and a worker keeps the results of those it has seen in a bounded table.
 """
 
 from __future__ import annotations
@@ -10,21 +8,45 @@ from __future__ import annotations
 import base64
 import json
 import re
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from itertools import chain
+from functools import lru_cache
+from unicodedata import category
 
 import numpy as np
 import regex
 
 #: No pair of symbols merges.
 NONE = np.int32(2**31 - 1)
-#: Units a worker remembers before it starts again.
+#: Pre-tokens a worker remembers before it starts again.
 REMEMBERED = 500_000
 
-UNIT = re.compile(r"\s*\S+|\s+")
-#: Characters that Python counts as white space and the split pattern does not.
-ODD = re.compile("[\x1c-\x1f]")
+#: The split pattern that is also written for `re` below, which is faster than `regex` and has no `\\p`.
+KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PLAIN = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+
+
+@lru_cache(1)
+def odd_characters() -> re.Pattern:
+    """The characters that `\\s`, `\\w` and `\\d` class otherwise than the split pattern: separators U+1C to U+1F,
+    numbers that are no decimal digits, code points without a meaning in this Python's tables, and all beyond U+FFFF."""
+    odd = [
+        c for c in range(1 << 16)
+        if 0x1C <= c <= 0x1F or (chr(c).isalnum() and not chr(c).isalpha() and not chr(c).isdecimal()) or category(chr(c)) == "Cn"
+    ]
+    ends = [k for k in range(len(odd)) if k + 1 == len(odd) or odd[k + 1] != odd[k] + 1]
+    ranges = "".join(f"\\u{odd[a]:04x}-\\u{odd[b]:04x}" for a, b in zip([0, *(k + 1 for k in ends)], ends))
+    return re.compile(f"[{ranges}\\U00010000-\\U0010ffff]")
+
+
+def cutter(pattern: str) -> Callable[[str], list[str]]:
+    """Cuts a text into pre-tokens, as `regex` does with the pattern."""
+    whole = regex.compile(pattern).findall
+    if pattern != KNOWN_PATTERN:
+        return whole
+    plain, odd = PLAIN.findall, odd_characters().search
+    return lambda text: whole(text) if odd(text) else plain(text)
 
 
 def byte_characters() -> list[str]:
@@ -130,75 +152,46 @@ def from_ranks(path: str) -> Vocabulary:
 
 
 class Units:
-    """Looks texts up unit by unit; unseen pre-tokens go to `solve` in batches.
+    """Looks texts up pre-token by pre-token; unseen ones go to `solve` in batches.
 
     solve(list of utf-8 byte strings) gives one value for each; `join(values)` is the value of several in a row.
     """
 
     def __init__(self, pattern: str, solve: Callable, join: Callable, special: dict[str, object] | None = None):
-        self.find = regex.compile(pattern).findall
+        self.find = cutter(pattern)
         self.solve, self.join = solve, join
         self.special = special or {}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.seen: dict[str, object] = {}
-        self.pieces: dict[str, object] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.seen: dict[object, object] = {(s,): value for s, value in self.special.items()}
         self.held = 0
 
-    def parts(self, text: str) -> list[str]:
-        """Independent pieces of a text: units, special strings, or the whole text where white space is ambiguous."""
-        if self.special and any(s in text for s in self.special):
-            out = []
-            for k, part in enumerate(self.cut.split(text)):
-                if k % 2:
-                    out.append(part)
-                elif part:
-                    out.extend(self.plain(part))
-            return out
-        return self.plain(text)
-
-    @staticmethod
-    def plain(text: str) -> list[str]:
-        return [text] if ODD.search(text) else UNIT.findall(text)
-
-    def cuts(self, units: list[str]) -> dict[str, list[str]]:
-        """The pre-tokens of each unit.
-
-        Units that begin with white space and end without it stand in one long text as they would in their own, so
-        one search cuts them all.
-        """
-        whole, out = [], {}
-        for u in units:
-            if u[0].isspace() and not u[-1].isspace() and not ODD.search(u):
-                whole.append(u)
-            elif u not in self.special:
-                out[u] = self.find(u)
-        at, tokens = 0, self.find("".join(whole))
-        for u in whole:
-            size, begin = len(u), at
-            while size > 0:
-                size -= len(tokens[at])
-                at += 1
-            out[u] = tokens[begin:at]
+    def parts(self, text: str) -> list:
+        """The pre-tokens of a text; special strings stand between them as tuples, so no pre-token equals one."""
+        if not any(s in text for s in self.special):
+            return self.find(text)
+        out = []
+        for k, part in enumerate(self.cut.split(text)):
+            if k % 2:
+                out.append((part,))
+            else:
+                out.extend(self.find(part))
         return out
 
-    def learn(self, units: list[str]) -> None:
-        cut = self.cuts(units)
-        known, join = self.pieces, self.join
-        unknown = list({p for parts in cut.values() for p in parts if p not in known})
-        known.update(zip(unknown, self.solve([p.encode() for p in unknown])))
-        seen, get = self.seen, known.__getitem__
-        for u, parts in cut.items():
-            seen[u] = get(parts[0]) if len(parts) == 1 else join(map(get, parts))
-        seen.update((u, self.special[u]) for u in units if u in self.special)
-        self.held += sum(map(len, units))
-
     def values(self, texts: list[str]) -> list:
         """The joined value of each text."""
         if len(self.seen) > REMEMBERED or self.held > 32 * REMEMBERED:
-            self.seen, self.pieces, self.held = {}, {}, 0
+            self.forget()
         parts = [self.parts(t) for t in texts]
-        unseen = list(set(chain.from_iterable(parts)).difference(self.seen))
-        if unseen:
-            self.learn(unseen)
-        seen, join = self.seen.__getitem__, self.join
-        return [join(map(seen, p)) for p in parts]
+        look = self.seen.get
+        found = [list(map(look, p)) for p in parts]
+        short = [k for k, values in enumerate(found) if None in values]
+        if short:
+            new = list({u for k in short for u, value in zip(parts[k], found[k]) if value is None})
+            self.seen.update(zip(new, self.solve([u.encode() for u in new])))
+            self.held += sum(map(len, new))
+            for k in short:
+                found[k] = list(map(look, parts[k]))
+        return list(map(self.join, found))
