@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import columns as C
 from riskloom.functions import constants as K
-from riskloom.operators import evaluation, explain, features, learning, portfolio, ranking
+from riskloom.operators import boosting, evaluation, explain, features, learning, portfolio, ranking
 from riskloom.plans import training
 from riskloom.plans.queries_cleaning import rounded
 from riskloom.plans.registry import Tables, query
@@ -295,6 +295,41 @@ def _(t: Tables) -> DataFrame:
     return explain.simulate(df, explain.bundle_scorer(bundle), {"EXT_SOURCE_2": 0.1}, bundle.threshold)
 
 
+@query("native_tree_scores")
+def _(t: Tables) -> DataFrame:
+    scored = boosting.score(training.applications(t), training.native_trees(t))
+    return scored.select(F.col(K.ID).alias("id"), "split", F.col(K.TARGET).alias("y"), K.RAW_SCORE)
+
+
+@query("native_tree_facts", f"""
+WITH {CLIENT_SPLIT} SELECT split, count(*) AS n, CAST(sum(y) AS BIGINT) AS events, true AS adds_up, true AS prefix_agrees, true AS learns FROM parts GROUP BY 1
+""")
+def _(t: Tables) -> DataFrame:
+    model, df = training.native_trees(t), training.applications(t)
+    explained = boosting.contributions(df, model).join(df.select(K.ID, "split", K.TARGET), K.ID)
+    gap = F.max(F.abs(explain.sigmoid("margin") - F.col("raw_probability")))
+    per = explained.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(K.TARGET).cast("long").alias("events"), (gap < 1e-9).alias("adds_up"))
+    auc = evaluation.auc(explained, K.TARGET, "raw_probability", ["split"])
+    stored = F.lit(model.valid_auc[model.best_iteration - 1])
+    # the AUC of the kept prefix, taken from cells while fitting, is that of the scored validation rows
+    agrees = (F.col("split") != "valid") | (F.abs(F.col("auc") - stored) < 1e-9)
+    facts = per.join(auc, "split").withColumns({"prefix_agrees": agrees, "learns": F.col("auc") > 0.6})
+    return facts.select("split", "n", "events", "adds_up", "prefix_agrees", "learns")
+
+
+@query("native_tree_importance")
+def _(t: Tables) -> DataFrame:
+    return boosting.importance(t.spark, training.native_trees(t))
+
+
+@query("native_tree_prefix_auc")
+def _(t: Tables) -> DataFrame:
+    model = training.native_trees(t)
+    rows = [(k + 1, auc, k < model.best_iteration) for k, auc in enumerate(model.valid_auc)]
+    return t.spark.createDataFrame(rows, "tree int, auc_valid double, kept boolean")
+
+
 @query("segment_ceiling_verdict")
 def _(t: Tables) -> DataFrame:
     return training.ceiling_verdict(training.segment_ceiling(training.applications(t), training.trained(t)))
