@@ -208,15 +208,15 @@ def fit_champion(
     if spec.categorical:
         stages.append(StringIndexer(inputCols=[f"s_{c}" for c in spec.categorical], outputCols=[f"i_{c}" for c in spec.categorical], handleInvalid="keep"))
     stages.append(VectorAssembler(inputCols=tree_inputs(spec), outputCol="features"))
-    stages.append(
-        GBTClassifier(
-            labelCol=spec.label, weightCol="_w", validationIndicatorCol="_valid", maxIter=spec.trees,
-            maxDepth=spec.depth, stepSize=spec.step, minInstancesPerNode=spec.min_rows,
-            subsamplingRate=spec.row_share, featureSubsetStrategy=spec.feature_share,
-            maxBins=max(64, spec.max_categories + 4), validationTol=1e-4, seed=spec.seed,
-        )
-    )
-    return Pipeline(stages=stages).fit(shaped)
+    # medians and category indexes come from the training rows alone
+    prepared = Pipeline(stages=stages).fit(shaped.filter(~F.col("_valid")))
+    trees = GBTClassifier(
+        labelCol=spec.label, weightCol="_w", validationIndicatorCol="_valid", maxIter=spec.trees,
+        maxDepth=spec.depth, stepSize=spec.step, minInstancesPerNode=spec.min_rows,
+        subsamplingRate=spec.row_share, featureSubsetStrategy=spec.feature_share,
+        maxBins=max(64, spec.max_categories + 4), validationTol=1e-4, seed=spec.seed,
+    ).fit(prepared.transform(shaped))
+    return PipelineModel(stages=[*prepared.stages, trees])
 
 
 def tree_inputs(spec: ModelSpec) -> list[str]:
