@@ -537,10 +537,11 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("clients_with_scores_view", """
-SELECT "SK_ID_CURR" AS id, "TARGET" AS target, split, proba_champion AS score FROM clients
+SELECT b."SK_ID_CURR" AS id, b."TARGET" AS target, s.split, s.proba_champion AS score
+FROM base_clients b LEFT JOIN partial_scores s ON s."SK_ID_CURR" = b."SK_ID_CURR"
 """)
 def _(t: Tables) -> DataFrame:
-    view = t.base_clients.select("SK_ID_CURR", "TARGET").join(t.scores, "SK_ID_CURR", "left")
+    view = t.base_clients.select("SK_ID_CURR", "TARGET").join(t.partial_scores, "SK_ID_CURR", "left")
     return view.select(F.col("SK_ID_CURR").alias("id"), F.col("TARGET").alias("target"), "split", F.col("proba_champion").alias("score"))
 
 
@@ -554,18 +555,18 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("lookup_with_default", """
-SELECT b."SK_ID_CURR" AS id, coalesce(s.split, 'calib') AS split FROM base_clients b LEFT JOIN scores s ON s."SK_ID_CURR" = b."SK_ID_CURR"
+SELECT b."SK_ID_CURR" AS id, coalesce(s.split, 'calib') AS split FROM base_clients b LEFT JOIN partial_scores s ON s."SK_ID_CURR" = b."SK_ID_CURR"
 """)
 def _(t: Tables) -> DataFrame:
-    joined = t.base_clients.select("SK_ID_CURR").join(t.scores.select("SK_ID_CURR", "split"), "SK_ID_CURR", "left")
+    joined = t.base_clients.select("SK_ID_CURR").join(t.partial_scores.select("SK_ID_CURR", "split"), "SK_ID_CURR", "left")
     return joined.select(F.col("SK_ID_CURR").alias("id"), F.coalesce("split", F.lit("calib")).alias("split"))
 
 
 @query("clients_outside_scores", """
-SELECT "SK_ID_CURR" AS id FROM base_clients WHERE "SK_ID_CURR" NOT IN (SELECT "SK_ID_CURR" FROM scores)
+SELECT "SK_ID_CURR" AS id FROM base_clients WHERE "SK_ID_CURR" NOT IN (SELECT "SK_ID_CURR" FROM partial_scores)
 """)
 def _(t: Tables) -> DataFrame:
-    return t.base_clients.join(t.scores, "SK_ID_CURR", "left_anti").select(F.col("SK_ID_CURR").alias("id"))
+    return t.base_clients.join(t.partial_scores, "SK_ID_CURR", "left_anti").select(F.col("SK_ID_CURR").alias("id"))
 
 
 @query("groups_aligned_in_one_pass", """

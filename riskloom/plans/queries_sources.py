@@ -73,10 +73,10 @@ def _(t: Tables) -> DataFrame:
     return readers.with_optional(base, None, K.ID, {"split": "string", "proba_champion": "double"})
 
 
-@query("present_optional_source", 'SELECT b."SK_ID_CURR", s.split, s.proba_champion FROM base_clients b LEFT JOIN scores s USING ("SK_ID_CURR")')
+@query("present_optional_source", 'SELECT b."SK_ID_CURR", s.split, s.proba_champion FROM base_clients b LEFT JOIN partial_scores s USING ("SK_ID_CURR")')
 def _(t: Tables) -> DataFrame:
     base = t.base_clients.select(K.ID)
-    return readers.with_optional(base, t.scores, K.ID, {"split": "string", "proba_champion": "double"})
+    return readers.with_optional(base, t.partial_scores, K.ID, {"split": "string", "proba_champion": "double"})
 
 
 @query("column_catalogue", """
