@@ -8,12 +8,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as C
 from riskloom.functions import constants as K
 from riskloom.operators import ranking
+from riskloom.session import ship_package, staged
+
 
 def whole():
     """One frame over a result that is already bounded."""
@@ -393,41 +396,60 @@ def grouped_calibration_curve(
 # ---------------------------------------------------------------- groups
 
 
-def auc_matrix(df: DataFrame, label: str, score: str, by: str, block: int = 16) -> DataFrame:
-    """AUC of the events of group i against the non-events of group j, with the pair counts.
+def won_inside(cells: pa.Table, by: str, block: int) -> pa.Table:
+    """Won pairs of every two groups of one score range, by a merge in the order of the scores.
 
-    One running sum per group over the distinct scores; the groups of the axis are counted
-    first and the pairs are aggregates over the cells, so no rows are paired up.
+    ``block`` distinct scores at a time: each score's events meet the non-events below it, and half of those that tie.
     """
-    cells = score_cells(df, label, score, [by])
-    names = [r[0] for r in cells.select(by).distinct().orderBy(by).collect()]
-    out = None
-    for start in range(0, len(names), block):
-        some = names[start : start + block]
-        wide = cells.groupBy("score").agg(
-            *[F.coalesce(F.sum(F.when(F.col(by) == g, F.col("events"))), F.lit(0)).alias(f"e{i}") for i, g in enumerate(names)],
-            *[F.coalesce(F.sum(F.when(F.col(by) == g, F.col("nonevents"))), F.lit(0)).alias(f"ne{j}") for j, g in enumerate(some)],
-        )
-        ranked = ranking.running_sums(wide, "score", [f"ne{j}" for j in range(len(some))])
-        aggs = []
-        for i in range(len(names)):
-            aggs.append(F.sum(f"e{i}").alias(f"E{i}"))
-            for j in range(len(some)):
-                won = F.col(f"e{i}").cast("double") * (F.col(f"below_ne{j}") + F.col(f"ne{j}") / 2.0)
-                aggs.append(F.sum(won).alias(f"w{i}_{j}"))
-        aggs += [F.sum(f"ne{j}").alias(f"N{j}") for j in range(len(some))]
-        row = ranked.agg(*aggs)
-        pairs = F.array(*[
-            F.struct(
-                F.lit(names[i]).alias("event_group"),
-                F.lit(some[j]).alias("nonevent_group"),
-                (F.col(f"E{i}").cast("double") * F.col(f"N{j}")).alias("pairs"),
-                F.col(f"w{i}_{j}").alias("won"),
-            )
-            for i in range(len(names)) for j in range(len(some))
-        ])
-        part = row.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("pairs") > 0)
-        out = part if out is None else out.unionByName(part)
+    names = cells.column(by).combine_chunks().dictionary_encode()
+    who, k = names.indices.to_numpy(), len(names.dictionary)
+    _, at = np.unique(cells.column("score").to_numpy(), return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    at, who = at[order], who[order]
+    events, nonevents = (cells.column(c).to_numpy()[order].astype(float) for c in ("events", "nonevents"))
+    won, below = np.zeros((k, k)), np.zeros(k)
+    for first in range(0, int(at[-1]) + 1, block):
+        begin, end = np.searchsorted(at, [first, first + block])
+        part = np.zeros((2, block, k))
+        np.add.at(part[0], (at[begin:end] - first, who[begin:end]), events[begin:end])
+        np.add.at(part[1], (at[begin:end] - first, who[begin:end]), nonevents[begin:end])
+        upto = below + np.cumsum(part[1], axis=0)
+        won += part[0].T @ (upto - part[1] / 2)
+        below = upto[-1]
+    i, j = np.nonzero(won)
+    return pa.table({
+        "event_group": names.dictionary.take(pa.array(i)), "nonevent_group": names.dictionary.take(pa.array(j)), "won": won[i, j],
+    })
+
+
+def auc_matrix(df: DataFrame, label: str, score: str, by: str, block: int = 256) -> DataFrame:
+    """AUC of the events of group i against the non-events of group j, with the pair counts, for any number of groups.
+
+    Groups stay in rows. Inside a score range the groups are merged by score; across ranges a range's events of i meet
+    the running sum of j's non-events in the lower ranges, so no rows are paired up and no name reaches the driver.
+    """
+    ship_package(df.sparkSession)
+    cells = staged(score_cells(df, label, score, [by]).select(
+        F.col(by).alias("_group"), F.col("score").cast("double").alias("score"), "events", "nonevents"), "matrix-cells")
+    edges = ranking.range_edges(cells, "score")
+    ranged = ranking.with_bins(cells, "score", edges, "_range")
+    sums = ranged.groupBy("_group", "_range").agg(F.sum("events").alias("_e"), F.sum("nonevents").alias("_n"))
+    totals = sums.groupBy("_group").agg(F.sum("_e").alias("_events"), F.sum("_n").alias("_nonevents"))
+    # one row per group and range, also where a group has no cell
+    every = totals.select("_group", F.explode(F.sequence(F.lit(0), F.lit(len(edges)))).alias("_range"))
+    lower = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    below = every.join(sums, ["_group", "_range"], "left").select(
+        "_range", F.col("_group").alias("nonevent_group"), F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_below"))
+    across = sums.filter("_e > 0").select("_range", F.col("_group").alias("event_group"), "_e").join(below, "_range").select(
+        "event_group", "nonevent_group", (F.col("_e").cast("double") * F.col("_below")).alias("won"))
+    kind = cells.schema["_group"].dataType.simpleString()
+    inside = ranged.groupBy("_range").applyInArrow(
+        lambda part: won_inside(part, "_group", block), f"event_group {kind}, nonevent_group {kind}, won double")
+    won = across.unionByName(inside).groupBy("event_group", "nonevent_group").agg(F.sum("won").alias("won"))
+    sized = won.join(totals.select(F.col("_group").alias("event_group"), "_events"), "event_group").join(
+        totals.select(F.col("_group").alias("nonevent_group"), "_nonevents"), "nonevent_group")
+    pairs = F.col("_events").cast("double") * F.col("_nonevents")
+    out = sized.select("event_group", "nonevent_group", pairs.alias("pairs"), "won").filter("pairs > 0")
     return out.withColumn("auc", F.col("won") / F.col("pairs"))
 
 

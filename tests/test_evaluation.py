@@ -126,6 +126,24 @@ def test_within_between_identity(scored, many_ranges):
     assert matrix.count() == 25
 
 
+def test_matrix_of_five_hundred_groups(spark, many_ranges):
+    rng = np.random.default_rng(9)
+    n = 6000
+    g, y, x = rng.integers(0, 500, n), rng.integers(0, 2, n), rng.integers(0, 40, n) / 40
+    y[g == 3] = 0  # a group without events has no row of its own
+    df = spark.createDataFrame([(f"g{a}", int(b), float(c)) for a, b, c in zip(g, y, x)], "grp string, y int, s double")
+    got = {(r.event_group, r.nonevent_group): (r.pairs, r.won) for r in E.auc_matrix(df, "y", "s", "grp", block=7).collect()}
+    events, others = ([x[(g == k) & (y == v)] for k in range(500)] for v in (1, 0))
+    want = {}
+    for i in range(500):
+        for j in range(500):
+            if len(events[i]) and len(others[j]):
+                e, o = events[i][:, None], others[j]
+                want[f"g{i}", f"g{j}"] = (float(len(e) * len(o)), float((e > o).sum() + (e == o).sum() / 2))
+    assert got == want
+    assert not E.auc_matrix(df.limit(0), "y", "s", "grp").collect()
+
+
 def test_group_quality_matches_direct_figures(scored):
     y, s, g = arrays(scored)
     for r in E.group_quality(scored, "y", "score", ["grp"], 0.3).collect():
