@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import columns as C
 from riskloom.functions import constants as K
-from riskloom.operators import ranking
+from riskloom.operators import selection
 
 
 def verdict(c: str | Column) -> Column:
@@ -21,15 +21,9 @@ def verdict(c: str | Column) -> Column:
 
 def reference_cuts(reference: DataFrame, features: Sequence[str], bins: int = 10) -> dict[str, list[float]]:
     """Distinct quantile cuts of every feature from the reference rows (at most bins + 1 each)."""
-    shaped = reference.select(*[C.finite(c).alias(c) for c in features])
     probs = [i / bins for i in range(bins + 1)]
-    if len(features) == 1:
-        return {features[0]: sorted(set(ranking.quantiles(shaped, features[0], probs)))}
-    long = shaped.unpivot([], list(features), "feature", "value")
-    out: dict[str, list[float]] = {c: [] for c in features}
-    for row in ranking.quantile_table(long, "value", probs, ["feature"]).collect():
-        out[row["feature"]] = sorted(set(row["q"]))
-    return out
+    found = selection.quantiles_of_columns(reference, features, probs)
+    return {c: sorted(set(found[c])) for c in features}
 
 
 def bin_counts(df: DataFrame, cuts: dict[str, list[float]], side: Column) -> DataFrame:

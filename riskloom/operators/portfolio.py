@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from riskloom.functions import columns as C
 from riskloom.functions import constants as K
-from riskloom.operators import ranking
+from riskloom.operators import ranking, selection
 
 def whole():
     """One frame over a result that is already bounded."""
@@ -105,26 +105,30 @@ def categorical_distribution(df: DataFrame, column: str, top: int | None = None,
     return first_rows(groups.orderBy(F.desc("n"), F.asc_nulls_last("value")), top)
 
 
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def numeric_summaries(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Count, mean, deviation, extremes, exact quartiles and missing share of many columns in two scans.
+
+    Only finite numbers count; the rest is missing. A table without rows gives zero counts and nulls.
+    """
+    rows, edges = sketched = selection.sketched_columns(df, columns, QUARTILES)
+    found = selection.quantiles_of_columns(df, columns, QUARTILES, sketched)
+    out = []
+    for c in columns:
+        r = rows.get(c)
+        total, n = (r["n_rows"], r["n"]) if r else (0, 0)
+        moments = [r[k] for k in ("avg", "std", "low", "high")] if n else [None] * 4
+        out.append((c, total, n, *moments, *(found[c] or [None] * 3), total - n, (total - n) / total if total else 0.0))
+    numbers = "mean double, std double, min double, max double, p25 double, p50 double, p75 double"
+    return df.sparkSession.createDataFrame(
+        out, f"column_name string, n_total long, count long, {numbers}, missing long, missing_rate double")
+
+
 def numeric_summary(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, deviation, extremes, exact quartiles and missing share."""
-    quartiles = ranking.quantile_table(df, column, [0.25, 0.5, 0.75]).select("q")
-    x = F.col(column).cast("double")
-    row = df.agg(
-        F.count(F.lit(1)).alias("n_total"),
-        F.count(x).alias("count"),
-        F.avg(x).alias("mean"),
-        F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"),
-        F.max(x).alias("max"),
-    ).withColumn("_q", quartiles.scalar())
-    return row.select(
-        "n_total", "count", "mean", "std", "min", "max",
-        F.get("_q", F.lit(0)).alias("p25"),
-        F.get("_q", F.lit(1)).alias("p50"),
-        F.get("_q", F.lit(2)).alias("p75"),
-        (F.col("n_total") - F.col("count")).alias("missing"),
-        C.div_or_zero(F.col("n_total") - F.col("count"), "n_total").alias("missing_rate"),
-    )
+    """The summary of one column."""
+    return numeric_summaries(df, [column]).drop("column_name")
 
 
 def extremes(df: DataFrame, column: str) -> tuple[float, float] | None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import constants as K
-from riskloom.operators import aggregation, cleaning, features, filters, portfolio, ranking
+from riskloom.operators import aggregation, cleaning, features, filters, portfolio, ranking, selection, sketches
 from riskloom.plans import feature_table
 from riskloom.plans.queries_cleaning import DIMENSION_SQL, THRESHOLD, rounded
 from riskloom.plans.registry import Tables, query
@@ -162,6 +162,59 @@ def _(t: Tables) -> DataFrame:
     return rounded(portfolio.numeric_summary(t.base_clients, "EXT_SOURCE_1"), 9)
 
 
+WIDE = {
+    "lineitem": ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"),
+    "orders": ("o_orderkey", "o_custkey", "o_totalprice"),
+}
+
+
+def summary_sql(table: str, c: str) -> str:
+    x = f"CAST({c} AS DOUBLE)"
+    quartiles = ", ".join(f"round(quantile_cont({x}, {p}), 6) AS p{int(p * 100)}" for p in (0.25, 0.5, 0.75))
+    return f"""SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS n_total, count({c}) AS count, round(avg({x}), 6) AS mean,
+     round(stddev_samp({x}), 6) AS std, min({x}) AS min, max({x}) AS max, {quartiles}, count(*) - count({c}) AS missing FROM {table}"""
+
+
+@query("numeric_summaries_many_columns", " UNION ALL ".join(summary_sql(table, c) for table, names in WIDE.items() for c in names))
+def _(t: Tables) -> DataFrame:
+    parts = [portfolio.numeric_summaries(getattr(t, table), names).select(F.lit(table).alias("table_name"), "*") for table, names in WIDE.items()]
+    return rounded(parts[0].unionByName(parts[1]).drop("missing_rate"), 6)
+
+
+MERGED = ("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
+
+
+def merged_sql(c: str) -> str:
+    number = c not in ("l_returnflag", "l_shipdate")
+    x = f"CAST({c} AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)"
+    text = "CAST(NULL AS VARCHAR)" if number else f"CAST({c} AS VARCHAR)"
+    return f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, round(avg({x}), 6) AS avg, round(stddev_samp({x}), 6) AS std,
+     min({x}) AS low, max({x}) AS high, min({text}) AS low_text, max({text}) AS high_text, true AS distinct_within_error, {"true" if number else "CAST(NULL AS BOOLEAN)"} AS quartiles_within_error FROM lineitem"""
+
+
+@query("merged_column_profile", " UNION ALL ".join(merged_sql(c) for c in MERGED))
+def _(t: Tables) -> DataFrame:
+    # the profile of one half is stored, that of the other appended; the sketches are then held against exact figures
+    df = t.lineitem.select(*MERGED)
+    path = scratch_path(t.spark, "column-profile")
+    for half in (0, 1):
+        sketches.append_profile(df.filter(F.col("l_orderkey") % 2 == half), path)
+    profile = sketches.merged_profile(sketches.stored_profile(t.spark, path))
+    exact = None
+    for c in MERGED:
+        n = df.agg(F.countDistinct(c).alias("exact")).select(F.lit(c).alias("column_name"), "exact")
+        exact = n if exact is None else exact.unionByName(n)
+    numbers = [c for c in MERGED if c not in ("l_returnflag", "l_shipdate")]
+    around = selection.quantiles_of_columns(df, numbers, [p + s for p in portfolio.QUARTILES for s in (-0.01, 0.01)])
+    limits = t.spark.createDataFrame([(c, v[0::2], v[1::2]) for c, v in around.items()], "column_name string, los array<double>, his array<double>")
+    inside = F.forall(F.arrays_zip("q", "los", "his"), lambda z: (z["q"] >= z["los"]) & (z["q"] <= z["his"]))
+    both = profile.join(exact, "column_name").join(limits, "column_name", "left")
+    return rounded(both.select(
+        "column_name", "n_rows", "n_null", "avg", "std", "low", "high", "low_text", "high_text",
+        (F.abs(F.col("approx_unique") - F.col("exact")) <= 0.07 * F.col("exact")).alias("distinct_within_error"),
+        inside.alias("quartiles_within_error")), 6)
+
+
 @query("exact_quantiles_lineitem", """
 SELECT count(l_extendedprice) AS n, round(quantile_cont(l_extendedprice, 0.01), 6) AS p01, round(quantile_cont(l_extendedprice, 0.5), 6) AS p50,
  round(quantile_cont(l_extendedprice, 0.999), 6) AS p999 FROM lineitem
