@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from riskloom.functions import columns as C
 from riskloom.functions import constants as K
-from riskloom.operators import ranking, selection
+from riskloom.operators import positions, ranking, selection
 
 def whole():
     """One frame over a result that is already bounded."""
@@ -330,38 +330,27 @@ def importance_by_source(ranking_table: DataFrame) -> DataFrame:
     )
 
 
-# rows a page may skip with a plain top-n; deeper pages are found by their cut keys
-SHALLOW = 10_000
-
-
 def page(
     df: DataFrame, number: int, size: int, sort: str, ascending: bool = True, key: str = K.ID
 ) -> DataFrame:
-    """One page of a sorted listing, nulls last, the key as tie-break."""
+    """One page of a listing sorted by a column of any type, nulls last, the key as tie-break.
+
+    The key of the page's first row is found by position, then the first ``size`` rows from there on are taken, so the
+    cost does not grow with the depth. A page beyond the last row is empty.
+    """
     if sort not in df.columns:
         raise ValueError(f"unknown column {sort!r}")
-    order = F.asc_nulls_last(sort) if ascending else F.desc_nulls_last(sort)
-    keys = [order] if sort == key else [order, F.asc(key)]
+    columns, ups = ([sort], [ascending]) if sort == key else ([sort, key], [ascending, True])
+    keys = [(F.asc_nulls_last if up else F.desc_nulls_last)(c) for c, up in zip(columns, ups)]
     skipped = (number - 1) * size
-    if skipped <= SHALLOW or not is_numeric(df, sort):
-        return df.orderBy(*keys).offset(skipped).limit(size)
-    return deep_page(df, skipped, size, sort, ascending, key).orderBy(*keys).limit(size)
-
-
-def deep_page(df: DataFrame, skipped: int, size: int, sort: str, ascending: bool, key: str) -> DataFrame:
-    """Rows from position ``skipped`` on, located by order statistics instead of a long top-n."""
-    x = F.col(sort).cast("double")
-    keyed = df.withColumn("_s", x if ascending else -x)
-    present = keyed.filter(F.col("_s").isNotNull())
-    n = present.count()
-    if skipped >= n:
-        absent = keyed.filter(F.col("_s").isNull())
-        first = ranking.cut_keys(absent.withColumn("_s", F.lit(0.0)), "_s", key, [skipped - n])
-        return absent.filter(F.col(key) >= first[0][1] if first else F.lit(False)).drop("_s")
-    first = ranking.cut_keys(present, "_s", key, [skipped])[0]
-    kept = ranking.at_or_after_key("_s", key, first)
-    # the tail of the page may run into the rows without a value
-    return keyed.filter(kept | F.col("_s").isNull() if skipped + size > n else kept).drop("_s")
+    if skipped == 0:
+        return df.orderBy(*keys).limit(size)
+    first = positions.key_at(df, columns, skipped, ups)
+    if first is None:
+        return df.limit(0)
+    rest = df.filter(positions.at_or_after(df, columns, first, ups)).orderBy(*keys)
+    # rows that share the whole key with the first one can lie on the page before
+    return rest.offset(skipped - first.before).limit(size)
 
 
 def page_meta(df: DataFrame, number: int, size: int) -> DataFrame:

@@ -436,6 +436,25 @@ def _(t: Tables) -> DataFrame:
         F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("priority"))
 
 
+@query("deep_page_sorted_by_text", """
+SELECT p.l_orderkey AS id, p.l_linenumber AS line, concat_ws('/', o_orderpriority, l_returnflag, l_shipdate) AS name FROM lineitem p JOIN orders ON l_orderkey = o_orderkey
+ORDER BY name DESC, id * 10 + line LIMIT 50 OFFSET 25000
+""")
+def _(t: Tables) -> DataFrame:
+    both = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    name = F.concat_ws("/", "o_orderpriority", "l_returnflag", F.col("l_shipdate").cast("string"))
+    listing = both.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("key"), name.alias("name"), "l_orderkey", "l_linenumber")
+    return portfolio.page(listing, 501, 50, "name", ascending=False, key="key").select(
+        F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"), "name")
+
+
+@query("deep_page_sorted_by_time", """
+SELECT user_id, ts, value FROM events ORDER BY ts ASC NULLS LAST, event_id LIMIT 40 OFFSET 5000
+""")
+def _(t: Tables) -> DataFrame:
+    return portfolio.page(t.events, 126, 40, "ts", key="event_id").select("user_id", "ts", "value")
+
+
 @query("sorted_page_ascending", """
 SELECT "SK_ID_CURR" AS id, "AGE_YEARS" AS age FROM clients WHERE "CODE_GENDER" = 'M' ORDER BY "AGE_YEARS" ASC NULLS LAST, "SK_ID_CURR" LIMIT 25 OFFSET 0
 """)

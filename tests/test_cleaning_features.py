@@ -168,8 +168,7 @@ def test_column_profile_chunks(spark):
     assert out["id"]["max_value"] == "49"
 
 
-def test_deep_pages_equal_a_sorted_listing(spark, monkeypatch):
-    monkeypatch.setattr(portfolio, "SHALLOW", 10)
+def test_deep_pages_equal_a_sorted_listing(spark):
     df = spark.range(400).selectExpr("id AS SK_ID_CURR", "if(id % 4 = 0, NULL, double(id % 7)) AS v")
     for ascending in (True, False):
         order = F.asc_nulls_last("v") if ascending else F.desc_nulls_last("v")
