@@ -11,6 +11,8 @@ from riskloom.operators import learning
 from riskloom.plans.queries_cleaning import rounded
 from riskloom.plans.queries_evaluation import auc_sql
 from riskloom.plans.registry import Tables, query
+from riskloom.session import scratch_path
+from riskloom.sources import publication
 
 # ---------------------------------------------------------------- drift
 
@@ -139,6 +141,53 @@ def _(t: Tables) -> DataFrame:
     return gates.metric_gate(t.runs, "2000").withColumn("delta", F.round("delta", 9) + 0.0)
 
 
+PUBLISHED = (("v1", K.BASELINE_SCORE), ("v2", K.SCORE), ("v3", K.RAW_SCORE))
+
+
+def published_history(t: Tables) -> str:
+    """Three runs on the test slice with their real metrics, a sample run, a run that was never committed, and v2 again."""
+    root = scratch_path(t.spark, "published")
+    test = t.scores.filter(F.col("split") == "test")
+    steps = [(tag, score, False) for tag, score in PUBLISHED] + [("v2", K.BASELINE_SCORE, False), ("v4", K.SCORE, True)]
+    for at, (tag, score, sample) in enumerate(steps):
+        table = test.select(K.ID, "y_true", F.col(score).alias("score"))
+        row = evaluation.auc(table, "y_true", "score").first()
+        status = K.REJECTED if tag == "v2" and at == 1 else None
+        publication.publish({"scores": table}, root, tag, at, {"auc": row["auc"], "n": float(row["n_events"] + row["n_nonevents"])}, sample, status)
+    publication.stage_run({"scores": test.select(K.ID)}, root, "v5")
+    return root
+
+
+PUBLISHED_SQL = "WITH " + ", ".join(
+    f"""{tag} AS (SELECT auc, CAST(n_events + n_nonevents AS DOUBLE) AS n FROM ({auc_sql(f"SELECT y_true AS y, {score} AS s FROM scores WHERE split = 'test'")}))"""
+    for tag, score in (("b", K.BASELINE_SCORE), ("s", K.SCORE), ("r", K.RAW_SCORE)))
+
+
+@query("published_run_log", f"""{PUBLISHED_SQL}
+SELECT 'v1' AS tag, NULL AS sample, 'aceita' AS status, CAST(0 AS BIGINT) AS trained_at, round(auc, 9) AS auc, n FROM b
+UNION ALL SELECT 'v2', NULL, 'rejeitada', 3, round(auc, 9), n FROM b UNION ALL SELECT 'v3', NULL, 'aceita', 2, round(auc, 9), n FROM r
+UNION ALL SELECT 'v4', 'demo', 'aceita', 4, round(auc, 9), n FROM s""")
+def _(t: Tables) -> DataFrame:
+    return rounded(publication.run_log(t.spark, published_history(t), ["auc", "n"]).drop("run_id"), 9)
+
+
+@query("published_run_gate", f"""{PUBLISHED_SQL}
+SELECT round(r.auc, 9) AS current, round(b.auc, 9) AS reference, round(r.auc - b.auc, 9) AS delta,
+ CASE WHEN r.auc - b.auc < -0.01e0 THEN 'regressao' WHEN r.auc >= b.auc THEN 'melhorou' ELSE 'piorou dentro do limiar' END AS status FROM r, b""")
+def _(t: Tables) -> DataFrame:
+    # v3 against v1: v2 was rejected, v4 is a sample, v5 was never committed
+    log = publication.run_log(t.spark, published_history(t), ["auc"])
+    current = log.filter(F.col("tag") == "v3").first()["run_id"]
+    return rounded(gates.metric_gate(log, current).select("current", "reference", "delta", "status"), 9)
+
+
+@query("published_run_checks", "SELECT 'scores' AS \"table\", k AS \"check\", true AS ok, CASE WHEN k = 'rows' THEN count(*) END AS n FROM scores, (SELECT unnest(['rows', 'checksum']) AS k) WHERE split = 'test' GROUP BY k")
+def _(t: Tables) -> DataFrame:
+    root = published_history(t)
+    checks = publication.verify_run(t.spark, root, publication.newest_run(t.spark, root))
+    return checks.select("table", "check", "ok", F.when(F.col("check") == "rows", F.col("found").cast("long")).alias("n"))
+
+
 @query("latest_accepted_run", f"SELECT run_id, tag, auc FROM runs WHERE {ACCEPTED_RUNS} ORDER BY trained_at DESC LIMIT 1")
 def _(t: Tables) -> DataFrame:
     return gates.latest(gates.accepted(t.runs)).select("run_id", "tag", "auc")

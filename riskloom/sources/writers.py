@@ -11,7 +11,7 @@ from riskloom.functions import columns as C
 from riskloom.functions import constants as K
 from riskloom.operators import features, gates, learning, portfolio
 from riskloom.operators.learning import Bundle
-from riskloom.sources import readers
+from riskloom.sources import publication, readers
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
@@ -62,18 +62,43 @@ def conversion_checks(source: DataFrame, written: DataFrame, key: str = K.ID, ta
     return sides.select(F.explode(F.array(*same, unique)).alias("c")).select("c.*")
 
 
+def written_checks(seen: Mapping, n_columns: int, written: DataFrame, key: str = K.ID, target: str = K.TARGET) -> DataFrame:
+    """Facts seen while writing against the written table, as rows (check, source, written, ok)."""
+    facts = fingerprint(written, key, target)
+    kinds = {f.name: f.dataType for f in facts.schema.fields}
+    known = {"n_rows": seen["rows"], "n_columns": n_columns, "target_sum": seen["target_sum"]}
+    same = []
+    for name, value in known.items():
+        expected = F.lit(value).cast(kinds[name])
+        same.append(F.struct(
+            F.lit(name).alias("check"), expected.cast("string").alias("source"), F.col(name).cast("string").alias("written"),
+            expected.eqNullSafe(F.col(name)).alias("ok")))
+    # a key that repeats in the source repeats in the copy
+    unique = F.col("key_unique").cast("string")
+    same.append(F.struct(
+        F.lit("key_unique").alias("check"), unique.alias("source"), unique.alias("written"), F.col("key_unique").alias("ok")))
+    return facts.select(F.explode(F.array(*same)).alias("c")).select("c.*")
+
+
 def convert_csv(
     spark: SparkSession, csv: str, parquet: str, key: str = K.ID, target: str = K.TARGET, schema=None,
     profile_path: str | None = None,
 ) -> DataFrame:
-    """CSV to ZSTD Parquet, re-read and compared; raises when any check fails. Optional profile."""
+    """CSV to ZSTD Parquet; raises when any check fails. Optional profile.
+
+    The facts of the source are taken by the writing job, so the CSV rows are read once for them and the copy.
+    """
     source = readers.read_csv(spark, csv, schema)
-    write_parquet(source, parquet)
+    seen = publication.write_observed(source, parquet, F.sum(target).alias("target_sum"))
     written = readers.read_parquet(spark, parquet)
-    checks = conversion_checks(source, written, key, target)
+    if schema is None and written.schema.names != source.schema.names:
+        raise gates.GateError(f"conversion of {csv} differs in columns")
+    checks = written_checks(seen, len(source.columns), written, key, target)
     failed = [r["check"] for r in checks.filter(~F.col("ok")).collect()]
     if failed:
         raise gates.GateError(f"conversion of {csv} differs in {', '.join(failed)}")
+    if written.agg(*publication.content(written)).first()["checksum"] != seen["checksum"]:
+        raise gates.GateError(f"conversion of {csv} differs in content")
     if profile_path:
         write_parquet(portfolio.column_profile(written), profile_path)
     return checks
