@@ -113,6 +113,37 @@ def _(t: Tables) -> DataFrame:
     return plain_times(jobs.drain(monitor.readiness(up, "user_id", "up")))
 
 
+WATCHED = ("click", "error", "purchase", "signup", "view", "scheduler")
+
+
+@query("stream_expected_readiness", f"""
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+ CASE WHEN min(CAST(value >= 5 AS INTEGER)) = 1 AND count(DISTINCT event_type) = 5 THEN 1 ELSE 0 END AS ready, count(event_type) AS n
+FROM events GROUP BY 1, 2 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= {CLOSED}
+""")
+def _(t: Tables) -> DataFrame:
+    up = stream(t).withColumn("up", F.col("value") >= 5)
+    return plain_times(jobs.drain(monitor.readiness(up, "event_type", "up", length="1 hour", expected=WATCHED[:5])))
+
+
+@query("stream_component_states", f"""
+WITH w AS (SELECT unnest({list(WATCHED)}) AS component, TIMESTAMP '2024-01-01' AS since),
+ m AS (SELECT event_type AS component, min(ts) AS first_ts, max(ts) AS last_ts, min(CAST(value >= 10 AS INTEGER)) AS up FROM events
+  WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= {CLOSED} GROUP BY event_type, date_trunc('minute', ts)),
+ p AS (SELECT m.*, coalesce(lag(last_ts) OVER (PARTITION BY component ORDER BY first_ts), since) AS last FROM m JOIN w USING (component)),
+ e AS (SELECT component, CASE WHEN up = 1 THEN 'up' ELSE 'down' END AS state, first_ts AS at FROM p
+  UNION ALL SELECT component, 'silent', last + INTERVAL 2 HOUR FROM p WHERE first_ts - last > INTERVAL 2 HOUR
+  UNION ALL SELECT component, 'silent', coalesce(max(last_ts), max(since)) + INTERVAL 2 HOUR FROM w LEFT JOIN m USING (component) GROUP BY component
+   HAVING coalesce(max(last_ts), max(since)) + INTERVAL 2 HOUR < {CLOSED})
+SELECT component, state, e.at AS at FROM e QUALIFY state IS DISTINCT FROM lag(state) OVER (PARTITION BY component ORDER BY e.at)
+""")
+def _(t: Tables) -> DataFrame:
+    # one watched component never reports
+    watched = t.spark.createDataFrame([(c,) for c in WATCHED], "component string").withColumn("since", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    reports = stream(t).withColumn("up", F.col("value") >= 10)
+    return plain_times(jobs.drain(alerts.component_states(reports, "event_type", "up", watched, 2 * 3600)))
+
+
 # two minutes of an error share over the limit
 HELD = f"""
 WITH s AS (SELECT 'all' AS label, window_end AS ts, firing FROM ({ERRORS}) WHERE window_end <= {CLOSED}),

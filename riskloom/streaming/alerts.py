@@ -17,6 +17,7 @@ from riskloom.streaming import monitor
 
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 ALERT_SCHEMA = "label string, since timestamp, at timestamp"
+COMPONENT_SCHEMA = "component string, state string, at timestamp"
 ABSENCE_SCHEMA = "source string, last_seen timestamp, next_seen timestamp"
 
 
@@ -120,6 +121,70 @@ class Absence(StatefulProcessor):
         pass
 
 
+class ComponentState(StatefulProcessor):
+    """Follows one expected component: up or down as it reports, silent when it has not reported for the allowed time."""
+
+    def __init__(self, allowed_seconds: float):
+        self.allowed = pd.Timedelta(seconds=allowed_seconds)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "ts timestamp, state string")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.remember(initialState["since"].iloc[0], None)
+
+    def remember(self, last: pd.Timestamp, state: str | None) -> None:
+        self.seen.update((last, state))
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(millis(last + self.allowed) + 1)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(rows)).sort_values("first_ts")
+        last, state = self.seen.get() if self.seen.exists() else (None, None)
+        out = []
+        for first_ts, last_ts, up in zip(frame["first_ts"], frame["last_ts"], frame["up"]):
+            if last is not None and first_ts - last > self.allowed and state != "silent":
+                out.append((key[0], "silent", last + self.allowed))
+            new = "up" if up else "down"
+            if new != state or (out and out[-1][1] == "silent"):
+                out.append((key[0], new, first_ts))
+            last, state = last_ts, new
+        self.remember(last, state)
+        if out:
+            yield pd.DataFrame(out, columns=["component", "state", "at"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        last, state = self.seen.get()
+        if state != "silent":
+            self.seen.update((last, "silent"))
+            yield pd.DataFrame({"component": [key[0]], "state": ["silent"], "at": [last + self.allowed]})
+
+    def close(self) -> None:
+        pass
+
+
+def component_states(
+    reports: DataFrame, component: str, up: str, expected: DataFrame, allowed_seconds: float, ts: str = "ts"
+) -> DataFrame:
+    """Stream of reports -> changes (component, state, at) to ``up``, ``down`` or ``silent``.
+
+    ``expected`` holds (component, since): a component is watched from ``since`` even if it never reports; one that is not
+    listed is watched from its first report. Reports meet in one row per component and minute before they reach the
+    state; a minute with one bad or null report is down.
+    """
+    use_state_store(reports.sparkSession)
+    good = F.min(F.coalesce(F.col(up).cast("int"), F.lit(0))).alias("up")
+    minutes = monitor.minute_summary(reports, component, ts, more=[good])
+    named = minutes.select(F.col(component).cast("string").alias("component"), "event_time", "first_ts", "last_ts", "up")
+    watched = expected.select(F.col("component").cast("string").alias("component"), F.col("since").cast("timestamp").alias("since"))
+    return named.groupBy("component").transformWithStateInPandas(
+        statefulProcessor=ComponentState(allowed_seconds), outputStructType=COMPONENT_SCHEMA,
+        outputMode="Append", timeMode="EventTime", initialState=watched.groupBy("component"),
+    )
+
+
 def held_alerts(samples: DataFrame, label: str, hold_seconds: float, late_seconds: float = 60) -> DataFrame:
     """Stream of (label, ts, firing) samples -> one row per stretch that held long enough.
 

@@ -98,17 +98,25 @@ def error_share(
     return counts.withColumn("error_share", share).withColumn("firing", F.col("error_share") > limit)
 
 
-def readiness(df: DataFrame, component: str, up: str, ts: str = "ts", length: str = "1 minute") -> DataFrame:
-    """Ready in a window only if every reporting component was up throughout it."""
+def readiness(
+    df: DataFrame, component: str, up: str, ts: str = "ts", length: str = "1 minute", expected: Sequence[str] = ()
+) -> DataFrame:
+    """Ready in a window only if every reporting component was up throughout it and every expected one reported.
+
+    A window without any report has no row; ``alerts.component_states`` tells the silence by timers.
+    """
+    name = F.col(component).cast("string")
+    reported = [F.max((name == e).cast("int")) for e in expected]
     return windowed(
         df, [], ts, length, None,
-        F.min(F.col(up).cast("int")).alias("ready"), F.count(component).alias("n"),
+        F.coalesce(F.least(F.min(F.col(up).cast("int")), *reported, F.lit(1)), F.lit(0)).alias("ready"), F.count(component).alias("n"),
     )
 
 
-def minute_summary(df: DataFrame, source: str, ts: str = "ts", length: str = "1 minute") -> DataFrame:
+def minute_summary(df: DataFrame, source: str, ts: str = "ts", length: str = "1 minute", more: Sequence[Column] = ()) -> DataFrame:
     """First and last event per source and window: all the absence rule needs from the raw events."""
     grouped = timed(df, ts).groupBy(F.window(ts, length).alias("window"), source).agg(
-        F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count(F.lit(1)).alias("n")
+        F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count(F.lit(1)).alias("n"), *more
     )
-    return grouped.select(source, F.window_time("window").alias("event_time"), "first_ts", "last_ts", "n")
+    return grouped.select(
+        source, F.window_time("window").alias("event_time"), "first_ts", "last_ts", "n", *grouped.columns[5:])

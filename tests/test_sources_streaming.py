@@ -135,3 +135,24 @@ def test_drift_per_batch_writes_one_report_per_batch(spark, tmp_path):
 def test_readiness_needs_every_component(spark):
     df = spark.createDataFrame([(at(0), "model", True), (at(0, 5), "data", False), (at(1), "model", True), (at(1), "data", True)], "ts timestamp, c string, up boolean")
     assert [r["ready"] for r in monitor.readiness(df, "c", "up").orderBy("window_start").collect()] == [0, 1]
+
+
+def test_a_component_that_stops_reporting_is_not_ready(spark, tmp_path):
+    rows = [[("model", at(0), True), ("data", at(0), True)], [("model", at(1), True)], [("data", at(2), True), ("model", at(2), None)]]
+    df = spark.createDataFrame(sum(rows, []), "c string, ts timestamp, up boolean")
+    ready = monitor.readiness(df, "c", "up", expected=["model", "data"]).orderBy("window_start")
+    assert [r["ready"] for r in ready.collect()] == [1, 0, 1]
+    assert monitor.readiness(df, "c", "up", expected=["model", "other"]).agg(F.max("ready")).first()[0] == 0
+
+
+def test_component_states_tell_silence_and_return_across_batches(spark, tmp_path):
+    schema = "c string, ts timestamp, up boolean"
+    parts = [[("a", at(0), True), ("b", at(0), True)], [("a", at(5), False)], [("a", at(9), True)], [("a", at(60), True), ("b", at(61), True)], [("z", at(200), True)]]
+    folder = write_minutes(spark, str(tmp_path / "in"), parts, schema)
+    stream = jobs.parquet_stream(spark, folder, spark.read.parquet(folder).schema, per_batch=1)
+    expected = spark.createDataFrame([("a", at(0)), ("b", at(0)), ("never", at(0))], "component string, since timestamp")
+    found = jobs.drain(alerts.component_states(stream, "c", "up", expected, 1800)).collect()
+    got = {c: [(r["state"], r["at"]) for r in sorted(found, key=lambda r: r["at"]) if r["component"] == c] for c in ("a", "b", "never")}
+    assert got["a"] == [("up", at(0)), ("down", at(5)), ("up", at(9)), ("silent", at(39)), ("up", at(60)), ("silent", at(90))]
+    assert got["b"] == [("up", at(0)), ("silent", at(30)), ("up", at(61)), ("silent", at(91))]
+    assert got["never"] == [("silent", at(30))]
