@@ -48,10 +48,13 @@ def exact_groups(
     shared = stage(groups.where("group_size > 1"), "shared")
 
     salts = F.ceil(F.col("group_size") / ROWS_PER_SALT).cast("int")
+    # rows without an id, or with the same one, are dealt out as any others: the salt is the row's, not the id's
     members = stage(
         rows.withColumn("fp", fingerprint(F.col("body")))
+        .withColumn("row", F.monotonically_increasing_id())
         .join(shared, "fp")
-        .withColumn("salt", F.pmod(F.xxhash64("doc_id"), salts).cast("int")),
+        .withColumn("salt", F.pmod(F.xxhash64("row"), salts).cast("int"))
+        .drop("row"),
         "members",
     )
     first = (

@@ -49,6 +49,18 @@ def test_exact_groups_are_salted_by_size(spark, monkeypatch):
     assert sorted(map(tuple, got), key=repr) == brute_exact(rows)
 
 
+def test_exact_groups_deal_out_rows_without_an_id(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "ROWS_PER_SALT", 10)
+    staged = {}
+    keep = exact_dedup.stage
+    monkeypatch.setattr(exact_dedup, "stage", lambda df, name: staged.setdefault(name, keep(df, name)))
+    rows = [(None, "same text")] * 60 + [(7, "other text")] * 60
+    got = exact_dedup.exact_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_exact(rows)
+    salts = staged["members"].groupBy("fp").agg(F.count_distinct("salt").alias("n")).collect()
+    assert len(salts) == 2 and all(r["n"] > 3 for r in salts)
+
+
 def test_exact_dedup_keeps_columns(messy, messy_rows):
     kept = exact_dedup.exact_dedup(messy)
     assert kept.columns == messy.columns
