@@ -323,6 +323,52 @@ def _(t: Tables) -> DataFrame:
     return boosting.importance(t.spark, training.native_trees(t))
 
 
+NATIVE_CUT = 0.5
+
+
+@query("native_tree_what_if")
+def _(t: Tables) -> DataFrame:
+    out = boosting.simulate(training.applications(t), training.native_trees(t), {"EXT_SOURCE_2": 0.1}, NATIVE_CUT)
+    return out.withColumnRenamed(K.ID, "id")
+
+
+@query("native_tree_what_if_facts", """
+SELECT count(*) AS n, count("EXT_SOURCE_2") AS n_given, CAST(0 AS BIGINT) AS n_off, true AS walks_fewer FROM clients
+""")
+def _(t: Tables) -> DataFrame:
+    model, df = training.native_trees(t), training.applications(t)
+    change = {"EXT_SOURCE_2": 0.1}
+    out = boosting.simulate(df, model, change, NATIVE_CUT)
+    # the whole model on the changed rows, by a plan of its own
+    whole = boosting.score(features.apply_changes(df, change), model, "whole").select(K.ID, "whole")
+    both = out.join(whole, K.ID).join(df.select(K.ID, "EXT_SOURCE_2"), K.ID)
+    return both.agg(
+        F.count(F.lit(1)).alias("n"), F.count("EXT_SOURCE_2").alias("n_given"),
+        F.count_if(F.abs(F.col("whole") - F.col("changed_probability")) > 1e-12).alias("n_off"),
+        (F.sum("trees_walked") < F.count(F.lit(1)) * len(model.trees)).alias("walks_fewer"))
+
+
+def native_sweep(t: Tables) -> DataFrame:
+    return boosting.sweep(training.applications(t), training.native_trees(t), "EXT_SOURCE_2", SWEEP, NATIVE_CUT)
+
+
+@query("native_tree_switch_points")
+def _(t: Tables) -> DataFrame:
+    return explain.switch_points(native_sweep(t)).withColumnRenamed(K.ID, "id")
+
+
+@query("native_tree_sweep_facts", f"""
+SELECT value, count(*) AS n, CAST(0 AS BIGINT) AS n_off FROM clients, (SELECT unnest([{", ".join(f"{x!r}e0" for x in SWEEP)}]) AS value) GROUP BY 1
+""")
+def _(t: Tables) -> DataFrame:
+    model = training.native_trees(t)
+    whole = explain.sweep(
+        training.applications(t), lambda df: boosting.score(df, model, "probability_default"), "EXT_SOURCE_2", SWEEP, NATIVE_CUT)
+    both = native_sweep(t).join(whole.select(K.ID, "value", F.col("probability_default").alias("whole")), [K.ID, "value"])
+    off = F.abs(F.col("whole") - F.col("probability_default")) > 1e-12
+    return both.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.count_if(off).alias("n_off"))
+
+
 @query("native_tree_prefix_auc")
 def _(t: Tables) -> DataFrame:
     model = training.native_trees(t)

@@ -165,3 +165,40 @@ def test_odd_inputs_are_scored(spark, model, parts):
     one = boosting.fit(parts[0].filter("TARGET = 1"), parts[1], SPEC)
     assert one.trees == [] and {r[0] for r in boosting.score(odd, one).select("proba_champion_raw").collect()} == {0.5}
     assert boosting.fit(parts[0].limit(0), parts[1], SPEC).trees == []
+
+
+def test_what_if_walks_only_trees_that_read_a_moved_column(parts, model):
+    df = parts[2]
+    index = boosting.trees_reading(model)
+    assert sorted({k for trees in index.values() for k in trees}) == [k for k, t in enumerate(model.trees) if max(t.column) >= 0]
+    got = {r.SK_ID_CURR: r for r in boosting.simulate(df, model, {"z": 2.0}, 0.5).collect()}
+    before = {r.SK_ID_CURR: r.proba_champion_raw for r in boosting.score(df, model).collect()}
+    after = {r.SK_ID_CURR: r.proba_champion_raw for r in boosting.score(df.withColumn("z", F.lit(2.0)), model).collect()}
+    assert len(got) == len(before) == df.count()
+    for key, r in got.items():
+        assert r.base_probability == before[key] and r.changed_probability == pytest.approx(after[key], abs=1e-15)
+        assert r.decision_changed == ((before[key] >= 0.5) != (after[key] >= 0.5))
+        assert r.trees_walked in (0, len(index["z"]))
+    # a change that leaves every bin where it is walks nothing
+    same = boosting.simulate(df, model, {"z": F.col("z")}, 0.5)
+    assert same.agg(F.sum("trees_walked"), F.max(F.abs("delta_probability"))).first()[:] == (0, 0.0)
+
+
+def test_sweep_equals_the_whole_model_at_every_value(parts, model):
+    df, values = parts[2].coalesce(2), [1.0, -2.0, 0.0, 0.0001, 9.0]
+    got = boosting.sweep(df, model, "z", values, 0.5).collect()
+    want = {}
+    for v in values:
+        for r in boosting.score(df.withColumn("z", F.lit(v)), model).collect():
+            want[r.SK_ID_CURR, v] = r.proba_champion_raw
+    assert {(r.SK_ID_CURR, r.value): r.probability_default for r in got} == pytest.approx(want, abs=1e-15)
+    assert all((r.decision == "NEGAR") == (r.probability_default >= 0.5) for r in got)
+    # beyond the first row of a task, a point walks at most the trees that read the column
+    later = [r.trees_walked for r in got if r.value != -2.0]
+    assert max(later) <= len(boosting.trees_reading(model)["z"])
+    assert boosting.sweep(df.limit(0), model, "z", values, 0.5).count() == 0
+    assert boosting.sweep(df, model, "z", [], 0.5).count() == 0
+    with pytest.raises(ValueError):
+        boosting.sweep(df, model, "z", range(101), 0.5)
+    with pytest.raises(ValueError):
+        boosting.sweep(df, model, "nowhere", [1.0], 0.5)
