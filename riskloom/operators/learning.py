@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from fractions import Fraction
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (
     Imputer,
     OneHotEncoder,
@@ -19,12 +19,13 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.pipeline import Pipeline
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as C
 from riskloom.functions import constants as K
 from riskloom.operators import aggregation, evaluation, ranking
+from riskloom.session import scratch_path
 
 # Shares of the four slices, in this order.
 SPLIT_SHARES = (("train", 0.5), ("valid", 0.2), ("calib", 0.1), ("test", 0.2))
@@ -190,7 +191,19 @@ def fit_baseline(train: DataFrame, spec: ModelSpec, levels: Mapping[str, Sequenc
             regParam=1.0 / (spec.inverse_penalty * n), standardization=False,
         )
     )
-    return Pipeline(stages=stages).fit(shaped.withColumn("_w", weight))
+    fitted = Pipeline(stages=stages).fit(shaped.withColumn("_w", weight))
+    return PipelineModel(stages=[*fitted.stages[:-1], without_summary(train.sparkSession, fitted.stages[-1])])
+
+
+def without_summary(spark: SparkSession, model: LogisticRegressionModel) -> LogisticRegressionModel:
+    """The model as read back from its saved form.
+
+    A freshly fitted one holds its training summary and with it the session, which goes into every scoring task and
+    cannot be serialized once any table of the session was observed.
+    """
+    path = scratch_path(spark, "baseline")
+    model.save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def fit_champion(

@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from riskloom.functions import constants as K
@@ -45,6 +46,23 @@ def test_scores_rank_calibrate_and_beat_chance(applicants, bundle):
     assert gap == 0
 
 
+def test_all_three_scores_in_a_session_that_observed_a_table(spark, applicants, bundle):
+    # an observation gives the session a member that cannot be serialized
+    seen = Observation("rows")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    table = learning.score_table(applicants, bundle)
+    assert len(table.collect()) == 2500
+    linear = bundle.baseline.stages[-1]
+    margin = linear.coefficients.toArray()
+    shaped = learning.as_inputs(applicants, bundle.spec, bundle.levels, "mode")
+    rows = bundle.baseline.transform(shaped).filter("split <> 'train'").select("SK_ID_CURR", "features").collect()
+    want = {r[0]: 1 / (1 + np.exp(-(r[1].toArray() @ margin + linear.intercept))) for r in rows}
+    got = {r["SK_ID_CURR"]: r[K.BASELINE_SCORE] for r in table.filter("split <> 'train'").collect()}
+    assert got == pytest.approx(want, abs=1e-12) and len(got) > 1200
+    assert not linear.hasSummary
+
+
 def test_unseen_categories_bad_text_and_missing_columns_still_score(spark, bundle):
     rows = spark.createDataFrame([(1, "oops", "zz"), (2, "0.5", "a")], "SK_ID_CURR long, x string, c string")
     out = learning.predict(rows, bundle).collect()
