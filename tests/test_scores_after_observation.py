@@ -31,3 +31,25 @@ def equals_sql(df, name):
 
 def test_shape_of_the_score_table(run):
     assert equals_sql(run("trained_score_table_shape"), "trained_score_table_shape")
+
+
+def measured(rows, score, label="y_true"):
+    """AUC over all pairs, largest gap of the two cumulative shares, Brier score."""
+    good, bad = ([r[score] for r in rows if r[label] == y] for y in (0, 1))
+    won = sum((b > g) + 0.5 * (b == g) for b in bad for g in good)
+    gaps = [sum(b >= s for b in bad) / len(bad) - sum(g >= s for g in good) / len(good) for s in {*good, *bad}]
+    brier = sum((r[score] - r[label]) ** 2 for r in rows) / len(rows)
+    return {"auc": won / len(good) / len(bad), "ks": max(0.0, *gaps), "brier": brier}
+
+
+MODELS = {"served": "proba_champion", "champion": "proba_champion_raw", "baseline": "proba_baseline"}
+
+
+def test_metrics_of_the_run_by_brute_force(run):
+    rows = run("trained_score_table").filter("split = 'test'").collect()
+    got = {r["model"]: r for r in run("trained_run_metrics").collect()}
+    assert set(got) == set(MODELS)
+    for model, score in MODELS.items():
+        want = measured(rows, score)
+        assert {k: got[model][k] for k in want} == pytest.approx(want, abs=1e-12)
+        assert (got[model]["n"], got[model]["n_events"]) == (len(rows), sum(r["y_true"] for r in rows))
