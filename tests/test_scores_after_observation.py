@@ -53,3 +53,10 @@ def test_metrics_of_the_run_by_brute_force(run):
         want = measured(rows, score)
         assert {k: got[model][k] for k in want} == pytest.approx(want, abs=1e-12)
         assert (got[model]["n"], got[model]["n_events"]) == (len(rows), sum(r["y_true"] for r in rows))
+
+
+def test_order_and_brier_after_calibration_by_brute_force(run):
+    rows = run("trained_score_table").filter("split = 'test'").collect()
+    served, raw = measured(rows, MODELS["served"]), measured(rows, MODELS["champion"])
+    got = [r.asDict() for r in run("calibration_keeps_order").collect()]
+    assert got == [{"auc_kept": abs(served["auc"] - raw["auc"]) < 0.05, "brier_fell": served["brier"] < raw["brier"]}]
