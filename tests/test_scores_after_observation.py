@@ -60,3 +60,7 @@ def test_order_and_brier_after_calibration_by_brute_force(run):
     served, raw = measured(rows, MODELS["served"]), measured(rows, MODELS["champion"])
     got = [r.asDict() for r in run("calibration_keeps_order").collect()]
     assert got == [{"auc_kept": abs(served["auc"] - raw["auc"]) < 0.05, "brier_fell": served["brier"] < raw["brier"]}]
+
+
+def test_stored_scores_equal_live_ones(run):
+    assert equals_sql(run("stored_and_live_scores_agree"), "stored_and_live_scores_agree")
