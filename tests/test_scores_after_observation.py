@@ -64,3 +64,15 @@ def test_order_and_brier_after_calibration_by_brute_force(run):
 
 def test_stored_scores_equal_live_ones(run):
     assert equals_sql(run("stored_and_live_scores_agree"), "stored_and_live_scores_agree")
+
+
+def test_every_table_of_the_report_is_written(run):
+    got = {r["report_table"]: r["n"] for r in run("report_pack").collect()}
+    scores = run("trained_score_table").filter("split = 'test'").collect()
+    assert set(got) == {
+        "metrics", "roc", "ks", "deciles", "calibration", "calibration_raw", "sweep", "importance_gain",
+        "importance_split", "importance_source", "segments"}
+    assert (got["metrics"], got["sweep"], got["importance_gain"], got["importance_split"]) == (3, 99, 36, 36)
+    assert got["deciles"] == min(10, len(scores))
+    # a test slice this small has no segment of the least size
+    assert min(n for name, n in got.items() if name != "segments") > 0
