@@ -8,6 +8,8 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from test_queries import check_queries, entry
 
+from riskloom.sources import writers
+
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no driver tables here")
 
@@ -76,3 +78,32 @@ def test_every_table_of_the_report_is_written(run):
     assert got["deciles"] == min(10, len(scores))
     # a test slice this small has no segment of the least size
     assert min(n for name, n in got.items() if name != "segments") > 0
+
+
+def test_contents_of_the_report_by_brute_force(spark, run, monkeypatch):
+    def keep(*args):
+        paths.update(whole(*args))
+        return paths
+
+    paths, whole = {}, writers.write_report
+    monkeypatch.setattr(writers, "write_report", keep)
+    run("report_pack")
+    table = {name: [r.asDict() for r in spark.read.json(path).collect()] for name, path in paths.items()}
+    scores = run("trained_score_table").collect()
+    test, valid = ([r for r in scores if r["split"] == s] for s in ("test", "valid"))
+    for r in table["metrics"]:
+        want = measured(test, MODELS[r["model"]])
+        assert {k: r[k] for k in want} == pytest.approx(want, abs=1e-12)
+    falling = sorted(test, key=lambda r: (-r["proba_champion"], r["SK_ID_CURR"]))
+    for r in table["deciles"]:
+        part = falling[len(test) * (r["decile"] - 1) // 10:len(test) * r["decile"] // 10]
+        assert (r["n"], r["events"]) == (len(part), sum(x["y_true"] for x in part))
+        assert r["max_score"] == part[0]["proba_champion"]
+    for r in table["sweep"]:
+        denied = [x["y_true"] for x in valid if x["proba_champion"] >= r["threshold"]]
+        assert (r["tp"], r["tp"] + r["fp"], r["n"]) == (sum(denied), len(denied), len(valid))
+    assert {r.get("threshold") for r in table["roc"]} == {None, *(x["proba_champion"] for x in test)}
+    assert sum(r["n"] for r in table["calibration"]) == sum(r["n"] for r in table["calibration_raw"]) == len(test)
+    # a model fitted on this few rows may have no split, and then no importance
+    by_feature = sum(r["importance_pct"] for r in table["importance_gain"])
+    assert sum(r["importance_pct"] for r in table["importance_source"]) == pytest.approx(by_feature)
