@@ -103,33 +103,50 @@ def satisfies(x: np.ndarray, tests: tuple) -> np.ndarray:
     return hit.astype("float64")
 
 
+def leaf_shares(value: float, zero: Sequence[float]) -> list[np.ndarray]:
+    """Per path feature of one leaf, its contribution for every outcome of the path's tests (bit i: test i passed)."""
+    d = len(zero)
+    outcomes = np.arange(1 << d)
+    one = [(outcomes >> i & 1).astype("float64") for i in range(d)]
+    out = []
+    for i in range(d):
+        poly = [np.ones(len(outcomes))]
+        for j in range(d):
+            if j == i:
+                continue
+            grown = [np.zeros(len(outcomes)) for _ in range(len(poly) + 1)]
+            for k, p in enumerate(poly):
+                grown[k] += p * zero[j]
+                grown[k + 1] += p * one[j]
+            poly = grown
+        share = sum(p * (factorial(k) * factorial(d - 1 - k) / factorial(d)) for k, p in enumerate(poly))
+        out.append(value * (one[i] - zero[i]) * share)
+    return out
+
+
 def tree_shapley(x: np.ndarray, leaves: list[dict]) -> tuple[np.ndarray, float]:
     """Contributions (rows x features) and base value of a sum of trees.
 
     For one leaf the game is a product over its path features: present ones count their test,
     absent ones their cover ratio. Its Shapley values follow from the coefficients of the
-    polynomial over the other features, grouped by how many are present.
+    polynomial over the other features, grouped by how many are present. They depend on the row
+    only through which of the path's tests it passes, so they are worked out once for each of
+    the 2^features outcomes and looked up by row.
     """
-    phi = np.zeros(x.shape)
+    phi = np.zeros(x.shape[::-1])
     base = 0.0
+    tested: dict[tuple, np.ndarray] = {}
     for leaf in leaves:
         items = list(leaf["path"].items())
         base += leaf["value"] * float(np.prod([r for _, (r, _) in items])) if items else leaf["value"]
-        d = len(items)
-        one = [satisfies(x[:, f], tests) for f, (_, tests) in items]
-        zero = [ratio for _, (ratio, _) in items]
-        for i, (f, _) in enumerate(items):
-            poly = [np.ones(len(x))]
-            for j in range(d):
-                if j == i:
-                    continue
-                grown = [np.zeros(len(x)) for _ in range(len(poly) + 1)]
-                for k, p in enumerate(poly):
-                    grown[k] += p * zero[j]
-                    grown[k + 1] += p * one[j]
-                poly = grown
-            share = sum(p * (factorial(k) * factorial(d - 1 - k) / factorial(d)) for k, p in enumerate(poly))
-            phi[:, f] += leaf["value"] * (one[i] - zero[i]) * share
+        passed = np.zeros(len(x), dtype="int64")
+        for i, (f, (_, tests)) in enumerate(items):
+            if (f, tests) not in tested:
+                tested[f, tests] = satisfies(x[:, f], tests).astype("int64")
+            passed += tested[f, tests] << i
+        for (f, _), shares in zip(items, leaf_shares(leaf["value"], [ratio for _, (ratio, _) in items])):
+            phi[f] += shares[passed]
+    phi = phi.T
     return phi, base
 
 
