@@ -25,10 +25,13 @@ from pyspark.sql import functions as F
 from riskloom.functions import columns as C
 from riskloom.functions import constants as K
 from riskloom.operators import aggregation, evaluation, ranking
-from riskloom.session import scratch_path
+from riskloom.session import scratch_path, staged
 
 # Shares of the four slices, in this order.
 SPLIT_SHARES = (("train", 0.5), ("valid", 0.2), ("calib", 0.1), ("test", 0.2))
+# Rows of one partition of a fit, and the partitions that it may always have.
+FIT_ROWS = 75_000
+FIT_PARTITIONS = 8
 
 
 # ---------------------------------------------------------------- splits
@@ -72,15 +75,17 @@ def stratified_split(
     Rows are ordered by a keyed hash inside their class; only the cut keys are searched for,
     then every row is labelled by comparing its own hash, without a sort or a shuffle. Cuts are
     whole numbers: the shares are added as fractions and a class of n rows is cut at the floor of
-    n times each sum. Rows without a label are a class of their own.
+    n times each sum. Rows without a label are a class of their own. The three columns that the
+    search needs are written once, so its passes do not build the table again.
     """
     hashed = df.withColumns({"_u": C.hash_unit(key, seed=seed), "_class": class_text(label)})
+    searched = staged(hashed.select("_class", "_u", key), "split-keys")
     bounds, upto = [], Fraction(0)
     for _name, share in shares[:-1]:
         upto += Fraction(str(share))
         bounds.append(upto)
-    cuts = {v: [n * b.numerator // b.denominator for b in bounds] for v, n in class_counts(hashed, "_class").items()}
-    slice_name = positions_label(hashed, key, "_class", cuts, [n for n, _ in shares])
+    cuts = {v: [n * b.numerator // b.denominator for b in bounds] for v, n in class_counts(searched, "_class").items()}
+    slice_name = positions_label(searched, key, "_class", cuts, [n for n, _ in shares])
     return hashed.withColumn(out, slice_name).drop("_u", "_class")
 
 
@@ -208,11 +213,16 @@ def without_summary(spark: SparkSession, model: LogisticRegressionModel) -> Logi
 
 def fit_champion(
     train: DataFrame, valid: DataFrame, spec: ModelSpec, levels: Mapping[str, Sequence[str]],
-    row_weight: Column | None = None,
+    row_weight: Column | None = None, both: DataFrame | None = None,
 ) -> PipelineModel:
-    """Boosted trees with class weights, missing flags and early stopping on the validation rows."""
+    """Boosted trees with class weights, missing flags and early stopping on the validation rows.
+
+    ``both`` may hold the rows of ``train`` and ``valid`` in one scan, told apart by a flag ``_valid``: a union
+    has the partitions of both sides, and every stage of the fit runs a task on those without its rows.
+    """
     weight, _n = balanced_weight(train, spec.label)
-    both = train.withColumn("_valid", F.lit(False)).unionByName(valid.withColumn("_valid", F.lit(True)))
+    if both is None:
+        both = train.withColumn("_valid", F.lit(False)).unionByName(valid.withColumn("_valid", F.lit(True)))
     weight = weight if row_weight is None else weight * row_weight
     shaped = as_inputs(both, spec, levels, "label").withColumn("_w", weight)
     stages = []
@@ -223,12 +233,18 @@ def fit_champion(
     stages.append(VectorAssembler(inputCols=tree_inputs(spec), outputCol="features"))
     # medians and category indexes come from the training rows alone
     prepared = Pipeline(stages=stages).fit(shaped.filter(~F.col("_valid")))
-    trees = GBTClassifier(
+    # every pass of the fit reads the assembled vectors, which take longer to make than to read
+    ready = prepared.transform(shaped).select(spec.label, "_w", "_valid", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    booster = GBTClassifier(
         labelCol=spec.label, weightCol="_w", validationIndicatorCol="_valid", maxIter=spec.trees,
         maxDepth=spec.depth, stepSize=spec.step, minInstancesPerNode=spec.min_rows,
         subsamplingRate=spec.row_share, featureSubsetStrategy=spec.feature_share,
         maxBins=max(64, spec.max_categories + 4), validationTol=1e-4, seed=spec.seed,
-    ).fit(prepared.transform(shaped))
+    )
+    try:
+        trees = booster.fit(ready)
+    finally:
+        ready.unpersist()
     return PipelineModel(stages=[*prepared.stages, trees])
 
 
@@ -277,11 +293,31 @@ def train(
     needed = dict.fromkeys([split, spec.key, spec.label, *spec.numeric, *spec.categorical])
     slim = df.select(*[c for c in needed if c in df.columns]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        slim = gathered(slim, spec.key)
         return fit_all(slim, spec, split, cost_fn, cost_fp, row_weight, with_baseline)
     finally:
         slim.unpersist()
 
 
+def gathered(kept: DataFrame, key: str) -> DataFrame:
+    """The rows of a kept table in no more partitions than their number needs, kept again; the first copy is released.
+
+    A fit runs hundreds of short stages, and each of their tasks sends the statistics of all open nodes, so many
+    small partitions cost more than the rows. All rows stay. Where they go and their order depend on their values
+    alone, so the fit does not follow the partitions or the machines of the jobs before it.
+    """
+    wanted = max(FIT_PARTITIONS, -(-kept.count() // FIT_ROWS))
+    if kept.rdd.getNumPartitions() <= wanted:
+        return kept
+    mix = F.xxhash64(*kept.columns)
+    order = [key] if key in kept.columns else []
+    out = kept.repartitionById(wanted, F.pmod(mix, F.lit(wanted)).cast("int")).sortWithinPartitions(*order, mix)
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    kept.unpersist()
+    return out
+
+
 def fit_all(
     df: DataFrame, spec: ModelSpec, split: str, cost_fn: float, cost_fp: float, row_weight: Column | None,
     with_baseline: bool,
@@ -291,7 +327,8 @@ def fit_all(
 
     fitted = rows("train")
     levels = frozen_levels(fitted, spec)
-    champion = fit_champion(fitted, rows("valid"), spec, levels, row_weight)
+    both = df.filter(F.col(split).isin("train", "valid")).withColumn("_valid", F.col(split) == "valid")
+    champion = fit_champion(fitted, rows("valid"), spec, levels, row_weight, both)
     bundle = Bundle(spec, levels, champion)
     if rows("calib").head(1):
         held = apply_model(rows("calib"), champion, spec, levels, "label", "_p")

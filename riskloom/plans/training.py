@@ -34,9 +34,11 @@ _NATIVE: dict[tuple, BoostedTrees] = {}
 
 
 def applications(t) -> DataFrame:
-    """Clients without their frozen scores, split."""
-    frozen = ("split", "y_true", K.SCORE, K.RAW_SCORE, K.BASELINE_SCORE)
-    return learning.stratified_split(t.clients.drop(*frozen))
+    """Clients without their frozen scores, split; the cuts are searched for once in a query."""
+    if "applications" not in t._cache:
+        frozen = ("split", "y_true", K.SCORE, K.RAW_SCORE, K.BASELINE_SCORE)
+        t._cache["applications"] = learning.stratified_split(t.clients.drop(*frozen))
+    return t._cache["applications"]
 
 
 def base_inputs(df: DataFrame, spec: ModelSpec) -> list[str]:
